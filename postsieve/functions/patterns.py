@@ -35,9 +35,9 @@ BODY_EVENT_TYPES = (2, 5, 8)  # initial body, edited body, rolled-back body
 OUTSIDE_SLUG = "[^-a-z0-9]+"
 # ---------------------------------------------------------------------------
 
-#: Every markup marker starts, after blanks, with one of these two characters,
-#: so one cheap test spares ordinary prose the whole marker chain.
-MAY_CARRY_MARKER = rf"\A{SPACE}*[<`]"
+#: Whatever the line rules look for starts with a blank, ``<`` or a backtick, so
+#: a look at the first character spares ordinary prose all other patterns.
+SPECIAL_FIRST_CHARACTER = rf"[{SPACE[1:-1]}<`]"
 NON_SPACE = rf"[^{SPACE[1:-1]}]"
 
 

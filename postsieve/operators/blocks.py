@@ -43,29 +43,23 @@ def code_flags(marked: DataFrame, keys: Sequence[str]) -> DataFrame:
     """
     up_to_here, before = _frames(keys)
     code_left_open = F.when(F.col("close_code_after"), F.lit(False)).otherwise(F.col("set_code"))
-    flags = marked.withColumns(
-        {
-            "snippet_open": _set_so_far(F.col("set_snippet"), up_to_here),
-            "script_open": _set_so_far(F.col("set_script"), up_to_here),
-            "fence_open": _set_so_far(F.col("set_fence"), up_to_here),
-            "code_open": F.coalesce("set_code", _set_so_far(code_left_open, before)),
-            "alnum_before": _set_so_far(has_letter_or_digit(F.col("line")), before),
-        }
+    flags = marked.select(
+        "*",
+        _set_so_far(F.col("set_snippet"), up_to_here).alias("snippet_open"),
+        _set_so_far(F.col("set_script"), up_to_here).alias("script_open"),
+        _set_so_far(F.col("set_fence"), up_to_here).alias("fence_open"),
+        F.coalesce("set_code", _set_so_far(code_left_open, before)).alias("code_open"),
+        _set_so_far(has_letter_or_digit(F.col("line")), before).alias("alnum_before"),
     )
-    any_open = [
-        F.coalesce(name, F.lit(False))
-        for name in ("snippet_open", "script_open", "fence_open", "code_open")
-    ]
     in_code = F.col("is_language") | F.col("is_inline")
-    for is_open in any_open:
-        in_code = in_code | is_open
-    return flags.withColumns(
-        {
-            "is_kept": (F.col("raw") != "") & F.col("line").isNotNull(),
-            "in_code": in_code,
-            "after_symbols": ~F.coalesce("alnum_before", F.lit(False)),
-        }
-    ).drop("snippet_open", "script_open", "fence_open", "code_open", "alnum_before")
+    for name in ("snippet_open", "script_open", "fence_open", "code_open"):
+        in_code = in_code | F.coalesce(name, F.lit(False))
+    return flags.select(
+        *marked.columns,
+        ((F.col("raw") != "") & F.col("line").isNotNull()).alias("is_kept"),
+        in_code.alias("in_code"),
+        (~F.coalesce("alnum_before", F.lit(False))).alias("after_symbols"),
+    )
 
 
 def block_states(flagged: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -84,15 +78,12 @@ def block_states(flagged: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
     # A divider keeps the state, but as the very first line it starts a text.
     starts_text = F.when(visible & F.col("is_divider"), TEXT)
-    states = flagged.withColumns({"fixes": fixes, "starts_text": starts_text}).withColumns(
-        {
-            "state": F.coalesce(
-                _set_so_far(F.col("fixes"), up_to_here), _set_so_far(F.col("starts_text"), up_to_here)
-            ),
-            "state_before": F.coalesce(
-                _set_so_far(F.col("fixes"), before), _set_so_far(F.col("starts_text"), before)
-            ),
-        }
+
+    def state(frame) -> Column:
+        return F.coalesce(_set_so_far(fixes, frame), _set_so_far(starts_text, frame))
+
+    states = flagged.select(
+        "*", state(up_to_here).alias("state"), state(before).alias("state_before")
     )
     splits_code = (
         F.col("is_kept")
@@ -102,8 +93,8 @@ def block_states(flagged: DataFrame, keys: Sequence[str]) -> DataFrame:
     begins = ~F.col("state").eqNullSafe(F.col("state_before")) | F.coalesce(
         splits_code, F.lit(False)
     )
-    return states.withColumn("block_no", F.sum(begins.cast("int")).over(up_to_here)).drop(
-        "fixes", "starts_text", "state_before"
+    return states.select(
+        *flagged.columns, "state", F.sum(begins.cast("int")).over(up_to_here).alias("block_no")
     )
 
 

@@ -21,118 +21,106 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postsieve.functions import patterns as p
-from postsieve.functions.columns import as_list, has_letter_or_digit, has_text
-
-OPEN, CLOSED = True, False
-
+from postsieve.functions.columns import as_list, has_text
+from postsieve.functions.patterns import at_start
 
 def split_lines(df: DataFrame, keys: Sequence[str], text_col: str = "text") -> DataFrame:
-    """``(*keys, pos, raw)``: one row per line; a NULL text counts as empty."""
+    """``(*keys, pos, raw)``: one row per line; a NULL text counts as empty.
+
+    The separator takes two line feeds in a row for one.  Texts without such a
+    pair, as all with CRLF line ends are, split at a plain character instead,
+    which Spark does without the regular expression engine.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    lines = F.posexplode(F.split(text, p.LINE_BREAK)).alias("pos", "raw")
-    return df.select(*as_list(keys), lines)
+    by_character = F.split(F.replace(text, F.lit("\r\n"), F.lit("\n")), "\n")
+    parts = F.when(F.contains(text, F.lit("\n\n")), F.split(text, p.LINE_BREAK)).otherwise(
+        by_character
+    )
+    return df.select(*as_list(keys), F.posexplode(parts).alias("pos", "raw"))
 
 
 def line_flags(lines: DataFrame) -> DataFrame:
     """Classify raw lines, each by one anchored pattern."""
     raw = F.col("raw")
-    return lines.withColumns(
-        {
-            "is_space": raw.rlike(p.WHITESPACE_LINE),
-            "is_indented": raw.rlike(p.INDENTED_LINE),
-            "is_language": raw.rlike(p.LANGUAGE_LINE),
-            "is_divider": raw.rlike(p.DIVIDER_LINE),
-            "is_inline": raw.rlike(p.INLINE_CODE_LINE),
-            "has_alnum": has_letter_or_digit(raw),
-        }
+    special = F.left(raw, F.lit(1)).rlike(p.SPECIAL_FIRST_CHARACTER)
+    return lines.withColumn("may_be_special", special).select(
+        *lines.columns,
+        "may_be_special",
+        *(
+            (F.col("may_be_special") & raw.rlike(pattern)).alias(name)
+            for name, pattern in (
+                ("is_space", p.WHITESPACE_LINE),
+                ("is_indented", p.INDENTED_LINE),
+                ("is_language", p.LANGUAGE_LINE),
+                ("is_divider", p.DIVIDER_LINE),
+                ("is_inline", p.INLINE_CODE_LINE),
+            )
+        ),
     )
 
 
-def _apply_marker(
-    lines: DataFrame, pattern: str, stripped: Column, effects: dict[str, Column | bool]
-) -> DataFrame:
-    """One marker: where it opens the line, strip it and note its effects.
-
-    A line that has already been used up is NULL and matches nothing more.
-    ``effects`` may refer to ``rest``, what is left of the line.
-    """
-    hit = F.col("may_mark") & F.col("line").rlike(pattern)
-    seen = lines.withColumn("rest", F.when(hit, stripped))
-    hit = F.col("rest").isNotNull()
-    changed = {name: F.when(hit, value).otherwise(F.col(name)) for name, value in effects.items()}
-    changed["line"] = F.when(hit, F.when(has_text(F.col("rest")), F.col("rest"))).otherwise(
-        F.col("line")
-    )
-    return seen.withColumns(changed).drop("rest")
+def _without(line: str, opening: str, removed: str | None = None, by: str = "") -> Column:
+    """The line minus every ``removed``, if ``opening`` stands at its start."""
+    col = F.col(line)
+    hit = F.col("may_be_marked") & col.rlike(at_start(opening))
+    return F.when(hit, F.regexp_replace(col, removed or opening, by)).otherwise(col)
 
 
 def strip_markers(lines: DataFrame) -> DataFrame:
     """Run the marker chain over classified lines (see the module notes).
 
-    The order is fixed, each marker sees what the one before has left, and the
-    last effect within a line counts.  Indented, blank and language lines carry
-    no markers.
+    Each step sees what the step before has left and always shortens the line it
+    applies to, so comparing neighbouring steps tells which markers were there.
+    Within a line the last marker of a kind counts.  Indented, blank and language
+    lines carry no markers.
     """
-    line, rest = F.col("line"), F.col("rest")
-    unset = F.lit(None).cast("boolean")
     no_marker = F.col("is_indented") | F.col("is_space") | F.col("is_language")
-    marked = lines.withColumns(
-        {
-            "line": F.col("raw"),
-            "may_mark": ~no_marker & F.col("raw").rlike(p.MAY_CARRY_MARKER),
-            "set_snippet": unset,
-            "set_code": unset,
-            "set_script": unset,
-            "set_fence": unset,
-            "close_code_after": F.lit(CLOSED),
-        }
+    marked = (
+        lines.withColumn("may_be_marked", F.col("may_be_special") & ~no_marker)
+        .withColumn("sans_snippet_begin", _without("raw", p.SNIPPET_BEGIN))
+        .withColumn("sans_snippet_end", _without("sans_snippet_begin", p.SNIPPET_END))
+        .withColumn("sans_code_begin", _without("sans_snippet_end", p.CODE_TAG_BEGIN))
+        .withColumn("sans_code_end", _without("sans_code_begin", p.CODE_TAG_END))
+        .withColumn(
+            "sans_script_begin",
+            _without("sans_code_end", p.SCRIPT_TAG_BEGIN, p.SCRIPT_TAG_BEGIN, "$1"),
+        )
+        .withColumn("sans_script_end", _without("sans_script_begin", p.SCRIPT_TAG_END))
+        .withColumn("sans_fence", _without("sans_script_end", p.FENCE_BEGIN))
     )
 
-    def without(pattern: str) -> Column:
-        return F.regexp_replace(line, pattern, "")
-
-    marked = _apply_marker(
-        marked, p.at_start(p.SNIPPET_BEGIN), without(p.SNIPPET_BEGIN), {"set_snippet": OPEN}
-    )
-    marked = _apply_marker(
-        marked, p.at_start(p.SNIPPET_END), without(p.SNIPPET_END), {"set_snippet": CLOSED}
-    )
-    marked = _apply_marker(
-        marked, p.at_start(p.CODE_TAG_BEGIN), without(p.CODE_TAG_BEGIN), {"set_code": OPEN}
+    def removed(before: str, after: str) -> Column:
+        return F.col("may_be_marked") & (F.col(before) != F.col(after))
+
+    def toggle(opens: Column, closes: Column) -> Column:
+        return F.when(closes, F.lit(False)).when(opens, F.lit(True))
+
+    # A closing code tag with content behind it still covers that content.
+    code_end = removed("sans_code_begin", "sans_code_end")
+    closes_later = code_end & has_text(F.col("sans_code_end"))
+    # A fence opens even where it was meant to close, except when a second one
+    # follows at once: then it closes and all fences of the line are dropped.
+    fence = removed("sans_script_end", "sans_fence")
+    double_fence = fence & F.col("sans_fence").startswith(p.FENCE_MARK)
+    line = (
+        F.when(F.col("is_language"), F.lit(""))
+        .when(F.col("is_inline"), F.regexp_extract("raw", p.INLINE_CODE_LINE, 1))
+        .when(double_fence, F.replace("sans_fence", F.lit(p.FENCE_MARK), F.lit("")))
+        .when(~F.col("may_be_marked") | has_text(F.col("sans_fence")), F.col("sans_fence"))
     )
-    # A closing tag with content behind it still covers that content.
-    marked = _apply_marker(
-        marked,
-        p.at_start(p.CODE_TAG_END),
-        without(p.CODE_TAG_END),
-        {
-            "set_code": F.when(has_text(rest), F.col("set_code")).otherwise(CLOSED),
-            "close_code_after": has_text(rest),
-        },
-    )
-    marked = _apply_marker(
-        marked,
-        p.SCRIPT_TAG_BEGIN,
-        F.regexp_replace(line, p.SCRIPT_TAG_BEGIN, "$1"),
-        {"set_script": OPEN},
-    )
-    marked = _apply_marker(marked, p.SCRIPT_TAG_END, F.lit(""), {"set_script": CLOSED})
-    # An opening fence counts even if it was meant to close one, except when a
-    # second fence follows at once: then all fences of the line are dropped.
-    marked = _apply_marker(marked, p.FENCE_BEGIN, without(p.FENCE_BEGIN), {"set_fence": OPEN})
-    refenced = F.col("may_mark") & (F.col("set_fence") == OPEN) & line.startswith(p.FENCE_MARK)
-    marked = marked.withColumn("double_fence", F.coalesce(refenced, F.lit(False)))
-    return (
-        marked.withColumns(
-            {
-                "set_fence": F.when(F.col("double_fence"), CLOSED).otherwise(F.col("set_fence")),
-                "line": F.when(
-                    F.col("double_fence"), F.replace(line, F.lit(p.FENCE_MARK), F.lit(""))
-                )
-                .when(F.col("is_language"), F.lit(""))
-                .when(F.col("is_inline"), F.regexp_extract(line, p.INLINE_CODE_LINE, 1))
-                .otherwise(line),
-            }
-        )
-        .drop("double_fence", "may_mark")
+    return marked.select(
+        *(name for name in lines.columns if name != "may_be_special"),
+        line.alias("line"),
+        toggle(
+            removed("raw", "sans_snippet_begin"), removed("sans_snippet_begin", "sans_snippet_end")
+        ).alias("set_snippet"),
+        toggle(
+            removed("sans_snippet_end", "sans_code_begin"), code_end & ~closes_later
+        ).alias("set_code"),
+        toggle(
+            removed("sans_code_end", "sans_script_begin"),
+            removed("sans_script_begin", "sans_script_end"),
+        ).alias("set_script"),
+        toggle(fence, double_fence).alias("set_fence"),
+        closes_later.alias("close_code_after"),
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from postsieve.functions.columns import as_list, or_empty
 from postsieve.operators.blocks import text_blocks
-from postsieve.operators.comments import comments_per_post
+from postsieve.operators.comments import HEAVY_CHARS, SLICE_BITS, CommentLists
 from postsieve.operators.history import latest_version
 from postsieve.operators.posts import positive_score, single_score_per_post
 
@@ -39,22 +39,35 @@ def cogroup(
 
 
 def post_records(
-    posts: DataFrame, comments: DataFrame, edits: DataFrame, keys: Sequence[str] = KEYS
+    posts: DataFrame,
+    comments: DataFrame,
+    edits: DataFrame,
+    keys: Sequence[str] = KEYS,
+    slice_bits: int = SLICE_BITS,
+    heavy_chars: int = HEAVY_CHARS,
 ) -> DataFrame:
     """Records of all positively scored posts, ``(*keys, score, text_blocks, comments)``.
 
     The same rows as co-grouping everything and filtering last, but texts of
     posts that will be dropped are never taken apart: scores meet the newest
-    versions first, one row per post on either side, and ride along.  Every
-    input is shuffled once, by the keys; all later steps reuse that placement.
+    versions first, one row per post on either side, and ride along.  Posts and
+    edits are shuffled once, by the keys; all later steps reuse that placement.
+
+    A post has one record, except that the comments of a heavy post (see
+    ``CommentLists``) continue in further records without text blocks.
     """
     names = as_list(keys)
     scored = positive_score(single_score_per_post(posts, names))
     newest = latest_version(edits, names).select(*names, "text")
     prose = text_blocks(scored.join(newest, names, "left"), names, carry=["score"])
-    return prose.join(comments_per_post(comments, names), names, "left").select(
+    lists = CommentLists(comments, names, slice_bits, heavy_chars)
+    first = prose.join(lists.per_post(), names, "left").select(
         *names, "score", "text_blocks", or_empty(F.col("comments")).alias("comments")
     )
+    further = lists.overflow(scored).select(
+        *names, "score", or_empty(F.lit(None)).alias("text_blocks"), "comments"
+    )
+    return first.unionByName(further)
 
 
 def record_items(records: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:

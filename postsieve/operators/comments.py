@@ -1,14 +1,26 @@
-"""Comments: projection, score filter, texts per post."""
+"""Comments: projection, score filter, texts per post.
+
+A record lists all comments of its post, but one post may have any number of
+them.  So lists are built in slices of comment ids, which bound every group, and
+only posts of ordinary size get their slices joined to one list; the slices of a
+heavy post stay apart (``overflow``), spread over as many tasks as there are.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postsieve.functions.columns import as_list, in_order, required
 
+#: A slice is 2**SLICE_BITS comment ids wide: no slice has more comments than that.
+SLICE_BITS = 17
+#: A post is heavy when its comments have more characters than this.  There are
+#: at most (all characters / this) such posts, which bounds what is broadcast.
+HEAVY_CHARS = 64 * 1024 * 1024
+
 
 def project_comments(rows: DataFrame, carry: Sequence[str] = ("dataset",)) -> DataFrame:
     """Raw attributes of positively scored comments, ready to be grouped.
@@ -24,13 +36,81 @@ def project_comments(rows: DataFrame, carry: Sequence[str] = ("dataset",)) -> Da
     )
 
 
+class CommentLists:
+    """Comment texts per key, ordered by comment id, in groups of bounded size.
+
+    Comments are shuffled once by key and id slice.  Both the sizes of posts and
+    the slices read that one shuffle.
+    """
+
+    def __init__(
+        self,
+        comments: DataFrame,
+        keys: Sequence[str] = ("dataset", "post_id"),
+        slice_bits: int = SLICE_BITS,
+        heavy_chars: int = HEAVY_CHARS,
+    ):
+        self.keys = as_list(keys)
+        self._slice_bits = slice_bits
+        # Joins will ask for non-null keys and slices further up.  Settling that
+        # here keeps the plans below the shuffle equal, so Spark runs it once.
+        keyed = comments
+        for key in self.keys:
+            keyed = keyed.where(F.col(key).isNotNull())
+        placed = keyed.select(
+            *self.keys,
+            "comment_id",
+            "text",
+            self._slice_of(F.col("comment_id")).alias("slice"),
+        ).repartition(*self.keys, "slice")
+        sizes = placed.groupBy(*self.keys).agg(
+            F.sum(F.length("text")).alias("n_chars"), F.min("comment_id").alias("first_id")
+        )
+        #: ``(*keys, first_slice)`` of heavy posts: a short list, see HEAVY_CHARS.
+        self.heavy = sizes.where(F.col("n_chars") > heavy_chars).select(
+            *self.keys, self._slice_of(F.col("first_id")).alias("first_slice")
+        )
+        pairs = F.collect_list(F.struct("comment_id", "text"))
+        self.slices = (
+            placed.groupBy(*self.keys, "slice")
+            .agg(pairs.alias("pairs"))
+            .select(*self.keys, "slice", in_order(F.col("pairs"), "text").alias("texts"))
+        )
+
+    def _slice_of(self, comment_id: Column) -> Column:
+        return F.shiftright(F.coalesce(comment_id, F.lit(0)), self._slice_bits)
+
+    def per_post(self) -> DataFrame:
+        """``(*keys, comments)``: all texts of a key; of a heavy one, its first slice."""
+        listed = self.slices.join(F.broadcast(self.heavy), self.keys, "left").where(
+            F.col("first_slice").isNull() | (F.col("slice") == F.col("first_slice"))
+        )
+        return (
+            listed.groupBy(*self.keys)
+            .agg(F.collect_list(F.struct("slice", "texts")).alias("slices"))
+            .select(*self.keys, F.flatten(in_order(F.col("slices"), "texts")).alias("comments"))
+        )
+
+    def overflow(self, of: DataFrame | None = None) -> DataFrame:
+        """``(*keys, comments)``: later slices of the heavy posts, a row for each.
+
+        With ``of`` only for its posts, and with its other columns.
+        """
+        wanted = self.heavy if of is None else of.join(F.broadcast(self.heavy), self.keys)
+        others = [] if of is None else [name for name in of.columns if name not in self.keys]
+        return (
+            self.slices.join(F.broadcast(wanted), self.keys)
+            .where(F.col("slice") > F.col("first_slice"))
+            .select(*self.keys, *others, F.col("texts").alias("comments"))
+        )
+
+
 def comments_per_post(
     comments: DataFrame, keys: Sequence[str] = ("dataset", "post_id")
 ) -> DataFrame:
-    """One row per key with its comment texts, ordered by comment id."""
-    pair = F.struct("comment_id", "text")
-    return (
-        comments.groupBy(*as_list(keys))
-        .agg(F.collect_list(pair).alias("pairs"))
-        .select(*as_list(keys), in_order(F.col("pairs"), "text").alias("comments"))
-    )
+    """``(*keys, comments)``: comment texts of each key, ordered by comment id.
+
+    A key with more than ``HEAVY_CHARS`` of text takes several rows.
+    """
+    lists = CommentLists(comments, keys)
+    return lists.per_post().unionByName(lists.overflow())

@@ -45,6 +45,7 @@ def post_records(
     keys: Sequence[str] = KEYS,
     slice_bits: int = SLICE_BITS,
     heavy_chars: int = HEAVY_CHARS,
+    strict: bool = False,
 ) -> DataFrame:
     """Records of all positively scored posts, ``(*keys, score, text_blocks, comments)``.
 
@@ -54,10 +55,11 @@ def post_records(
     edits are shuffled once, by the keys; all later steps reuse that placement.
 
     A post has one record, except that the comments of a heavy post (see
-    ``CommentLists``) continue in further records without text blocks.
+    ``CommentLists``) continue in further records without text blocks.  A post
+    with several rows has no score and so no record; ``strict`` fails the job.
     """
     names = as_list(keys)
-    scored = positive_score(single_score_per_post(posts, names))
+    scored = positive_score(single_score_per_post(posts, names, strict))
     newest = latest_version(edits, names).select(*names, "text")
     prose = text_blocks(scored.join(newest, names, "left"), names, carry=["score"])
     lists = CommentLists(comments, names, slice_bits, heavy_chars)

@@ -15,14 +15,18 @@ from postsieve.sources.dumps import read_table
 
 
 def corpus(
-    spark: SparkSession, input_dir: str, datasets: Iterable[str] | None = None
+    spark: SparkSession,
+    input_dir: str,
+    datasets: Iterable[str] | None = None,
+    strict: bool = False,
 ) -> DataFrame:
     """Lazy records of the given (or all) datasets under ``input_dir``."""
     names = None if datasets is None else list(datasets)
     posts = project_posts(read_table(spark, input_dir, names, "posts"))
     comments = project_comments(read_table(spark, input_dir, names, "comments"))
     history = read_table(spark, input_dir, names, "post_history")
-    return post_records(posts, comments, project_history(post_edits(history)))
+    edits = project_history(post_edits(history))
+    return post_records(posts, comments, edits, strict=strict)
 
 
 def run(
@@ -33,9 +37,14 @@ def run(
     num_shards: int | None = None,
     json_array: bool = False,
     mode: str = "errorifexists",
+    strict: bool = False,
 ) -> None:
-    """Build the corpus and write it as JSON lines, or as JSON arrays."""
-    records = corpus(spark, input_dir, datasets)
+    """Build the corpus and write it as JSON lines, or as JSON arrays.
+
+    All datasets are one job: every key starts with the dataset, so that equal
+    post ids of two sites never meet.
+    """
+    records = corpus(spark, input_dir, datasets, strict)
     if json_array:
         if num_shards is None:
             raise ValueError("JSON arrays need num_shards")

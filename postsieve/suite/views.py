@@ -109,7 +109,10 @@ def raw_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("CreationDate"),
         (F.col("event_id") % n_docs).alias("doc_id"),
     )
-    return events.join(markdown(spark, sf_dir), "doc_id").drop("doc_id")
+    # The join makes short rows a thousand times wider, so spread them first; a
+    # given number of partitions is not merged again for being small.
+    spread = events.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "Id")
+    return spread.join(markdown(spark, sf_dir), "doc_id").drop("doc_id")
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,9 +1,10 @@
 """Comments: projection, score filter, texts per post.
 
 A record lists all comments of its post, but one post may have any number of
-them.  So lists are built in slices of comment ids, which bound every group, and
-only posts of ordinary size get their slices joined to one list; the slices of a
-heavy post stay apart (``overflow``), spread over as many tasks as there are.
+them.  So the id range of comments is cut into slices: a post of ordinary size
+gets one list, the lists of a heavy post hold one slice each.  That bounds every
+group that is collected, and spreads a heavy post over as many tasks as it has
+slices.
 """
 
 from __future__ import annotations
@@ -39,8 +40,8 @@ def project_comments(rows: DataFrame, carry: Sequence[str] = ("dataset",)) -> Da
 class CommentLists:
     """Comment texts per key, ordered by comment id, in groups of bounded size.
 
-    Comments are shuffled once by key and id slice.  Both the sizes of posts and
-    the slices read that one shuffle.
+    Comments are shuffled by key and slice, which no key can make uneven; the
+    sizes of posts and all lists read that one shuffle.
     """
 
     def __init__(
@@ -57,39 +58,37 @@ class CommentLists:
         keyed = comments
         for key in self.keys:
             keyed = keyed.where(F.col(key).isNotNull())
-        placed = keyed.select(
+        self._placed = keyed.select(
             *self.keys,
             "comment_id",
             "text",
             self._slice_of(F.col("comment_id")).alias("slice"),
         ).repartition(*self.keys, "slice")
-        sizes = placed.groupBy(*self.keys).agg(
+        sizes = self._placed.groupBy(*self.keys).agg(
             F.sum(F.length("text")).alias("n_chars"), F.min("comment_id").alias("first_id")
         )
         #: ``(*keys, first_slice)`` of heavy posts: a short list, see HEAVY_CHARS.
         self.heavy = sizes.where(F.col("n_chars") > heavy_chars).select(
             *self.keys, self._slice_of(F.col("first_id")).alias("first_slice")
         )
-        pairs = F.collect_list(F.struct("comment_id", "text"))
-        self.slices = (
-            placed.groupBy(*self.keys, "slice")
-            .agg(pairs.alias("pairs"))
-            .select(*self.keys, "slice", in_order(F.col("pairs"), "text").alias("texts"))
-        )
 
     def _slice_of(self, comment_id: Column) -> Column:
         return F.shiftright(F.coalesce(comment_id, F.lit(0)), self._slice_bits)
 
+    def _collect(self, comments: DataFrame, keys: Sequence[str]) -> DataFrame:
+        pairs = F.collect_list(F.struct("comment_id", "text"))
+        return (
+            comments.groupBy(*keys)
+            .agg(pairs.alias("pairs"))
+            .select(*keys, in_order(F.col("pairs"), "text").alias("comments"))
+        )
+
     def per_post(self) -> DataFrame:
         """``(*keys, comments)``: all texts of a key; of a heavy one, its first slice."""
-        listed = self.slices.join(F.broadcast(self.heavy), self.keys, "left").where(
+        first = self._placed.join(F.broadcast(self.heavy), self.keys, "left").where(
             F.col("first_slice").isNull() | (F.col("slice") == F.col("first_slice"))
         )
-        return (
-            listed.groupBy(*self.keys)
-            .agg(F.collect_list(F.struct("slice", "texts")).alias("slices"))
-            .select(*self.keys, F.flatten(in_order(F.col("slices"), "texts")).alias("comments"))
-        )
+        return self._collect(first, self.keys)
 
     def overflow(self, of: DataFrame | None = None) -> DataFrame:
         """``(*keys, comments)``: later slices of the heavy posts, a row for each.
@@ -98,11 +97,10 @@ class CommentLists:
         """
         wanted = self.heavy if of is None else of.join(F.broadcast(self.heavy), self.keys)
         others = [] if of is None else [name for name in of.columns if name not in self.keys]
-        return (
-            self.slices.join(F.broadcast(wanted), self.keys)
-            .where(F.col("slice") > F.col("first_slice"))
-            .select(*self.keys, *others, F.col("texts").alias("comments"))
+        later = self._placed.join(F.broadcast(wanted), self.keys).where(
+            F.col("slice") > F.col("first_slice")
         )
+        return self._collect(later, [*self.keys, "slice", *others]).drop("slice")
 
 
 def comments_per_post(

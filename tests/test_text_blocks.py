@@ -33,6 +33,13 @@ CASES = [
     ("", []),
     ("   \r\n", []),
     (None, []),
+    # Blank lines of other kinds of space, and odd first characters.
+    ("text\r\n\u00a0\r\n    code", ["text\n\u00a0"]),
+    ("text\r\n\u2003\x1c\r\n\tcode\r\nmore", ["text\n\u2003\x1c", "more"]),
+    ("\u3000```\r\ncode", []),
+    ("\ufefftext\r\n\r\n    code", ["\ufefftext"]),
+    ("<!--\u00a0language: lang-js\u2003-->\r\nx", ["x"]),
+    ("a\rb\r\n\r\n    c", ["a\rb"]),
 ]
 
 

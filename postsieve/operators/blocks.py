@@ -21,6 +21,7 @@ from postsieve.functions.columns import as_list, has_letter_or_digit, has_text,
 from postsieve.operators.lines import line_flags, split_lines, strip_markers
 
 CODE, TEXT = "code", "text"
+YES, NO = bytearray(b"1"), bytearray(b"0")
 
 
 def _set_so_far(col: Column, frame) -> Column:
@@ -159,49 +160,55 @@ def blocks_per_text(
     )
 
 
-def _absorbed_positions(blocks: Column) -> Column:
-    """Positions of symbol-only blocks that are absorbed by the block before.
+def _absorbed_flags(blocks: Column) -> Column:
+    """Which symbol-only blocks are absorbed by the block before: a byte for each.
 
     Left to right: a symbol-only block is absorbed unless it, or the block before
     it, is already gone.  If the blocks on both of its sides are of one type, the
     one behind it goes too.  A symbol-only first block goes into the second.
     """
-    numbered = F.transform(blocks, lambda b, i: F.struct(b.alias("block"), i.alias("i")))
+    flagged = F.transform(
+        blocks,
+        lambda b, i: F.struct(
+            (~has_letter_or_digit(b["content"])).alias("symbols"),
+            F.coalesce(
+                F.get(blocks, i - 1)["block_type"] == F.get(blocks, i + 1)["block_type"],
+                F.lit(False),
+            ).alias("alike_around"),
+            i.alias("i"),
+        ),
+    )
     start = F.struct(
         F.lit(False).alias("gone_before"),
         F.lit(False).alias("taken"),
-        F.array().cast("array<int>").alias("absorbed"),
+        F.lit(bytearray()).alias("flags"),
     )
 
-    def step(acc: Column, item: Column) -> Column:
-        i = item["i"]
-        symbols = ~has_letter_or_digit(item["block"]["content"])
-        leads = symbols & (i == 0) & (F.size(blocks) > 1)
-        absorbed = symbols & (i > 0) & ~acc["taken"] & ~acc["gone_before"]
-        same_type_around = F.get(blocks, i - 1)["block_type"] == F.get(blocks, i + 1)["block_type"]
+    def step(acc: Column, block: Column) -> Column:
+        leads = block["symbols"] & (block["i"] == 0)
+        absorbed = block["symbols"] & (block["i"] > 0) & ~acc["taken"] & ~acc["gone_before"]
         return F.struct(
             (acc["taken"] | absorbed | leads).alias("gone_before"),
-            (absorbed & F.coalesce(same_type_around, F.lit(False))).alias("taken"),
-            F.when(absorbed, F.array_append(acc["absorbed"], i))
-            .otherwise(acc["absorbed"])
-            .alias("absorbed"),
+            (absorbed & block["alike_around"]).alias("taken"),
+            F.concat(acc["flags"], F.when(absorbed, F.lit(YES)).otherwise(F.lit(NO))).alias("flags"),
         )
 
-    return F.aggregate(numbered, start, step, lambda acc: acc["absorbed"])
+    return F.aggregate(flagged, start, step, lambda acc: acc["flags"])
 
 
-def absorb_symbol_blocks(blocks: Column) -> Column:
+def absorb_symbol_blocks(texts: DataFrame) -> DataFrame:
     """Add blocks without letters or digits to their neighbours' contents.
 
     Absorbed blocks also stay in the list: only contents change, never the
-    number of blocks.  The array is that of one text.
+    number of blocks.  ``blocks`` is the array of one text; most have no such
+    block and pass unchanged.
     """
-    absorbed = _absorbed_positions(blocks)
+    blocks, absorbed = F.col("blocks"), F.col("absorbed")
 
     def merged(b: Column, i: Column) -> Column:
         after, after_next = F.get(blocks, i + 1), F.get(blocks, i + 2)
         first = F.get(blocks, F.lit(0))["content"]
-        takes = F.array_contains(absorbed, i + 1)
+        takes = F.substring(absorbed, i + 2, F.lit(1)) == F.lit(YES)
         content = F.concat_ws(
             "\n",
             F.when((i == 1) & ~has_letter_or_digit(first), first),
@@ -212,7 +219,15 @@ def absorb_symbol_blocks(blocks: Column) -> Column:
         return F.struct(b["block_type"].alias("block_type"), content.alias("content"))
 
     any_symbols = F.exists(blocks, lambda b: ~has_letter_or_digit(b["content"]))
-    return F.when(any_symbols, F.transform(blocks, merged)).otherwise(blocks)
+    # The flags are a column of their own, found once and not for each block.
+    return (
+        texts.withColumn("absorbed", F.when(any_symbols, _absorbed_flags(blocks)))
+        .withColumn(
+            "blocks",
+            F.when(absorbed.isNull(), blocks).otherwise(F.transform(blocks, merged)),
+        )
+        .drop("absorbed")
+    )
 
 
 def markdown_blocks(
@@ -223,9 +238,7 @@ def markdown_blocks(
     ``keys`` identify a row of ``df``; ``carry`` are further columns to keep.
     """
     contents = block_contents(traced_lines(df, keys, text_col, carry), keys, carry)
-    return blocks_per_text(contents, keys, carry).withColumn(
-        "blocks", absorb_symbol_blocks(F.col("blocks"))
-    )
+    return absorb_symbol_blocks(blocks_per_text(contents, keys, carry))
 
 
 def prose_contents(blocks: Column) -> Column:

@@ -24,6 +24,7 @@ from postsieve.functions import patterns as p
 from postsieve.functions.columns import as_list, has_text
 from postsieve.functions.patterns import at_start
 
+
 def split_lines(df: DataFrame, keys: Sequence[str], text_col: str = "text") -> DataFrame:
     """``(*keys, pos, raw)``: one row per line; a NULL text counts as empty.
 

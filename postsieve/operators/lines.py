@@ -17,12 +17,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postsieve.functions import patterns as p
-from postsieve.functions.columns import as_list, has_text
-from postsieve.functions.patterns import at_start
+from postsieve.functions.columns import as_list
 
 
 def split_lines(df: DataFrame, keys: Sequence[str], text_col: str = "text") -> DataFrame:
@@ -40,31 +39,38 @@ def split_lines(df: DataFrame, keys: Sequence[str], text_col: str = "text") -> D
     return df.select(*as_list(keys), F.posexplode(parts).alias("pos", "raw"))
 
 
+def _like(column: str, pattern: str) -> str:
+    """SQL for a pattern match; the pattern is a raw literal."""
+    return f"{column} RLIKE r'{pattern}'"
+
+
 def line_flags(lines: DataFrame) -> DataFrame:
     """Classify raw lines, each by one anchored pattern."""
-    raw = F.col("raw")
-    special = F.left(raw, F.lit(1)).rlike(p.SPECIAL_FIRST_CHARACTER)
-    return lines.withColumn("may_be_special", special).select(
-        *lines.columns,
-        "may_be_special",
-        *(
-            (F.col("may_be_special") & raw.rlike(pattern)).alias(name)
-            for name, pattern in (
-                ("is_space", p.WHITESPACE_LINE),
-                ("is_indented", p.INDENTED_LINE),
-                ("is_language", p.LANGUAGE_LINE),
-                ("is_divider", p.DIVIDER_LINE),
-                ("is_inline", p.INLINE_CODE_LINE),
-            )
-        ),
+    kinds = {
+        "is_space": p.WHITESPACE_LINE,
+        "is_indented": p.INDENTED_LINE,
+        "is_language": p.LANGUAGE_LINE,
+        "is_divider": p.DIVIDER_LINE,
+        "is_inline": p.INLINE_CODE_LINE,
+    }
+    special = _like("left(raw, 1)", p.SPECIAL_FIRST_CHARACTER)
+    return lines.selectExpr("*", f"{special} AS may_be_special").selectExpr(
+        "*",
+        *(f"may_be_special AND {_like('raw', pattern)} AS {name}" for name, pattern in kinds.items()),
     )
 
 
-def _without(line: str, opening: str, removed: str | None = None, by: str = "") -> Column:
-    """The line minus every ``removed``, if ``opening`` stands at its start."""
-    col = F.col(line)
-    hit = F.col("may_be_marked") & col.rlike(at_start(opening))
-    return F.when(hit, F.regexp_replace(col, removed or opening, by)).otherwise(col)
+# Name of the line after each step, the marker that must open the line before it,
+# and what replaces the marker wherever it is found.
+_STEPS = (
+    ("sans_snippet_begin", p.SNIPPET_BEGIN, ""),
+    ("sans_snippet_end", p.SNIPPET_END, ""),
+    ("sans_code_begin", p.CODE_TAG_BEGIN, ""),
+    ("sans_code_end", p.CODE_TAG_END, ""),
+    ("sans_script_begin", p.SCRIPT_TAG_BEGIN, "$1"),
+    ("sans_script_end", p.SCRIPT_TAG_END, ""),
+    ("sans_fence", p.FENCE_BEGIN, ""),
+)
 
 
 def strip_markers(lines: DataFrame) -> DataFrame:
@@ -75,53 +81,41 @@ def strip_markers(lines: DataFrame) -> DataFrame:
     Within a line the last marker of a kind counts.  Indented, blank and language
     lines carry no markers.
     """
-    no_marker = F.col("is_indented") | F.col("is_space") | F.col("is_language")
-    marked = (
-        lines.withColumn("may_be_marked", F.col("may_be_special") & ~no_marker)
-        .withColumn("sans_snippet_begin", _without("raw", p.SNIPPET_BEGIN))
-        .withColumn("sans_snippet_end", _without("sans_snippet_begin", p.SNIPPET_END))
-        .withColumn("sans_code_begin", _without("sans_snippet_end", p.CODE_TAG_BEGIN))
-        .withColumn("sans_code_end", _without("sans_code_begin", p.CODE_TAG_END))
-        .withColumn(
-            "sans_script_begin",
-            _without("sans_code_end", p.SCRIPT_TAG_BEGIN, p.SCRIPT_TAG_BEGIN, "$1"),
-        )
-        .withColumn("sans_script_end", _without("sans_script_begin", p.SCRIPT_TAG_END))
-        .withColumn("sans_fence", _without("sans_script_end", p.FENCE_BEGIN))
+    marked = lines.selectExpr(
+        "*",
+        "may_be_special AND NOT (is_indented OR is_space OR is_language) AS may_be_marked",
     )
+    before = {}
+    line = "raw"
+    for name, marker, replacement in _STEPS:
+        opens = f"may_be_marked AND {_like(line, p.at_start(marker))}"
+        removed = f"regexp_replace({line}, r'{marker}', '{replacement}')"
+        marked = marked.selectExpr("*", f"IF({opens}, {removed}, {line}) AS {name}")
+        before[name] = line
+        line = name
 
-    def removed(before: str, after: str) -> Column:
-        return F.col("may_be_marked") & (F.col(before) != F.col(after))
+    def removed_by(step: str) -> str:
+        return f"(may_be_marked AND {before[step]} != {step})"
 
-    def toggle(opens: Column, closes: Column) -> Column:
-        return F.when(closes, F.lit(False)).when(opens, F.lit(True))
+    def toggle(opens: str, closes: str) -> str:
+        return f"CASE WHEN {closes} THEN false WHEN {opens} THEN true END"
 
     # A closing code tag with content behind it still covers that content.
-    code_end = removed("sans_code_begin", "sans_code_end")
-    closes_later = code_end & has_text(F.col("sans_code_end"))
+    code_goes_on = f"({removed_by('sans_code_end')} AND {_like('sans_code_end', p.NON_SPACE)})"
+    code_ends = f"({removed_by('sans_code_end')} AND NOT {_like('sans_code_end', p.NON_SPACE)})"
     # A fence opens even where it was meant to close, except when a second one
     # follows at once: then it closes and all fences of the line are dropped.
-    fence = removed("sans_script_end", "sans_fence")
-    double_fence = fence & F.col("sans_fence").startswith(p.FENCE_MARK)
-    line = (
-        F.when(F.col("is_language"), F.lit(""))
-        .when(F.col("is_inline"), F.regexp_extract("raw", p.INLINE_CODE_LINE, 1))
-        .when(double_fence, F.replace("sans_fence", F.lit(p.FENCE_MARK), F.lit("")))
-        .when(~F.col("may_be_marked") | has_text(F.col("sans_fence")), F.col("sans_fence"))
-    )
-    return marked.select(
+    double_fence = f"({removed_by('sans_fence')} AND startswith(sans_fence, '{p.FENCE_MARK}'))"
+    return marked.selectExpr(
         *(name for name in lines.columns if name != "may_be_special"),
-        line.alias("line"),
-        toggle(
-            removed("raw", "sans_snippet_begin"), removed("sans_snippet_begin", "sans_snippet_end")
-        ).alias("set_snippet"),
-        toggle(
-            removed("sans_snippet_end", "sans_code_begin"), code_end & ~closes_later
-        ).alias("set_code"),
-        toggle(
-            removed("sans_code_end", "sans_script_begin"),
-            removed("sans_script_begin", "sans_script_end"),
-        ).alias("set_script"),
-        toggle(fence, double_fence).alias("set_fence"),
-        closes_later.alias("close_code_after"),
+        f"""CASE WHEN is_language THEN ''
+                 WHEN is_inline THEN regexp_extract(raw, r'{p.INLINE_CODE_LINE}', 1)
+                 WHEN {double_fence} THEN replace(sans_fence, '{p.FENCE_MARK}', '')
+                 WHEN NOT may_be_marked OR {_like("sans_fence", p.NON_SPACE)} THEN sans_fence
+            END AS line""",
+        toggle(removed_by("sans_snippet_begin"), removed_by("sans_snippet_end")) + " AS set_snippet",
+        toggle(removed_by("sans_code_begin"), code_ends) + " AS set_code",
+        toggle(removed_by("sans_script_begin"), removed_by("sans_script_end")) + " AS set_script",
+        toggle(removed_by("sans_fence"), double_fence) + " AS set_fence",
+        f"{code_goes_on} AS close_code_after",
     )

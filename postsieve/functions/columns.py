@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 from . import patterns as p
 
 
-def matches(col: Column, pattern: str) -> Column:
-    return col.rlike(pattern)
-
-
 def has_text(col: Column) -> Column:
     """True when anything but whitespace is left."""
     return col.rlike(p.NON_SPACE)

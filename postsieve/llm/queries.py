@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsieve.llm import exact_dedup, mixing, records, sharding
+from postsieve.llm import exact_dedup, mixing, packing, records, sharding
 from postsieve.llm.common import scratch_dir
 
 
@@ -22,6 +22,16 @@ def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", "ids_crc32", "part", "record")
 
 
+#: Tokens of a sequence and the id behind each document.
+PACK = {"capacity": 4096, "end_id": 1}
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    found = packing.pack(table(spark, sf_dir, "documents"), path, **PACK)
+    return found.withColumn("piece", F.col("piece").cast("int")).drop("part", "row")
+
+
 #: Every source has the same share of the mixture, which has as many documents as the table.
 MIX = {"weights": None, "epochs": 1.0, "seed": 7}
 
@@ -52,6 +62,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_records": op1_token_records,
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op7_mix_sources": op7_mix_sources,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_shards": op10_shards,

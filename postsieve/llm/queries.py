@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsieve.llm import exact_dedup, mixing, packing, records, sharding
+from postsieve.llm import exact_dedup, mixing, near_join, packing, records, sharding
 from postsieve.llm.common import scratch_dir
 
 
@@ -44,6 +44,11 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), digest=True)
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return near_join.near_duplicates(docs, n_words=4, share=(85, 100))
+
+
 N_SHARDS = 8
 
 
@@ -65,6 +70,7 @@ QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op7_mix_sources": op7_mix_sources,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_ngram_join": op9_ngram_join,
     "op10_shards": op10_shards,
 }
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 
 #: Bytes handled at once; a longer word is handled in one piece.
 CHUNK = 1 << 20
@@ -114,6 +115,22 @@ def word_hashes(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.nd
     return hashes, where, counts
 
 
+def small_batches(batch: pa.RecordBatch, text: str = "text", size: int = 4 << 20):
+    """Slices of a batch with about ``size`` bytes of text each (one text at least)."""
+    bytes_each = pa.compute.binary_length(batch.column(text)).fill_null(0).to_numpy()
+    block = np.cumsum(bytes_each, dtype=np.int64) // size
+    cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        if a < b:
+            yield batch.slice(a, b - a)
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The different values, ascending."""
+    values = np.sort(values)
+    return values[np.concatenate(([True], values[1:] != values[:-1]))] if len(values) else values
+
+
 def windows(hashes: np.ndarray, counts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of ``n`` words within one text, and the number of them per text."""
     per_text = np.maximum(counts - n + 1, 0)

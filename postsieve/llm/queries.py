@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsieve.llm import exact_dedup, mixing, near_join, packing, records, sharding
+from postsieve.llm import exact_dedup, line_dedup, mixing, near_join, packing, records, sharding
 from postsieve.llm.common import scratch_dir
 
 
@@ -32,6 +32,13 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("piece", F.col("piece").cast("int")).drop("part", "row")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_lines", F.size("removed").alias("n_removed"), "removed_words", "removed", "text"
+    )
+
+
 #: Every source has the same share of the mixture, which has as many documents as the table.
 MIX = {"weights": None, "epochs": 1.0, "seed": 7}
 
@@ -68,6 +75,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_records": op1_token_records,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op6_line_dedup": op6_line_dedup,
     "op7_mix_sources": op7_mix_sources,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_ngram_join": op9_ngram_join,

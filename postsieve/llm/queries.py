@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsieve.llm import exact_dedup, line_dedup, mixing, near_join, packing, records, sharding
+from postsieve.llm import exact_dedup, line_dedup, mixing, near_join, packing, quality, records, sharding
 from postsieve.llm.common import scratch_dir
 
 
@@ -32,6 +32,12 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("piece", F.col("piece").cast("int")).drop("part", "row")
 
 
+def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    field = quality.train_field(docs, table(spark, sf_dir, "labels"))
+    return quality.judge(docs, field).drop("labels")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return found.select(
@@ -75,6 +81,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_records": op1_token_records,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op5_line_quality": op5_line_quality,
     "op6_line_dedup": op6_line_dedup,
     "op7_mix_sources": op7_mix_sources,
     "op8_exact_dedup": op8_exact_dedup,

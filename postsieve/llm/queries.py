@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsieve.llm import exact_dedup, line_dedup, mixing, near_join, packing, quality, records, sharding
+from postsieve.llm import exact_dedup, line_dedup, mixing, near_join, ngram_lm, packing, quality, records, sharding
 from postsieve.llm.common import scratch_dir
 
 
@@ -22,6 +22,10 @@ def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", "ids_crc32", "part", "record")
 
 
+def op2_trie_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 #: Tokens of a sequence and the id behind each document.
 PACK = {"capacity": 4096, "end_id": 1}
 
@@ -80,6 +84,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_records": op1_token_records,
+    "op2_trie_scores": op2_trie_scores,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_line_quality": op5_line_quality,
     "op6_line_dedup": op6_line_dedup,

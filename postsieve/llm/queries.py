@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsieve.llm import exact_dedup, line_dedup, mixing, near_join, ngram_lm, packing, quality, records, sharding
+from postsieve.llm import exact_dedup, line_dedup, mixing, near_join, ngram_lm, packing, quality, records, sharding, substring_dedup
 from postsieve.llm.common import scratch_dir
 
 
@@ -36,6 +36,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("piece", F.col("piece").cast("int")).drop("part", "row")
 
 
+def op4_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.shared_passages(table(spark, sf_dir, "documents"))
+
+
 def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     field = quality.train_field(docs, table(spark, sf_dir, "labels"))
@@ -86,6 +90,7 @@ QUERIES = {
     "op1_token_records": op1_token_records,
     "op2_trie_scores": op2_trie_scores,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_compact_windows": op4_compact_windows,
     "op5_line_quality": op5_line_quality,
     "op6_line_dedup": op6_line_dedup,
     "op7_mix_sources": op7_mix_sources,

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from postsieve.functions.columns import as_list, or_empty
 from postsieve.operators.blocks import text_blocks
-from postsieve.operators.comments import HEAVY_CHARS, SLICE_BITS, CommentLists
+from postsieve.operators.comments import comments_per_post
 from postsieve.operators.history import latest_version
 from postsieve.operators.posts import positive_score, single_score_per_post
 
@@ -38,48 +38,97 @@ def cogroup(
     )
 
 
+def _scored_prose(
+    posts: DataFrame,
+    edits: DataFrame,
+    names: list[str],
+    strict: bool,
+    observation: Observation | None,
+) -> tuple[DataFrame, DataFrame]:
+    """Positively scored posts, and the same with their text blocks.
+
+    Texts of posts that will be dropped are never taken apart: scores meet the
+    newest versions first, one row per post on either side, and ride along.
+    """
+    # Joins ask for keys that are not NULL on one side only; asking for it here keeps the
+    # plans below the posts' shuffle equal, so that Spark runs it once.
+    for name in names:
+        posts = posts.where(F.col(name).isNotNull())
+    scored = positive_score(single_score_per_post(posts, names, strict, observation))
+    newest = latest_version(edits, names).select(*names, "text")
+    return scored, text_blocks(scored.join(newest, names, "left"), names, carry=["score"])
+
+
 def post_records(
     posts: DataFrame,
     comments: DataFrame,
     edits: DataFrame,
     keys: Sequence[str] = KEYS,
-    slice_bits: int = SLICE_BITS,
-    heavy_chars: int = HEAVY_CHARS,
     strict: bool = False,
+    observation: Observation | None = None,
 ) -> DataFrame:
     """Records of all positively scored posts, ``(*keys, score, text_blocks, comments)``.
 
-    The same rows as co-grouping everything and filtering last, but texts of
-    posts that will be dropped are never taken apart: scores meet the newest
-    versions first, one row per post on either side, and ride along.  Posts and
-    edits are shuffled once, by the keys; all later steps reuse that placement.
+    The same rows as co-grouping everything and filtering last.  Posts, edits and
+    comments are shuffled once each, by the keys; all later steps reuse that
+    placement.  Comments of other posts leave before they are gathered.
 
-    A post has one record, except that the comments of a heavy post (see
-    ``CommentLists``) continue in further records without text blocks.  A post
-    with several rows has no score and so no record; ``strict`` fails the job.
+    Every post has one record.  A post with several rows has no score and so no
+    record; ``strict`` fails the job, an ``observation`` counts such posts.
     """
     names = as_list(keys)
-    scored = positive_score(single_score_per_post(posts, names, strict))
-    newest = latest_version(edits, names).select(*names, "text")
-    prose = text_blocks(scored.join(newest, names, "left"), names, carry=["score"])
-    lists = CommentLists(comments, names, slice_bits, heavy_chars)
-    first = prose.join(lists.per_post(), names, "left").select(
+    scored, prose = _scored_prose(posts, edits, names, strict, observation)
+    kept = comments.join(scored.select(*names), names, "left_semi")
+    return prose.join(comments_per_post(kept, names), names, "left").select(
         *names, "score", "text_blocks", or_empty(F.col("comments")).alias("comments")
     )
-    further = lists.overflow(scored).select(
-        *names, "score", or_empty(F.lit(None)).alias("text_blocks"), "comments"
+
+
+def record_rows(
+    posts: DataFrame,
+    comments: DataFrame,
+    edits: DataFrame,
+    keys: Sequence[str] = KEYS,
+    strict: bool = False,
+) -> DataFrame:
+    """Records in long form: ``(*keys, score, part, position, text)``, a row per text.
+
+    For posts with more comments than one value can hold.  ``part`` is ``post`` (one
+    row per post, without position and text), ``text_block`` (position from 0) or
+    ``comment`` (the position is the comment's id, which orders them).
+    """
+    names = as_list(keys)
+    scored, prose = _scored_prose(posts, edits, names, strict, None)
+    columns = [*names, "score"]
+    no_position = F.lit(None).cast("bigint").alias("position")
+    heads = scored.select(
+        *columns, F.lit("post").alias("part"), no_position, F.lit(None).cast("string").alias("text")
+    )
+    blocks = prose.select(*columns, F.posexplode("text_blocks").alias("position", "text")).select(
+        *columns,
+        F.lit("text_block").alias("part"),
+        F.col("position").cast("bigint").alias("position"),
+        "text",
+    )
+    texts = comments.drop("score").join(scored, names).select(
+        *columns, F.lit("comment").alias("part"), F.col("comment_id").alias("position"), "text"
     )
-    return first.unionByName(further)
+    return heads.unionByName(blocks).unionByName(texts)
 
 
 def record_items(records: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Records as rows ``(*keys, score, part, ord, text)``, lists unfolded."""
+    """Records as rows ``(*keys, score, part, ord, text)``, lists unfolded in one pass.
+
+    An empty list is one row without ``ord`` and ``text``.
+    """
     names = [*as_list(keys), "score"]
-    parts = [
-        records.select(*names, F.lit(part).alias("part"), F.posexplode(column).alias("ord", "text"))
-        for part, column in (("text_block", "text_blocks"), ("comment", "comments"))
-    ]
-    return parts[0].unionByName(parts[1])
+    parts = F.array(
+        F.struct(F.lit("text_block").alias("part"), F.col("text_blocks").alias("texts")),
+        F.struct(F.lit("comment").alias("part"), F.col("comments").alias("texts")),
+    )
+    return records.select(*names, F.inline(parts)).select(
+        *names, "part", F.posexplode_outer("texts").alias("ord", "text")
+    )
 
 
 def orphan_keys(

@@ -1,27 +1,14 @@
-"""Comments: projection, score filter, texts per post.
-
-A record lists all comments of its post, but one post may have any number of
-them.  So the id range of comments is cut into slices: a post of ordinary size
-gets one list, the lists of a heavy post hold one slice each.  That bounds every
-group that is collected, and spreads a heavy post over as many tasks as it has
-slices.
-"""
+"""Comments: projection, score filter, texts per post."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postsieve.functions.columns import as_list, in_order, required
 
-#: A slice is 2**SLICE_BITS comment ids wide: no slice has more comments than that.
-SLICE_BITS = 17
-#: A post is heavy when its comments have more characters than this.  There are
-#: at most (all characters / this) such posts, which bounds what is broadcast.
-HEAVY_CHARS = 64 * 1024 * 1024
-
 
 def project_comments(rows: DataFrame, carry: Sequence[str] = ("dataset",)) -> DataFrame:
     """Raw attributes of positively scored comments, ready to be grouped.
@@ -37,78 +24,18 @@ def project_comments(rows: DataFrame, carry: Sequence[str] = ("dataset",)) -> Da
     )
 
 
-class CommentLists:
-    """Comment texts per key, ordered by comment id, in groups of bounded size.
-
-    Comments are shuffled by key and slice, which no key can make uneven; the
-    sizes of posts and all lists read that one shuffle.
-    """
-
-    def __init__(
-        self,
-        comments: DataFrame,
-        keys: Sequence[str] = ("dataset", "post_id"),
-        slice_bits: int = SLICE_BITS,
-        heavy_chars: int = HEAVY_CHARS,
-    ):
-        self.keys = as_list(keys)
-        self._slice_bits = slice_bits
-        # Joins will ask for non-null keys and slices further up.  Settling that
-        # here keeps the plans below the shuffle equal, so Spark runs it once.
-        keyed = comments
-        for key in self.keys:
-            keyed = keyed.where(F.col(key).isNotNull())
-        self._placed = keyed.select(
-            *self.keys,
-            "comment_id",
-            "text",
-            self._slice_of(F.col("comment_id")).alias("slice"),
-        ).repartition(*self.keys, "slice")
-        sizes = self._placed.groupBy(*self.keys).agg(
-            F.sum(F.length("text")).alias("n_chars"), F.min("comment_id").alias("first_id")
-        )
-        #: ``(*keys, first_slice)`` of heavy posts: a short list, see HEAVY_CHARS.
-        self.heavy = sizes.where(F.col("n_chars") > heavy_chars).select(
-            *self.keys, self._slice_of(F.col("first_id")).alias("first_slice")
-        )
-
-    def _slice_of(self, comment_id: Column) -> Column:
-        return F.shiftright(F.coalesce(comment_id, F.lit(0)), self._slice_bits)
-
-    def _collect(self, comments: DataFrame, keys: Sequence[str]) -> DataFrame:
-        pairs = F.collect_list(F.struct("comment_id", "text"))
-        return (
-            comments.groupBy(*keys)
-            .agg(pairs.alias("pairs"))
-            .select(*keys, in_order(F.col("pairs"), "text").alias("comments"))
-        )
-
-    def per_post(self) -> DataFrame:
-        """``(*keys, comments)``: all texts of a key; of a heavy one, its first slice."""
-        first = self._placed.join(F.broadcast(self.heavy), self.keys, "left").where(
-            F.col("first_slice").isNull() | (F.col("slice") == F.col("first_slice"))
-        )
-        return self._collect(first, self.keys)
-
-    def overflow(self, of: DataFrame | None = None) -> DataFrame:
-        """``(*keys, comments)``: later slices of the heavy posts, a row for each.
-
-        With ``of`` only for its posts, and with its other columns.
-        """
-        wanted = self.heavy if of is None else of.join(F.broadcast(self.heavy), self.keys)
-        others = [] if of is None else [name for name in of.columns if name not in self.keys]
-        later = self._placed.join(F.broadcast(wanted), self.keys).where(
-            F.col("slice") > F.col("first_slice")
-        )
-        return self._collect(later, [*self.keys, "slice", *others]).drop("slice")
-
-
 def comments_per_post(
     comments: DataFrame, keys: Sequence[str] = ("dataset", "post_id")
 ) -> DataFrame:
-    """``(*keys, comments)``: comment texts of each key, ordered by comment id.
+    """``(*keys, comments)``: all comment texts of each key, one row per key.
 
-    A key with more than ``HEAVY_CHARS`` of text takes several rows.
+    Ordered by comment id, texts without one last, then by text.  A list is one
+    value, so it has to fit in a task; ``record_rows`` has no such list.
     """
-    lists = CommentLists(comments, keys)
-    return lists.per_post().unionByName(lists.overflow())
+    names = as_list(keys)
+    placed = F.struct(F.col("comment_id").isNull().alias("last"), "comment_id", "text")
+    return (
+        comments.groupBy(*names)
+        .agg(F.collect_list(placed).alias("placed"))
+        .select(*names, in_order(F.col("placed"), "text").alias("comments"))
+    )

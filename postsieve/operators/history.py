@@ -35,11 +35,14 @@ def latest_version(
 ) -> DataFrame:
     """Newest text per key; of equally dated ones the lowest event id wins.
 
+    A missing id comes after all ids, and of equal or missing ids the greatest
+    text wins, so that the result does not depend on the order of rows.
+
     Ranking with ``== 1`` lets Spark keep one row per key and map task before the
     shuffle, so a post with any number of edits never gathers in one place.
     """
     newest_first = Window.partitionBy(*as_list(keys)).orderBy(
-        F.col("creation_date").desc(), F.col("event_id")
+        F.col("creation_date").desc(), F.col("event_id").asc_nulls_last(), F.col("text").desc()
     )
     return (
         edits.withColumn("version_rank", F.row_number().over(newest_first))
@@ -52,7 +55,8 @@ def latest_version_by_max(
     edits: DataFrame, keys: Sequence[str] = ("dataset", "post_id")
 ) -> DataFrame:
     """The same result as one ``max_by`` aggregate."""
-    recency = F.struct("creation_date", -F.col("event_id"))
+    # A NULL is less than any number here, so a missing id loses against all ids.
+    recency = F.struct("creation_date", -F.col("event_id"), "text")
     version = F.struct("event_id", "creation_date", "text")
     return (
         edits.groupBy(*as_list(keys))

@@ -4,14 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from postsieve.operators.assemble import post_records
 from postsieve.operators.comments import project_comments
 from postsieve.operators.history import post_edits, project_history
 from postsieve.operators.posts import project_posts
 from postsieve.sinks.json_files import write_json_array, write_jsonl
-from postsieve.sources.dumps import read_table
+from postsieve.sources.dumps import dataset_names, read_table
+
+
+def _ambiguous_posts(observation: Observation) -> int:
+    try:
+        return observation.get["ambiguous_posts"]
+    except Py4JJavaError:  # Spark drops the metric with a plan in which it found no posts
+        return 0
 
 
 def corpus(
@@ -19,14 +27,15 @@ def corpus(
     input_dir: str,
     datasets: Iterable[str] | None = None,
     strict: bool = False,
+    observation: Observation | None = None,
 ) -> DataFrame:
     """Lazy records of the given (or all) datasets under ``input_dir``."""
-    names = None if datasets is None else list(datasets)
+    names = dataset_names(spark, input_dir, datasets)
     posts = project_posts(read_table(spark, input_dir, names, "posts"))
     comments = project_comments(read_table(spark, input_dir, names, "comments"))
     history = read_table(spark, input_dir, names, "post_history")
     edits = project_history(post_edits(history))
-    return post_records(posts, comments, edits, strict=strict)
+    return post_records(posts, comments, edits, strict=strict, observation=observation)
 
 
 def run(
@@ -38,16 +47,20 @@ def run(
     json_array: bool = False,
     mode: str = "errorifexists",
     strict: bool = False,
-) -> None:
+) -> int:
     """Build the corpus and write it as JSON lines, or as JSON arrays.
 
     All datasets are one job: every key starts with the dataset, so that equal
-    post ids of two sites never meet.
+    post ids of two sites never meet.  Returns the number of posts without a
+    record because they have several rows (see ``duplicate_posts``).
     """
-    records = corpus(spark, input_dir, datasets, strict)
+    names = dataset_names(spark, input_dir, datasets)
+    observation = Observation("corpus")
+    records = corpus(spark, input_dir, names, strict, observation)
     if json_array:
         if num_shards is None:
             raise ValueError("JSON arrays need num_shards")
-        write_json_array(records, output_dir, num_shards, mode)
+        write_json_array(records, output_dir, num_shards, mode, names)
     else:
-        write_jsonl(records, output_dir, num_shards, mode)
+        write_jsonl(records, output_dir, num_shards, mode, names)
+    return _ambiguous_posts(observation)

@@ -5,9 +5,15 @@ Output goes to ``<output_dir>/dataset=<name>/`` with Spark's own file names.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postsieve.sources.folders import delete_folder, folder_names, move_folder
+
 # Fixed value: non-ASCII characters are written as \uXXXX escapes, and a NULL
 # field is written rather than left out.
 _JSON_OPTIONS = {"ignoreNullFields": "false", "writeNonAsciiCharacterAsCodePoint": "true"}
@@ -23,22 +29,54 @@ def _shard(num_shards: int) -> Column:
     return F.pmod(F.xxhash64("dataset", "post_id"), F.lit(num_shards)).cast("int")
 
 
+def _write(lines: DataFrame, output_dir: str, mode: str, sites, *folders: str) -> None:
+    """Write text files by ``folders``; overwriting replaces whole datasets and no others.
+
+    New files are written beside the old ones and put in place by renaming.
+    ``sites`` are the datasets of this run: one without records loses its old ones.
+    """
+    if mode != "overwrite":
+        lines.write.mode(mode).partitionBy(*folders).text(output_dir)
+        return
+    spark = lines.sparkSession
+    root = output_dir.rstrip("/")
+    staged = f"{root}/_staged-{uuid.uuid4().hex}"
+    lines.write.partitionBy(*folders).text(staged)
+    new = folder_names(spark, staged)
+    gone = {f"dataset={site}" for site in sites or ()}
+    for name in folder_names(spark, root):
+        if unquote(name) in gone and name not in new:
+            delete_folder(spark, f"{root}/{name}")
+    for name in new:
+        move_folder(spark, f"{staged}/{name}", f"{root}/{name}")
+    delete_folder(spark, staged)
+
+
 def write_jsonl(
-    records: DataFrame, output_dir: str, num_shards: int | None = None, mode: str = "errorifexists"
+    records: DataFrame,
+    output_dir: str,
+    num_shards: int | None = None,
+    mode: str = "errorifexists",
+    sites: Sequence[str] | None = None,
+    spread: int = 16,
 ) -> None:
     """One record per line.
 
     Without ``num_shards`` Spark balances the files: a big dataset is split over
     many tasks and small ones share a task, so that neither one site with most
     of the posts nor many small sites hurt.  With it, every dataset gets that
-    many files (fewer where there are fewer records than that).
+    many files (fewer where there are fewer records than that), and datasets are
+    dealt over ``spread`` times as many tasks.
+
+    ``overwrite`` replaces the datasets in ``records`` and those named in ``sites``.
     """
     if num_shards is None:
         placed = records.hint("rebalance", "dataset")
     else:
-        placed = records.repartitionById(num_shards, _shard(num_shards))
+        place = F.pmod(F.xxhash64("dataset"), F.lit(spread)).cast("int") * num_shards
+        placed = records.repartitionById(num_shards * spread, place + _shard(num_shards))
     lines = placed.select("dataset", record_json().alias("value"))
-    lines.write.mode(mode).partitionBy("dataset").text(output_dir)
+    _write(lines, output_dir, mode, sites, "dataset")
 
 
 def json_array_lines(records: DataFrame, num_shards: int) -> DataFrame:
@@ -61,11 +99,16 @@ def json_array_lines(records: DataFrame, num_shards: int) -> DataFrame:
 
 
 def write_json_array(
-    records: DataFrame, output_dir: str, num_shards: int, mode: str = "errorifexists"
+    records: DataFrame,
+    output_dir: str,
+    num_shards: int,
+    mode: str = "errorifexists",
+    sites: Sequence[str] | None = None,
 ) -> None:
     """Valid JSON files, each one array, ``num_shards`` folders of one file per dataset.
 
     A file is written by one task, so choose ``num_shards`` by the data's size.
+    Overwriting is as in ``write_jsonl``.
     """
     lines = json_array_lines(records, num_shards)
-    lines.write.mode(mode).partitionBy("dataset", "shard").text(output_dir)
+    _write(lines, output_dir, mode, sites, "dataset", "shard")

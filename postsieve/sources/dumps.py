@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postsieve.functions import patterns as p
+from postsieve.sources.folders import folder_names
 
 # File names of the dump and the attributes used of each table.
 TABLE_FILES = {
@@ -26,14 +27,31 @@ TABLE_ATTRIBUTES = {
     "post_history": ("Id", "PostHistoryTypeId", "PostId", "CreationDate", "Text"),
 }
 
+# Attributes without which a row is in error, and their types.
+REQUIRED_ATTRIBUTES = {
+    "posts": {"Id": "bigint", "Score": "bigint"},
+    "comments": {"PostId": "bigint", "Score": "bigint", "Text": "string"},
+    "post_history": {"PostHistoryTypeId": "bigint", "PostId": "bigint", "CreationDate": "string"},
+}
+
 # Keep attribute values exactly as they are: no prefix, no trimming.
 _XML_OPTIONS = {"attributePrefix": "", "ignoreSurroundingSpaces": "false"}
 
 
-def table_paths(input_dir: str, datasets: Iterable[str] | None, table: str) -> list[str]:
-    """Input paths of one table; all dataset folders when ``datasets`` is None."""
-    names = ["*"] if datasets is None else list(datasets)
-    return [f"{input_dir.rstrip('/')}/{name}/{TABLE_FILES[table]}" for name in names]
+def dataset_names(
+    spark: SparkSession, input_dir: str, datasets: Iterable[str] | None = None
+) -> list[str]:
+    """The given datasets, or all folders of the dump.
+
+    Every table is then read by these names, so a site that lacks one of its
+    files fails the job whether it was named or found.
+    """
+    return folder_names(spark, input_dir) if datasets is None else list(datasets)
+
+
+def table_paths(input_dir: str, datasets: Iterable[str], table: str) -> list[str]:
+    """Input paths of one table."""
+    return [f"{input_dir.rstrip('/')}/{name}/{TABLE_FILES[table]}" for name in datasets]
 
 
 def dataset_of(path: Column) -> Column:
@@ -53,7 +71,7 @@ def read_lines(
     """
     return (
         spark.read.option("lineSep", "\n")
-        .text(table_paths(input_dir, datasets, table))
+        .text(table_paths(input_dir, dataset_names(spark, input_dir, datasets), table))
         .select(dataset_of(F.col("_metadata.file_path")).alias("dataset"), "value")
     )
 

@@ -25,7 +25,8 @@ VIEWS = {
         SELECT {_site("conv_id")}, conv_id, turn FROM conversations""",
     "raw_comments": f"""
         SELECT {_site("conv_id")} AS dataset, conv_id * 100 + turn AS comment_id,
-               conv_id AS post_id, CAST(length(text) % 5 - 1 AS BIGINT) AS score, text
+               CASE WHEN conv_id % 50 = 7 THEN conv_id + 100000000 ELSE conv_id END AS post_id,
+               CAST(length(text) % 5 - 1 AS BIGINT) AS score, text
         FROM conversations""",
     "comments": "SELECT * FROM raw_comments WHERE score > 0",
     "md": """
@@ -42,7 +43,8 @@ VIEWS = {
                 ELSE l END), chr(13) || chr(10)) AS text
         FROM documents""",
     "history": f"""
-        SELECT {_site("e.user_id")} AS dataset, e.event_id, e.user_id AS post_id,
+        SELECT {_site("e.user_id")} AS dataset, e.event_id,
+               CASE WHEN e.user_id % 50 = 3 THEN e.user_id + 100000000 ELSE e.user_id END AS post_id,
                CAST(CASE event_type WHEN 'signup' THEN 2 WHEN 'view' THEN 4 WHEN 'purchase' THEN 5
                     WHEN 'click' THEN 6 ELSE 8 END AS BIGINT) AS type_id,
                strftime(e.ts, '%Y-%m-%dT%H:%M:%S.%g') AS creation_date, m.text
@@ -99,6 +101,8 @@ SPLIT = r"""
 pieces AS (SELECT k, regexp_split_to_array(coalesce(text, ''), '[\r\n]?\n') AS parts FROM texts),
 raw_lines AS (SELECT k, generate_subscripts(parts, 1) - 1 AS pos, unnest(parts) AS raw FROM pieces)"""
 
+# Fixed values here and in MARKERS and READER: the patterns of functions/patterns.py in this
+# engine's dialect.
 FLAGS = r"""
 flagged AS (
     SELECT *,
@@ -374,9 +378,11 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT dataset, 'comments', n + 3 FROM ({_count("raw_comments")})
         UNION ALL SELECT dataset, 'post_history', n + 3 FROM ({_count("history")})""",
     "multi_dataset_counts": f"""WITH {_ALL_RAW}
-        SELECT p.dataset, p.n AS n_posts, c.n AS n_comments, h.n AS n_post_history
-        FROM ({_count("posts")}) p JOIN ({_count("raw_comments")}) c USING (dataset)
-        JOIN ({_count("history")}) h USING (dataset)""",
+        SELECT dataset, count(*) FILTER (t = 1) AS n_posts, count(*) FILTER (t = 2) AS n_comments,
+               count(*) FILTER (t = 3) AS n_post_history
+        FROM (SELECT dataset, 1 AS t FROM posts UNION ALL SELECT dataset, 2 FROM raw_comments
+              UNION ALL SELECT dataset, 3 FROM history)
+        GROUP BY dataset""",
     "filter_row_lines": f"""WITH {_ALL_RAW}
         {_xml_rows("posts")} UNION ALL {_xml_rows("comments")}
         UNION ALL {_xml_rows("post_history")}""",
@@ -388,9 +394,11 @@ ORACLES: dict[str, str] = {
                '(absent)', '(absent)', CAST(score AS VARCHAR), text FROM raw_comments
         UNION ALL SELECT dataset, CAST(event_id AS VARCHAR), CAST(post_id AS VARCHAR),
                CAST(type_id AS VARCHAR), creation_date, '(absent)', text FROM history""",
-    "cast_ids": f"""WITH {_views("history")}
-        SELECT dataset, event_id AS Id, post_id AS PostId, type_id AS PostHistoryTypeId
-        FROM history""",
+    "cast_ids": f"""WITH {_ALL_RAW}
+        SELECT dataset, 'posts' AS table_name, post_id AS Id, -1 AS PostId, -1 AS PostHistoryTypeId,
+               score AS Score FROM posts
+        UNION ALL SELECT dataset, 'comments', comment_id, post_id, -1, score FROM raw_comments
+        UNION ALL SELECT dataset, 'post_history', event_id, post_id, type_id, -1 FROM history""",
     "dataset_slug": """
         SELECT dataset, 'corpus-job-' || regexp_replace(lower(dataset), '[^-a-z0-9]+', '', 'g') AS slug,
                count(*) AS n_rows
@@ -420,20 +428,28 @@ ORACLES: dict[str, str] = {
         FROM (SELECT count(*) AS n FROM posts_with_repeats
               GROUP BY dataset, post_id HAVING count(*) > 1)""",
     "required_attribute_report": f"""WITH {_ALL_RAW},
-        n AS (SELECT (SELECT count(*) FROM posts) AS p, (SELECT count(*) FROM raw_comments) AS c,
-                     (SELECT count(*) FROM history) AS h)
-        SELECT 'Id' AS attribute, p + c + h AS n_rows, 0 AS n_missing, 0 AS n_malformed FROM n
-        UNION ALL SELECT 'PostId', p + c + h, p, 0 FROM n
-        UNION ALL SELECT 'Score', p + c + h, h, 0 FROM n
-        UNION ALL SELECT 'CreationDate', p + c + h, p + c, h FROM n""",
+        p AS (SELECT count(*) AS n, count(*) FILTER (post_id % 41 = 3) AS m,
+                     count(*) FILTER (post_id % 41 = 5) AS b FROM posts),
+        c AS (SELECT count(*) AS n, count(*) FILTER (comment_id % 41 = 3) AS m,
+                     count(*) FILTER (comment_id % 41 = 5) AS b FROM raw_comments),
+        h AS (SELECT count(*) AS n, count(*) FILTER (event_id % 41 = 3) AS m,
+                     count(*) FILTER (event_id % 41 = 5) AS b FROM history)
+        SELECT 'posts' AS table_name, 'Id' AS attribute, n AS n_rows, m AS n_missing, b AS n_malformed FROM p
+        UNION ALL SELECT 'posts', 'Score', n, m, b FROM p
+        UNION ALL SELECT 'comments', 'PostId', n, m, b FROM c
+        UNION ALL SELECT 'comments', 'Score', n, m, b FROM c
+        UNION ALL SELECT 'comments', 'Text', n, m, 0 FROM c
+        UNION ALL SELECT 'post_history', 'PostHistoryTypeId', n, m, b FROM h
+        UNION ALL SELECT 'post_history', 'PostId', n, m, b FROM h
+        UNION ALL SELECT 'post_history', 'CreationDate', n, m, 0 FROM h""",
     "latest_version": f"""WITH {_views("newest")}
         SELECT dataset, post_id, event_id, creation_date, text FROM newest""",
     "latest_version_by_max": f"""WITH {_views("newest")}
         SELECT dataset, post_id, event_id, creation_date, text FROM newest""",
-    "orphan_keys": f"""WITH {_views("scores", "comments", "edits")}
+    "orphan_keys": f"""WITH {_views("posts", "comments", "edits")}
         SELECT dataset, post_id FROM (SELECT dataset, post_id FROM comments
                                       UNION SELECT dataset, post_id FROM edits)
-        EXCEPT SELECT dataset, post_id FROM scores WHERE score > 0""",
+        EXCEPT SELECT dataset, post_id FROM posts""",
     "split_lines": _md(SPLIT, "SELECT k AS doc_id, pos, raw FROM raw_lines"),
     "line_flags": _md(
         FLAGS,
@@ -482,14 +498,35 @@ ORACLES: dict[str, str] = {
     "flatten_and_default": _blocks(
         _NEWEST,
         MERGE,
-        ("newest", "comments"),
-        """SELECT t.dataset, t.post_id, 'text_block' AS part,
-                  row_number() OVER (PARTITION BY k ORDER BY m.ord) - 1 AS ord, m.content AS text
-           FROM merged m JOIN texts t USING (k) WHERE m.block_type = 'text'
+        ("newest", "comments", "scores_with_repeats"),
+        """, entries AS (
+               SELECT t.dataset, t.post_id, 'text_block' AS part,
+                      row_number() OVER (PARTITION BY k ORDER BY m.ord) - 1 AS ord, m.content AS text
+               FROM merged m JOIN texts t USING (k) WHERE m.block_type = 'text'
+               UNION ALL
+               SELECT dataset, post_id, 'comment',
+                      row_number() OVER (PARTITION BY dataset, post_id ORDER BY comment_id) - 1, text
+               FROM comments),
+           keys AS (SELECT dataset, post_id FROM scores_with_repeats
+                    UNION SELECT dataset, post_id FROM newest UNION SELECT dataset, post_id FROM comments)
+           SELECT dataset, post_id, part, coalesce(ord, -1) AS ord, coalesce(text, '(none)') AS text
+           FROM keys CROSS JOIN (VALUES ('text_block'), ('comment')) AS p(part)
+           LEFT JOIN entries USING (dataset, post_id, part)""",
+    ),
+    "records_long_form": _blocks(
+        _NEWEST,
+        MERGE,
+        ("newest", "scores", "comments"),
+        """SELECT dataset, post_id, score, 'post' AS part, -1 AS position, '(none)' AS text
+           FROM scores WHERE score > 0
+           UNION ALL
+           SELECT dataset, post_id, s.score, 'text_block',
+                  row_number() OVER (PARTITION BY k ORDER BY m.ord) - 1, m.content
+           FROM merged m JOIN texts t USING (k) JOIN scores s USING (dataset, post_id)
+           WHERE m.block_type = 'text' AND s.score > 0
            UNION ALL
-           SELECT dataset, post_id, 'comment',
-                  row_number() OVER (PARTITION BY dataset, post_id ORDER BY comment_id) - 1, text
-           FROM comments""",
+           SELECT dataset, post_id, s.score, 'comment', comment_id, c.text
+           FROM comments c JOIN scores s USING (dataset, post_id) WHERE s.score > 0""",
     ),
     "posts_with_text": _RECORDS,
     "sink_jsonl_roundtrip": _RECORDS,

@@ -72,13 +72,12 @@ def dataset_from_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def multi_dataset_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = views.write_dump(spark, sf_dir)
-    counts = [
-        dumps.read_table(spark, root, views.DATASETS, name)
-        .groupBy("dataset")
-        .agg(F.count("*").alias(f"n_{name}"))
+    rows = [
+        dumps.read_table(spark, root, views.DATASETS, name).select("dataset", F.lit(name).alias("t"))
         for name in dumps.TABLE_FILES
     ]
-    return counts[0].join(counts[1], "dataset").join(counts[2], "dataset")
+    counts = [F.count_if(F.col("t") == name).alias(f"n_{name}") for name in dumps.TABLE_FILES]
+    return rows[0].union(rows[1]).union(rows[2]).groupBy("dataset").agg(*counts)
 
 
 def _raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,9 +101,15 @@ def parse_row_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cast_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = dumps.row_lines(views.xml_lines(views.raw_history(spark, sf_dir)))
-    parsed = dumps.row_attributes(rows, ("Id", "PostId", "PostHistoryTypeId"))
-    return parsed.select("dataset", *(_number(n).alias(n) for n in parsed.columns[1:]))
+    """Ids and scores of all tables, written with signs and blanks; absent ones are -1."""
+    names = ("Id", "PostId", "PostHistoryTypeId", "Score")
+    found = []
+    for table, raw in views.RAW_TABLES.items():
+        printed = views.xml_lines(views.with_blanks_and_signs(raw(spark, sf_dir)))
+        parsed = dumps.row_attributes(dumps.row_lines(printed), names)
+        values = [F.coalesce(_number(n), F.lit(-1)).alias(n) for n in names]
+        found.append(parsed.select("dataset", F.lit(table).alias("table_name"), *values))
+    return found[0].union(found[1]).union(found[2])
 
 
 def dataset_slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,9 +177,14 @@ def assert_unique_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def required_attribute_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = dumps.row_lines(_raw_lines(spark, sf_dir))
-    kinds = {"Id": "bigint", "PostId": "bigint", "Score": "bigint", "CreationDate": "bigint"}
-    return reports.required_attribute_report(dumps.row_attributes(rows, kinds), kinds)
+    """Each table's mandatory attributes in rows of which some lack them or have bad numbers."""
+    found = []
+    for table, kinds in dumps.REQUIRED_ATTRIBUTES.items():
+        faulty = views.with_faults(views.RAW_TABLES[table](spark, sf_dir))
+        rows = dumps.row_attributes(dumps.row_lines(views.xml_lines(faulty)), kinds)
+        report = reports.required_attribute_report(rows, kinds)
+        found.append(report.select(F.lit(table).alias("table_name"), "*"))
+    return found[0].union(found[1]).union(found[2])
 
 
 def latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -298,8 +308,10 @@ def cogroup_full_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flatten_and_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All entries of all lists; an empty list, present or not, is one row with ``ord`` -1."""
     items = assemble.record_items(_cogrouped(spark, sf_dir))
-    return items.select(*KEYS, "part", _number("ord").alias("ord"), "text")
+    place = F.coalesce(_number("ord"), F.lit(-1)).alias("ord")
+    return items.select(*KEYS, "part", place, F.coalesce("text", F.lit("(none)")).alias("text"))
 
 
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -314,9 +326,18 @@ def posts_with_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def records_long_form(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records as rows; a post's own row has position -1."""
+    rows = assemble.record_rows(
+        views.posts(spark, sf_dir), views.comments(spark, sf_dir), views.edits(spark, sf_dir)
+    )
+    place = F.coalesce("position", F.lit(-1)).alias("position")
+    return rows.select(*KEYS, "score", "part", place, F.coalesce("text", F.lit("(none)")).alias("text"))
+
+
 def orphan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assemble.orphan_keys(
-        posts.positive_score(views.posts(spark, sf_dir)),
+        views.posts(spark, sf_dir),
         views.comments(spark, sf_dir),
         views.edits(spark, sf_dir),
     )
@@ -409,6 +430,7 @@ QUERIES: dict[str, Query] = {
     "latest_version_by_max": latest_version_by_max,
     "cogroup_full_outer": cogroup_full_outer,
     "posts_with_text": posts_with_text,
+    "records_long_form": records_long_form,
     "orphan_keys": orphan_keys,
     "flatten_and_default": flatten_and_default,
     "assert_unique_scores": assert_unique_scores,

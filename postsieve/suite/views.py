@@ -9,7 +9,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +16,7 @@ from postsieve.operators.comments import project_comments
 from postsieve.operators.history import post_edits, project_history
 from postsieve.operators.posts import project_posts
 from postsieve.sources.dumps import TABLE_FILES
+from postsieve.sources.folders import delete_folder, move_folder
 
 DATASETS = ("a.example.com", "b.example.com", "c.example.com")
 
@@ -29,6 +29,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Some comments and edits belong to posts that do not exist: their ids are beyond all posts.
+ORPHAN_OFFSET = 100_000_000
+
+
+def _with_orphans(post_id: Column, rest: int) -> Column:
+    return F.when(post_id % 50 == rest, post_id + ORPHAN_OFFSET).otherwise(post_id)
+
+
 def _dataset(post_id: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, DATASETS)), (post_id % len(DATASETS) + 1).cast("int"))
 
@@ -57,7 +65,7 @@ def raw_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").select(
         _dataset(conv_id).alias("dataset"),
         (conv_id * 100 + F.col("turn")).alias("Id"),
-        conv_id.alias("PostId"),
+        _with_orphans(conv_id, 7).alias("PostId"),
         (F.length("text") % 5 - 1).cast("bigint").alias("Score"),
         F.col("text").alias("Text"),
     )
@@ -104,7 +112,7 @@ def raw_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select(
         _dataset(F.col("user_id")).alias("dataset"),
         F.col("event_id").alias("Id"),
-        F.col("user_id").alias("PostId"),
+        _with_orphans(F.col("user_id"), 3).alias("PostId"),
         type_id.alias("PostHistoryTypeId"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("CreationDate"),
         (F.col("event_id") % n_docs).alias("doc_id"),
@@ -166,25 +174,57 @@ def with_root_tags(spark: SparkSession, lines: DataFrame, name: str) -> DataFram
 RAW_TABLES = {"posts": raw_posts, "comments": raw_comments, "post_history": raw_history}
 
 
+def with_blanks_and_signs(rows: DataFrame) -> DataFrame:
+    """The same rows with integers as text, some between blanks and some with a plus sign."""
+
+    def written(name: str) -> Column:
+        value = F.col(name).cast("string")
+        blank = F.concat(F.lit(" "), value, F.lit("  "))
+        signed = F.when(F.col(name) >= 0, F.concat(F.lit("+"), value)).otherwise(value)
+        return F.when(F.col("Id") % 3 == 0, blank).when(F.col("Id") % 3 == 1, signed).otherwise(value)
+
+    numbers = {"Id", "PostId", "Score", "PostHistoryTypeId"}
+    return rows.select(*(written(n).alias(n) if n in numbers else n for n in rows.columns))
+
+
+def with_faults(rows: DataFrame) -> DataFrame:
+    """The same rows with attributes missing where the id is 3, and malformed where it is 5, modulo 41."""
+    rest = F.col("Id") % 41
+    numbers = {"Id", "PostId", "Score", "PostHistoryTypeId"}
+
+    def faulty(name: str) -> Column:
+        value = F.col(name).cast("string")
+        if name in numbers:
+            value = F.when(rest == 5, F.concat(F.lit("x"), value)).otherwise(value)
+        return F.when(rest != 3, value).alias(name)
+
+    return rows.select("dataset", *(faulty(n) for n in rows.columns if n != "dataset"))
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder for one run, in the shared folder the session names.
 
-    Only a session without one (a local one) gets a folder of this machine.
+    Only a local session may lack one: other executors do not see this machine's disk.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         return tempfile.mkdtemp(prefix="postsieve-")
     return f"{shared.rstrip('/')}/postsieve-{uuid.uuid4().hex}"
 
 
 def write_dump(spark: SparkSession, sf_dir: str, names=tuple(RAW_TABLES)) -> str:
-    """Write the derived tables as a dump and return its folder."""
+    """Write the derived tables as a dump and return its folder.
+
+    One write per table; its folders, one per dataset, are then moved to their places.
+    """
     root = scratch_dir(spark)
     for name in names:
         lines = with_root_tags(spark, xml_lines(RAW_TABLES[name](spark, sf_dir)), name)
-        lines.persist(StorageLevel.DISK_ONLY)
+        lines.write.partitionBy("dataset").text(f"{root}/_{name}")
         for dataset in DATASETS:
-            one = lines.where(F.col("dataset") == dataset).select("value")
-            one.write.text(f"{root}/{dataset}/{TABLE_FILES[name]}")
-        lines.unpersist()
+            source = f"{root}/_{name}/dataset={dataset}"
+            move_folder(spark, source, f"{root}/{dataset}/{TABLE_FILES[name]}")
+        delete_folder(spark, f"{root}/_{name}")
     return root

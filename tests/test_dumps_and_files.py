@@ -95,6 +95,25 @@ def test_missing_table_file_is_an_error(spark, dump):
         read_lines(spark, str(dump), ["nowhere.example.com"], "posts").collect()
 
 
+@pytest.mark.parametrize("names", [None, ["s1.example.com", "s2.example.com"]])
+def test_site_without_one_of_its_files_is_an_error(spark, dump, tmp_path, names):
+    for site in ("s1.example.com", "s2.example.com"):
+        for name in ("Posts.xml", "Comments.xml", "PostHistory.xml"):
+            if (site, name) != ("s2.example.com", "PostHistory.xml"):
+                write(tmp_path / site / name, "x", ['<row Id="1" Score="1" />'] if name == "Posts.xml" else [])
+    with pytest.raises(PySparkException, match="PATH_NOT_FOUND"):
+        run(spark, str(tmp_path), str(tmp_path / "out"), names)
+
+
+def test_run_counts_ambiguous_posts(spark, tmp_path):
+    site = tmp_path / "in" / "s.example.com"
+    twice = ['<row Id="1" Score="1" />', '<row Id="1" Score="2" />', '<row Id="2" Score="2" />']
+    write(site / "Posts.xml", "posts", twice)
+    write(site / "Comments.xml", "comments", [])
+    write(site / "PostHistory.xml", "posthistory", [])
+    assert run(spark, str(tmp_path / "in"), str(tmp_path / "out")) == 1
+
+
 def test_tables_in_folders_of_part_files(spark, tmp_path):
     for part in ("part-0", "part-1"):
         write(tmp_path / "s.example.com" / "Posts.xml" / part, "posts", ['<row Id="1" Score="1" />'])
@@ -171,6 +190,32 @@ def test_run_does_not_overwrite_unasked(spark, dump, tmp_path):
         run(spark, str(dump), out)
 
 
+@pytest.mark.parametrize("json_array", [False, True])
+def test_overwriting_one_site_leaves_the_others(spark, dump, tmp_path, json_array):
+    out = str(tmp_path / "out")
+    parse = json.loads if json_array else json_lines
+    run(spark, str(dump), out, num_shards=4, json_array=json_array)
+    assert written(out, parse) == RECORDS
+    kept = {f: f.stat().st_mtime_ns for f in pathlib.Path(out).rglob("dataset=a*/**/part-*")}
+    run(spark, str(dump), out, ["b c+d.example.com"], 2, json_array, mode="overwrite")
+    assert written(out, parse) == RECORDS
+    assert kept == {f: f.stat().st_mtime_ns for f in pathlib.Path(out).rglob("dataset=a*/**/part-*")}
+    run(spark, str(dump), out, None, 1, json_array, mode="overwrite")
+    assert written(out, parse) == RECORDS
+    for folder in pathlib.Path(out).glob("dataset=*"):
+        assert len(list(folder.rglob("part-*"))) == 1
+
+
+def test_overwriting_a_site_that_became_empty_removes_it(spark, dump, tmp_path):
+    out = str(tmp_path / "out")
+    run(spark, str(dump), out)
+    site = tmp_path / "in" / "b c+d.example.com"
+    for name in ("Posts.xml", "Comments.xml", "PostHistory.xml"):
+        write(site / name, "x", [])
+    run(spark, str(tmp_path / "in"), out, mode="overwrite")
+    assert written(out, json_lines) == {"a.example.com": RECORDS["a.example.com"]}
+
+
 @pytest.fixture(scope="module")
 def many(spark):
     site = F.when(F.col("id") % 3 == 0, "big.example.com").otherwise(
@@ -203,6 +248,13 @@ def test_shards_of_json_lines(many, tmp_path, num_shards):
         assert len(list(folder.glob("part-*"))) == num_shards
 
 
+def test_sites_are_written_by_different_tasks(many, tmp_path):
+    out = tmp_path / "out"
+    write_jsonl(many, str(out), 1)
+    tasks = {f.name.split("-")[1] for f in out.glob("dataset=*/part-*")}
+    assert len(tasks) > 1
+
+
 @pytest.mark.parametrize("num_shards", [1, 5])
 def test_every_array_file_is_one_json_value(many, tmp_path, num_shards):
     out = tmp_path / "out"

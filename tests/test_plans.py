@@ -73,15 +73,18 @@ def test_versions_are_cut_down_before_the_shuffle(inputs):
     assert any("WindowGroupLimit" in line for line in plan[exchange:])
 
 
-def test_records_shuffle_posts_and_history_once(inputs, no_broadcast):
-    """Posts, history, comments by slice and comments by post.
-
-    The narrow shuffle of post sizes has run too; as there are no heavy posts,
-    their join and the overflow are no longer in the plan.
-    """
+def test_records_shuffle_every_table_once(inputs, no_broadcast):
+    """Posts, history and comments; the list of posts to keep reuses the posts' shuffle."""
     plan = final_plan(post_records(*inputs))
-    assert len(shuffles(plan)) == 4
+    assert len(shuffles(plan)) == 3
     assert not any("CartesianProduct" in line or "BroadcastNestedLoop" in line for line in plan)
+    assert not any("Broadcast" in line for line in plan)
+
+
+def test_comments_of_other_posts_are_not_gathered(inputs, no_broadcast):
+    plan = final_plan(post_records(*inputs))
+    gather = next(i for i, line in enumerate(plan) if "collect_list" in line)
+    assert any("LeftSemi" in line for line in plan[gather:])
 
 
 def test_dropped_posts_are_not_taken_apart(inputs, no_broadcast):

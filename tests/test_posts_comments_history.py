@@ -4,8 +4,14 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from postsieve.operators.assemble import cogroup, orphan_keys, post_records
-from postsieve.operators.comments import CommentLists, comments_per_post, project_comments
+from postsieve.operators.assemble import (
+    cogroup,
+    orphan_keys,
+    post_records,
+    record_items,
+    record_rows,
+)
+from postsieve.operators.comments import comments_per_post, project_comments
 from postsieve.operators.history import (
     latest_version,
     latest_version_by_max,
@@ -176,76 +182,93 @@ def test_missing_attributes_fail_without_ansi_mode_too(spark):
         spark.conf.unset("spark.sql.ansi.enabled")
 
 
-# --- heavy posts -----------------------------------------------------------------
+# --- posts with many comments, missing ids, ties --------------------------------------
 
 
 @pytest.fixture(scope="module")
 def crowded(spark):
-    """Post 0 has a third of all comments, over many id slices; the rest few each."""
+    """Post 0 has a third of all comments, some without id; the rest have few each."""
     n = 900
     post = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 100 + 1)
     return spark.range(n).select(
-        F.substring(F.format_string("a%d", "id"), 1, 1).alias("dataset"),
+        F.lit("a").alias("dataset"),
         post.cast("bigint").alias("post_id"),
-        F.col("id").alias("comment_id"),
+        F.when(F.col("id") % 10 != 3, F.col("id")).alias("comment_id"),
         F.format_string("text %03d", "id").alias("text"),
     )
 
 
 def expected_texts(crowded):
     expected = {}
-    for row in crowded.orderBy("comment_id").collect():
+    for row in crowded.orderBy(F.col("comment_id").asc_nulls_last(), "text").collect():
         expected.setdefault(row.post_id, []).append(row.text)
     return expected
 
 
-def test_heavy_posts_are_split_and_stay_whole(crowded):
-    expected = expected_texts(crowded)
-    lists = CommentLists(crowded, slice_bits=6, heavy_chars=1000)
-    assert rows(lists.heavy) == [("a", 0, 0)]
-    first = {r.post_id: r.comments for r in lists.per_post().collect()}
-    further = lists.overflow().collect()
-    assert {k: v for k, v in first.items() if k != 0} == {
-        k: v for k, v in expected.items() if k != 0
-    }
-    pieces = sorted([first[0]] + [r.comments for r in further])
-    assert sum(pieces, []) == expected[0]
-    assert len(pieces) == 15 and max(map(len, pieces)) <= 22
-
-
-def test_light_posts_over_several_slices_become_one_list(crowded):
-    lists = CommentLists(crowded, slice_bits=3, heavy_chars=10**6)
-    assert {r.post_id: r.comments for r in lists.per_post().collect()} == expected_texts(crowded)
+def test_comments_without_id_are_kept_and_come_last(crowded):
+    found = comments_per_post(crowded).collect()
+    assert {r.post_id: r.comments for r in found} == expected_texts(crowded)
+    assert len(found) == 101
 
 
-def test_heavy_posts_continue_in_further_records(spark, crowded):
-    posts = spark.range(101).select(
+@pytest.fixture(scope="module")
+def scored(spark):
+    return spark.range(101).select(
         F.lit("a").alias("dataset"), F.col("id").alias("post_id"), F.lit(3).cast("bigint").alias("score")
     )
-    edits = spark.createDataFrame(
+
+
+@pytest.fixture(scope="module")
+def one_edit(spark):
+    return spark.createDataFrame(
         [("a", 0, 1, "2020", "prose")],
         "dataset string, post_id bigint, event_id bigint, creation_date string, text string",
     )
-    records = post_records(posts, crowded, edits, slice_bits=6, heavy_chars=1000).collect()
-    heavy = [r for r in records if r.post_id == 0]
-    assert len(records) == 101 + 14 and {r.score for r in records} == {3}
-    assert sorted(r.text_blocks for r in heavy) == [[]] * 14 + [["prose"]]
-    assert sorted(t for r in heavy for t in r.comments) == expected_texts(crowded)[0]
 
 
-def final_plan(df):
-    df.collect()
-    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+def test_every_post_has_one_record(scored, crowded, one_edit):
+    records = post_records(scored, crowded, one_edit).collect()
+    assert sorted(r.post_id for r in records) == list(range(101))
+    assert {r.post_id: r.comments for r in records} == expected_texts(crowded)
+    assert [r.text_blocks for r in records if r.post_id == 0] == [["prose"]]
+
 
+def test_long_form_has_the_same_content(scored, crowded, one_edit):
+    found = record_rows(scored, crowded, one_edit).collect()
+    assert sorted(r.post_id for r in found if r.part == "post") == list(range(101))
+    assert [(r.post_id, r.position, r.text) for r in found if r.part == "text_block"] == [(0, 0, "prose")]
+    comments = [r for r in found if r.part == "comment"]
+    assert len(comments) == 900 and {r.score for r in found} == {3}
+    expected = {(r.post_id, r.comment_id, r.text) for r in crowded.collect()}
+    assert {(r.post_id, r.position, r.text) for r in comments} == expected
 
-def test_comments_are_shuffled_once_for_sizes_and_slices(crowded):
-    """One shuffle of comments serves the sizes, the lists and the overflow."""
-    lists = CommentLists(crowded, slice_bits=6, heavy_chars=1000)
-    plan = final_plan(lists.per_post().unionByName(lists.overflow()))
-    placements = [line for line in plan.splitlines() if "REPARTITION_BY_COL" in line]
-    assert len([line for line in placements if "ReusedExchange" not in line]) == 1
+
+TIES = [
+    ([(None, "a"), (7, "b")], "b"),
+    ([(7, "b"), (None, "a"), (3, "c")], "c"),
+    ([(None, "a"), (None, "b")], "b"),
+    ([(5, "x"), (5, "y")], "y"),
+]
 
 
-def test_records_without_heavy_posts_need_no_union(posts, comments, edits):
-    plan = final_plan(post_records(posts, comments, edits))
-    assert "Union" not in plan
+@pytest.mark.parametrize("versions, winner", TIES)
+@pytest.mark.parametrize("find", [latest_version, latest_version_by_max])
+def test_ties_of_versions_are_fixed(spark, find, versions, winner):
+    for rows_in in (versions, versions[::-1]):
+        edits = spark.createDataFrame(
+            [("a", 1, event_id, "2020", text) for event_id, text in rows_in],
+            "dataset string, post_id bigint, event_id bigint, creation_date string, text string",
+        )
+        assert [r.text for r in find(edits).collect()] == [winner]
+
+
+def test_empty_lists_are_one_row_each(spark):
+    records = spark.createDataFrame(
+        [("a", 1, 2, ["x", "y"], []), ("a", 2, 3, [], ["z"])],
+        "dataset string, post_id bigint, score bigint, text_blocks array<string>, comments array<string>",
+    )
+    found = record_items(records).select("post_id", "part", "ord", "text")
+    assert set(map(tuple, found.collect())) == {
+        (1, "text_block", 0, "x"), (1, "text_block", 1, "y"), (1, "comment", None, None),
+        (2, "text_block", None, None), (2, "comment", 0, "z"),
+    }

@@ -6,9 +6,13 @@ l.  Each set picks its own l by estimated cost: a longer prefix is more to look
 then share more of it before they are verified.  A pair is held to the smaller of its two l.
 
 Documents with equal sets are one class and never paired.  Families of near copies are linked
-first, each class to one other class found through its rarest n-grams; what is in one component
-after that needs no further pairs.  The full prefixes are then joined for classes of different
-components only, which finds every remaining link.  The result is exact.
+first, in rounds: classes that share one of their members with the smallest hashes are sorted in
+an order of that member's own, and neighbours are verified, so that each class meets a few random
+ones of its family and the family soon is one component.  What is in one component needs no further
+pairs.  The full prefixes are then joined for classes of different components only, which finds
+every remaining link.  Where very many classes share a prefix member, pairs are not made: the
+classes are dealt into blocks, a task compares the sets of two blocks and returns a spanning
+forest of the links it finds.  The result is exact.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postsieve.llm.common import stored
+from postsieve.llm.common import input_tasks, stored
 from postsieve.llm.graph import components
 from postsieve.llm.words import distinct, mix, small_batches, windows, word_hashes
 
@@ -28,13 +32,17 @@ from postsieve.llm.words import distinct, mix, small_batches, windows, word_hash
 BUCKETS = 1 << 17
 BLOCK = 1 << 12
 #: Largest number of shared prefix members that a set may ask for.
-MOST_MATCHES = 6
+MOST_MATCHES = 16
 #: Cost of verifying one candidate, in members of posting lists read.
 VERIFY_COST = 30.0
-#: First members of a prefix by which families are found.
-FAMILY_TOKENS = 3
+#: Members with the smallest hashes by which families are found, for each round in turn.
+FAMILY_ROUNDS = (4,)
 #: Row keys of classes to fetch are sent to all executors up to this many (8 bytes each).
 BROADCAST_KEYS = 4_000_000
+#: Classes that share one prefix member are paired by a join up to this many; more are compared in blocks.
+SMALL_GROUP = 16
+BLOCK_CLASSES = 256
+_FAMILY_SEED = np.uint64(0x5851F42D4C957F2D)
 
 
 def text_sets(texts: pa.Array, n_words: int) -> Iterator[np.ndarray]:
@@ -138,7 +146,10 @@ def choose_matches(counts: np.ndarray, n: int, needed: int) -> int:
 
 
 def prefixes(docs: DataFrame, n_words: int, sketch: np.ndarray, share: tuple[int, int]) -> DataFrame:
-    """``(class_id, row_key, n, matches, tokens)``: a row per class with its ordered prefix."""
+    """``(class_id, row_key, n, matches, tokens, family)``: a row per class with its ordered prefix.
+
+    ``family`` are the members with the smallest hashes.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
     at_least, of = share
 
@@ -158,32 +169,29 @@ def prefixes(docs: DataFrame, n_words: int, sketch: np.ndarray, share: tuple[int
                     needed = -(-at_least * n // of)
                     matches = choose_matches(counts[order], n, needed)
                     prefix = _signed(tokens[order[: n - needed + matches]])
-                    out.append((class_id, key.as_py(), n, matches, prefix))
+                    few = _signed(tokens[np.argsort(mix(tokens ^ _FAMILY_SEED))[: sum(FAMILY_ROUNDS)]])
+                    out.append((class_id, key.as_py(), n, matches, prefix, few))
                 if len(seen) > 1_000_000:
                     seen.clear()  # a class that comes again is removed below
-                lists = list(zip(*out)) if out else [[]] * 5
-                kinds = [*[pa.int64()] * 4, pa.list_(pa.int64())]
+                lists = list(zip(*out)) if out else [[]] * 6
+                kinds = [*[pa.int64()] * 4, *[pa.list_(pa.int64())] * 2]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(v), k) for v, k in zip(lists, kinds)],
-                    ["class_id", "row_key", "n", "matches", "tokens"],
+                    ["class_id", "row_key", "n", "matches", "tokens", "family"],
                 )
 
-    schema = "class_id BIGINT, row_key BIGINT, n BIGINT, matches BIGINT, tokens ARRAY<BIGINT>"
+    schema = (
+        "class_id BIGINT, row_key BIGINT, n BIGINT, matches BIGINT, tokens ARRAY<BIGINT>, "
+        "family ARRAY<BIGINT>"
+    )
     return docs.mapInArrow(cut, schema).dropDuplicates(["class_id"])
 
 
-def linked_pairs(
-    pairs: DataFrame, classes: DataFrame, docs: DataFrame, n_words: int, share: tuple[int, int]
-) -> DataFrame:
-    """Those pairs ``(a, b)`` of classes whose sets reach the similarity.
-
-    The sets of all classes in the pairs are made from their texts; each pair then carries the
-    set of ``a`` to that of ``b``.
-    """
-    spark, (at_least, of) = docs.sparkSession, share
-    pairs = stored(pairs)
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class_id")).distinct()
-    keys = stored(classes.join(wanted, "class_id", "left_semi").select("class_id", "row_key"))
+def class_sets(wanted: DataFrame, classes: DataFrame, docs: DataFrame, n_words: int) -> DataFrame:
+    """``(class_id, set)`` of the wanted classes, made anew from their texts."""
+    keys = stored(
+        classes.join(wanted.distinct(), "class_id", "left_semi").select("class_id", "row_key")
+    )
     chosen = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,8 +204,17 @@ def linked_pairs(
 
     found = docs.join(chosen, "row_key").select("class_id", "text")
     found = found.mapInArrow(sets, "class_id BIGINT, set BINARY")
-    # Rows repeated in the input have one key and equal sets: one of each is enough.
-    found = stored(found.dropDuplicates(["class_id"]))
+    # Rows repeated in the input have one key and equal sets: one of each is enough.  The shuffle
+    # that removes the others also serves the joins on the class.
+    return found.dropDuplicates(["class_id"])
+
+
+def linked_pairs(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """Those pairs ``(a, b)`` of classes whose sets reach the similarity.
+
+    Each pair carries the set of ``a`` to that of ``b``.
+    """
+    at_least, of = share
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,23 +224,54 @@ def linked_pairs(
                 at = np.searchsorted(b, a)
                 same = int(np.count_nonzero(b[np.minimum(at, len(b) - 1)] == a))
                 good.append(of * same >= at_least * (len(a) + len(b) - same))
-            kept = batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-            yield kept
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    with_a = pairs.join(found.withColumnsRenamed({"class_id": "a", "set": "set_a"}), "a")
-    both = with_a.join(found.withColumnsRenamed({"class_id": "b", "set": "set_b"}), "b")
+    # Never by broadcast: pairs and sets grow with the documents.
+    with_a = pairs.join(sets.withColumnsRenamed({"class_id": "a", "set": "set_a"}).hint("merge"), "a")
+    both = with_a.join(sets.withColumnsRenamed({"class_id": "b", "set": "set_b"}).hint("merge"), "b")
     return stored(both.select("a", "b", "set_a", "set_b").mapInArrow(verify, "a BIGINT, b BIGINT"))
 
 
-def family_pairs(classes: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """``(a, b)``: each class with the smallest class that shares one of its rarest n-grams."""
-    rare = classes.select("class_id", "n", F.explode(F.slice("tokens", 1, FAMILY_TOKENS)).alias("token"))
-    head = F.min(F.struct(F.xxhash64("class_id").alias("rank"), "class_id", "n")).alias("head")
-    heads = rare.groupBy("token").agg(head, F.count("*").alias("members")).where("members > 1")
-    met = rare.join(heads, "token").where("class_id <> head.class_id")
-    close = _sizes_allow("n", "head.n", share)
-    best = met.where(close).groupBy("class_id").agg(F.min("head").alias("head"))
-    return best.select(F.col("class_id").alias("a"), F.col("head.class_id").alias("b"))
+def with_components(classes: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Classes with their ``component`` so far; one without links is its own."""
+    if labels is None:
+        return classes.withColumn("component", F.col("class_id"))
+    joined = classes.join(labels, F.col("class_id") == F.col("node"), "left")
+    return joined.select(*classes.columns, F.coalesce("component", "class_id").alias("component"))
+
+
+def family_pairs(
+    classes: DataFrame, labels: DataFrame | None, first: int, count: int, share: tuple[int, int]
+) -> DataFrame:
+    """``(a, b)`` of different components that are neighbours by one of ``count`` family members.
+
+    Classes with a member in common are sorted by a hash of member and class.  Very many of them
+    are spread over several tasks; neighbours at the tasks' borders do not meet in this round.
+    """
+    at_least, of = share
+    members = with_components(classes, labels).select(
+        "class_id", "n", "component", F.explode(F.slice("family", first + 1, count)).alias("token")
+    )
+    place = F.xxhash64("token", "class_id").alias("place")
+    rows = members.select("token", place, "class_id", "n", "component")
+    dealt = rows.repartitionByRange(input_tasks(classes.sparkSession), "token", "place")
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            table = np.stack([batch.column(c).to_numpy() for c in ("token", "class_id", "n", "component")])
+            if last is not None:
+                table = np.concatenate((last, table), axis=1)
+            (token, class_id, n, component), last = table, table[:, -1:]
+            small, large = np.minimum(n[1:], n[:-1]), np.maximum(n[1:], n[:-1])
+            good = (token[1:] == token[:-1]) & (component[1:] != component[:-1])
+            good &= small * of >= large * at_least
+            a, b = class_id[:-1][good], class_id[1:][good]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"]
+            )
+
+    return dealt.sortWithinPartitions("token", "place").mapInArrow(meet, "a BIGINT, b BIGINT").distinct()
 
 
 def _sizes_allow(x: str, y: str, share: tuple[int, int]):
@@ -231,23 +279,35 @@ def _sizes_allow(x: str, y: str, share: tuple[int, int]):
     return small * share[1] >= large * share[0]
 
 
-def candidate_pairs(classes: DataFrame, labels: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """``(a, b)`` of different components that share as many prefix members as they must.
+def open_posts(classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(token, members, class_id, n, matches, component)`` of prefix members in two components or more.
 
-    Prefix members that occur in one component only (nearly all) leave before the join.
+    Prefix members that occur in one component only (nearly all) leave before any join of classes.
     """
-    labelled = classes.join(labels, F.col("class_id") == F.col("node"), "left").select(
-        "class_id", "n", "matches", "tokens", F.coalesce("component", "class_id").alias("component")
-    )
-    labelled = stored(labelled)
+    labelled = stored(with_components(classes.select("class_id", "n", "matches", "tokens"), labels))
     posts = labelled.select("class_id", "n", "matches", "component", F.explode("tokens").alias("token"))
     spread = posts.groupBy("token").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
+        F.min("component").alias("low"), F.max("component").alias("high"),
+        F.count("*").alias("members"), F.min("matches").alias("fewest"),
+    )
+    shared = spread.where("low < high").select("token", "members", "fewest")
+    found = stored(posts.join(shared.hint("merge"), "token"))
+    # A class needs as many such members as it, or the least asking class it meets, asks for.
+    own = found.groupBy("class_id").agg(
+        F.count("*").alias("open"), F.min(F.least("matches", "fewest")).alias("asked")
     )
-    open_tokens = spread.where("low < high").select("token")
-    open_posts = stored(posts.join(open_tokens, "token", "left_semi"))
+    enough = own.where("open >= asked").select("class_id")
+    return stored(found.join(enough.hint("merge"), "class_id", "left_semi").drop("fewest"))
+
+
+def candidate_pairs(posts: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """``(a, b)`` of different components that share as many prefix members as they must.
+
+    Counted are members in small groups; a pair that shares one in a large group is compared there.
+    """
+    few = posts.where(F.col("members") <= SMALL_GROUP)
     left, right = (
-        open_posts.select("token", *[F.col(c).alias(f"{side}_{c}") for c in ("class_id", "n", "matches", "component")])
+        few.select("token", *[F.col(c).alias(f"{side}_{c}") for c in ("class_id", "n", "matches", "component")])
         for side in ("a", "b")
     )
     met = left.join(right, "token").where(
@@ -262,17 +322,97 @@ def candidate_pairs(classes: DataFrame, labels: DataFrame, share: tuple[int, int
     return counted.where("shared >= asked").select("a", "b")
 
 
+def large_groups(posts: DataFrame) -> DataFrame:
+    """``(base, class_id, component, block, blocks)``: classes that share a prefix member in a large group.
+
+    Members with one head are one group, so a family that shares many of them is compared once.
+    """
+    many = posts.where(F.col("members") > SMALL_GROUP)
+    head = F.min(F.struct(F.xxhash64("class_id").alias("place"), "class_id")).alias("head")
+    heads = many.groupBy("token").agg(head).select("token", F.col("head.class_id").alias("base"))
+    members = stored(many.join(heads, "token").select("base", "class_id", "component").distinct())
+    sizes = members.groupBy("base").agg(F.ceil(F.count("*") / BLOCK_CLASSES).alias("blocks"))
+    block = F.pmod(F.xxhash64("class_id", F.lit(1)), "blocks").alias("block")
+    return members.join(sizes, "base").select("base", "class_id", "component", block, "blocks")
+
+
+def block_links(groups: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """``(a, b)``: links between classes of a group, a spanning forest per pair of blocks."""
+    at_least, of = share
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other")
+    dealt = groups.select("base", "class_id", "component", "block", other)
+    dealt = dealt.join(sets.hint("merge"), "class_id").select(
+        "base",
+        F.least("block", "other").alias("low"),
+        F.greatest("block", "other").alias("high"),
+        "class_id", "component", "block", "set",
+    )
+
+    def compare(table: pa.Table) -> pa.Table:
+        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+        ids, block = (table.column(c).to_numpy() for c in ("class_id", "block"))
+        component = np.unique(table.column("component").to_numpy(), return_inverse=True)[1]
+        sets_ = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("set")]
+        sizes = np.array([len(x) for x in sets_], np.int64)
+        owner = np.repeat(np.arange(len(sets_)), sizes)
+        tokens, place, times = np.unique(np.concatenate(sets_), return_inverse=True, return_counts=True)
+        shared = np.flatnonzero(times > 1)  # others are in no intersection
+        column = np.full(len(tokens), -1, np.int64)
+        column[shared] = np.arange(len(shared))
+        place = column[place]
+        order = np.argsort(place, kind="stable")
+        owner, place = owner[order], place[order]
+        same = np.zeros((len(sets_), len(sets_)), np.float32)
+        for first in range(0, len(shared), 4096):
+            a, b = np.searchsorted(place, (first, first + 4096))
+            dense = np.zeros((len(sets_), 4096), np.float32)
+            dense[owner[a:b], place[a:b] - first] = 1
+            same += dense @ dense.T
+        same = same.astype(np.int64)
+        union = sizes[:, None] + sizes[None, :] - same
+        good = np.triu(of * same >= at_least * union, 1) & (component[:, None] != component[None, :])
+        if low < high:
+            good &= block[:, None] != block[None, :]
+        root = list(range(int(component.max()) + 1))
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        out = []
+        for i, j in zip(*np.nonzero(good)):
+            x, y = find(int(component[i])), find(int(component[j]))
+            if x != y:
+                root[x] = y
+                out.append((int(ids[i]), int(ids[j])))
+        return pa.table(
+            {"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())}
+        )
+
+    return stored(dealt.groupBy("base", "low", "high").applyInArrow(compare, "a BIGINT, b BIGINT"))
+
+
+def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components of earlier labels and further links together."""
+    if labels is not None:
+        known = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        links = known.where("a <> b").union(links)
+    return components(links)
+
+
 def near_duplicates(
     docs: DataFrame, n_words: int = 5, share: tuple[int, int] = (80, 100),
     doc_id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, class_id)``, a row per input row.
+    """``(doc_id, n_shingles, component_id, class_id, row_key)``, a row per input row.
 
     Two documents are linked if ``share[1] * intersection >= share[0] * union`` of their sets of
     ``n_words``-word n-grams (A-Z lower-cased; words between ASCII white space; a text with
     fewer words is one n-gram).  ``component_id`` is the smallest id that links lead to, the
     document's own included.  Texts without words, empty or NULL, are linked with nothing; their
-    ``class_id`` is NULL.  NULL ids are never the smallest, unless a component has no other.  Rows
+    ``class_id`` is NULL.  ``row_key`` is a hash of id and text.  NULL ids are never the smallest, unless a component has no other.  Rows
     repeating id or text are documents as others.  An empty table gives an empty result; other
     columns are not looked at.
     """
@@ -283,22 +423,51 @@ def near_duplicates(
     described = stored(document_classes(rows, n_words))
     sketch = _read_sketch(described)
     classes = stored(prefixes(rows, n_words, sketch, share))
-    links = linked_pairs(family_pairs(classes, share), classes, rows, n_words, share)
-    labels = components(links)
-    further = linked_pairs(candidate_pairs(classes, labels, share), classes, rows, n_words, share)
-    labels = components(links.union(further))
+    labels, first = None, 0
+    both = F.explode(F.array("a", "b")).alias("class_id")
+    for count in FAMILY_ROUNDS:
+        pairs = stored(family_pairs(classes, labels, first, count, share))
+        sets = class_sets(pairs.select(both), classes, rows, n_words)
+        labels = merged(labels, linked_pairs(pairs, sets, share))
+        first += count
+    posts = open_posts(classes, labels)
+    pairs, groups = stored(candidate_pairs(posts, share)), stored(large_groups(posts))
+    wanted = pairs.select(both).union(groups.select("class_id"))
+    sets = class_sets(wanted, classes, rows, n_words)
+    links = linked_pairs(pairs, sets, share).union(block_links(groups, sets, share))
+    labels = merged(labels, links)
     members = described.where("n >= 0").select("doc_id", "n", "class_id", "row_key")
     joined = members.join(labels, F.col("class_id") == F.col("node"), "left")
     # A class without links is its own component, a text without words its own class.
     own = F.concat(F.lit("row "), F.col("row_key"))
     group = F.coalesce("component", "class_id").cast("string")
     grouped = stored(
-        joined.select("doc_id", F.col("n").alias("n_shingles"), "class_id", F.coalesce(group, own).alias("group"))
+        joined.select(
+            "doc_id", F.col("n").alias("n_shingles"), "class_id", "row_key", F.coalesce(group, own).alias("group")
+        )
     )
     linked = grouped.where("class_id IS NOT NULL")
     least = linked.groupBy("group").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("size"))
     least = least.where("size > 1").drop("size")
     smallest = F.coalesce("component_id", "doc_id")
     return grouped.join(least, "group", "left").select(
-        "doc_id", "n_shingles", smallest.alias("component_id"), "class_id"
+        "doc_id", "n_shingles", smallest.alias("component_id"), "class_id", "row_key"
+    )
+
+
+def distinct_documents(
+    docs: DataFrame, n_words: int = 5, share: tuple[int, int] = (80, 100),
+    doc_id: str = "doc_id", text: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of their component, with all their columns.
+
+    Rows that repeat both id and text are one document, and one of them stays.  Rows of one
+    component with its smallest id but different texts all stay, as do texts without words, which
+    are linked with nothing, and NULL ids in a component without any other id.
+    """
+    found = near_duplicates(docs, n_words, share, doc_id, text)
+    stays = found.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(
+        F.col("row_key").alias("__key")
     )
+    keyed = docs.withColumn("__key", F.xxhash64(F.col(doc_id), F.col(text)))
+    return keyed.join(stays.distinct(), "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")

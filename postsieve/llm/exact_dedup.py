@@ -16,8 +16,9 @@ from postsieve.llm.common import normal_text, stored
 
 #: Characters of the normalised text in the second level's hash.
 PREFIX = 256
-#: Surviving groups are sent to all executors while they are no more than this many (24 bytes
-#: each); beyond it, all rows hash their content in the scan and the rest is the same.
+#: Lengths and groups that survive are sent to all executors while they are no more than this many
+#: (24 bytes each).  Beyond it, lengths are joined by a shuffle, and all rows hash their content in
+#: the scan; the result is the same.
 BROADCAST_GROUPS = 1_000_000
 
 
@@ -43,6 +44,9 @@ def exact_duplicates(
     )
     # Level 1: lengths that occur more than once.
     lengths = rows.groupBy("n_bytes").agg(F.count("*").alias("n")).where("n > 1").select("n_bytes")
+    lengths = stored(lengths)
+    if lengths.count() <= broadcast_groups:
+        lengths = F.broadcast(lengths)
     # Level 2: of those, prefixes that occur more than once at one length.
     prefixed = rows.withColumn("prefix_hash", F.xxhash64(F.substring("normal", 1, prefix)))
     narrow = prefixed.select("n_bytes", "prefix_hash").join(lengths, "n_bytes", "left_semi")

@@ -257,7 +257,9 @@ def pack(
     # One row per length, at most ``capacity`` of them.
     histogram = per_part.groupBy("length").agg(F.sum("n").alias("n")).collect()
     plan = Plan({row["length"]: row["n"] for row in histogram}, capacity)
-    ranked = pieces.join(running_totals(per_part, ["n"], ["length"]), ["part", "length"]).withColumn(
+    # A row per task and length; never broadcast, since there are more of them with more tasks.
+    before = running_totals(per_part, ["n"], ["length"]).hint("merge")
+    ranked = pieces.join(before, ["part", "length"]).withColumn(
         "rank", F.col("n_before") + F.col("rank_in_part")
     )
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "rank", "part", "row"]

@@ -23,6 +23,8 @@ from postsieve.llm.words import mix, small_batches, text_buffer, word_hashes
 
 #: Words of a block that is worth deleting.  Shorter repeats are ordinary language.
 MIN_WORDS = 20
+#: Rows of one line are dealt over this many tasks where they meet its owner.
+SALTS = 16
 #: Lines with fewer words are too common to find a pair by.  They may still be part of a block.
 MIN_LINE_WORDS = 3
 
@@ -156,7 +158,10 @@ def repeated_lines(
     )
     # A line that only its owner has finds no pair.
     owners = owners.where("last <> owner.place").select("line", "owner")
-    met = each.join(owners, "line").where("owner.place < place")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    owners = owners.select("line", "owner", salts)
+    salted = each.withColumn("salt", F.pmod(F.xxhash64("row_key"), F.lit(SALTS)).cast("int"))
+    met = salted.join(owners, ["line", "salt"]).where("owner.place < place")
     pairs = stored(met.select("row_key", F.col("owner.row_key").alias("owner_key")).distinct())
     content = lines.select("row_key", "lines", "words").dropDuplicates(["row_key"])
     later = pairs.join(content, "row_key")
@@ -223,7 +228,8 @@ def dedup_lines(
     )
     return (
         docs.withColumn("__key", key)
-        .join(removed, "__key", "left")
+        # Always by a shuffle: the list of what is removed grows with the documents.
+        .join(removed.hint("merge"), "__key", "left")
         .withColumn("n_lines", F.size(split).cast("bigint"))
         .withColumn(text, F.when(F.col("removed").isNull(), F.col(text)).otherwise(kept))
         .withColumn("removed_words", F.coalesce("removed_words", F.lit(0)))

@@ -13,6 +13,7 @@ import pytest
 import __spark_entry__ as entry_module
 from postsieve.operators.blocks import text_blocks
 from postsieve.suite.oracles import ORACLES
+from postsieve.suite.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = ("documents", "events", "conversations")
@@ -31,7 +32,12 @@ def comparable(columns, rows):
     return sorted(columns), sorted(tuple(row[i] for i in order) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+def test_every_query_is_registered():
+    assert set(QUERIES) == set(ORACLES) and set(QUERIES) <= set(entry_module.queries())
+    assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     found = entry_module.queries()[name](spark, SF_DIR)
     expected = duck.execute(entry_module.oracle_sql()[name])

@@ -47,10 +47,6 @@ def test_query_equals_sql(spark, duck, name):
     )
 
 
-def test_every_query_has_sql():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
-
-
 def test_entry_has_rows(spark):
     assert entry_module.entry(spark).count() > 0
 

@@ -5,6 +5,10 @@ of lines that are rare for their length (lines of a few words recur by chance an
 and there is at most one pair per line.  Each pair is aligned with patience diff (lines that occur once on either side are matched
 in order, and the stretches between them again), runs of equal lines are blocks, and blocks with
 enough words leave the later document.
+
+That misses blocks whose lines have other first documents.  With ``every_block`` (as in the query
+and the pipeline) the first owner of each shortest run of lines with enough words is looked up
+instead, which finds all blocks of all earlier documents without any alignment.
 """
 
 from __future__ import annotations
@@ -27,6 +31,8 @@ MIN_WORDS = 20
 SALTS = 16
 #: Lines with fewer words are too common to find a pair by.  They may still be part of a block.
 MIN_LINE_WORDS = 3
+#: Of the hashes of runs of lines; odd.
+_BASE = 0x9E3779B97F4A7C15
 
 
 def line_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -188,9 +194,67 @@ def repeated_lines(
     )
 
 
+def shortest_runs(lines: np.ndarray, words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(hash, start, end)``: from each line on, and up to each line, the fewest lines with ``min_words`` words.
+
+    Ends are exclusive.  Every line of a block with so many words is in such a run within the block.
+    """
+    n, at = len(lines), np.arange(len(lines))
+    total = np.concatenate((np.zeros(1, np.int64), np.cumsum(words, dtype=np.int64)))
+    ahead = np.maximum(np.searchsorted(total, total[:-1] + min_words), at + 1)
+    back = np.minimum(np.searchsorted(total, total[1:] - min_words, side="right") - 1, at)
+    start = np.concatenate((at[ahead <= n], back[back >= 0]))
+    end = np.concatenate((ahead[ahead <= n], at[back >= 0] + 1))
+    start, end = np.unique(np.stack((start, end)), axis=1)
+    base, inverse = (np.full(n, x, np.uint64) for x in (_BASE, pow(_BASE, -1, 1 << 64)))
+    base[:1], inverse[:1] = 1, 1
+    sums = np.cumsum(mix(lines.view(np.uint64)) * np.cumprod(base), dtype=np.uint64)
+    sums = np.concatenate((np.zeros(1, np.uint64), sums))
+    run = mix((sums[end] - sums[start]) * np.cumprod(inverse)[start] + (end - start).astype(np.uint64))
+    return run.view(np.int64), start, end
+
+
+def repeated_runs(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``(row_key, removed)`` as ``repeated_lines``, of all blocks that any earlier document has.
+
+    The first owner of each shortest run of lines is looked up, so lines are found however often
+    they occur, in whatever order, and whoever else has them.
+    """
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                own, words = (batch.column(c)[row].values.to_numpy() for c in ("lines", "words"))
+                run, start, end = shortest_runs(own, words, min_words)
+                if not len(run):
+                    continue
+                same = pa.array(np.zeros(len(run), np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(run), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)),
+                        *[batch.column(c).slice(row, 1).take(same) for c in ("last", "doc_id", "row_key")],
+                    ],
+                    ["run", "start", "end", "last", "doc_id", "row_key"],
+                )
+
+    flat = lines.select("lines", "words", F.col("place.last"), F.col("place.doc_id"), F.col("place.row_key"))
+    schema = "run BIGINT, start INT, end INT, last BOOLEAN, doc_id BIGINT, row_key BIGINT"
+    each = flat.mapInArrow(read, schema).withColumn("place", F.struct("last", "doc_id", "row_key"))
+    each = stored(each.select("run", "start", "end", "row_key", "place"))
+    owners = each.groupBy("run").agg(F.min("place").alias("owner"), F.max("place").alias("latest"))
+    owners = owners.where("latest <> owner").select("run", "owner")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    owners = owners.select("run", "owner", salts)
+    salted = each.withColumn("salt", F.pmod(F.xxhash64("row_key"), F.lit(SALTS)).cast("int"))
+    met = salted.join(owners, ["run", "salt"]).where("owner < place")
+    found = met.groupBy("row_key").agg(F.collect_set(F.struct("start", "end")).alias("runs"))
+    spots = F.flatten(F.transform("runs", lambda x: F.sequence(x["start"], x["end"] - 1)))
+    return found.select("row_key", F.array_sort(F.array_distinct(spots)).alias("removed"))
+
+
 def dedup_lines(
     docs: DataFrame, min_words: int = MIN_WORDS, min_line_words: int = MIN_LINE_WORDS,
-    doc_id: str = "doc_id", text: str = "text",
+    doc_id: str = "doc_id", text: str = "text", every_block: bool = False,
 ) -> DataFrame:
     """All columns of ``docs`` with the text less the lines that repeat earlier documents.
 
@@ -199,7 +263,9 @@ def dedup_lines(
     id, NULL last, then by a hash of the text.  Lines are equal if their words are (words between
     ASCII white space).  Of documents that repeat another wholly nothing is left: their text is
     empty.  Rows that repeat both id and text are judged alike, as one document.  NULL texts stay
-    NULL, texts without a repeat stay as they are.  An empty table gives an empty result.
+    NULL, texts without a repeat stay as they are.  An empty table gives an empty result.  With
+    ``every_block`` all blocks that any earlier document has go; without, only those aligned with
+    the first document of one of their lines.
     """
     own = ["removed", "n_lines", "removed_words"]
     docs = docs.drop(*own)
@@ -212,7 +278,10 @@ def dedup_lines(
             "place", F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_key")
         )
     )
-    found = repeated_lines(lines, min_words, min_line_words)
+    if every_block:
+        found = repeated_runs(lines, min_words)
+    else:
+        found = repeated_lines(lines, min_words, min_line_words)
     sizes = lines.select("row_key", "words").dropDuplicates(["row_key"])
     removed = stored(
         found.join(sizes, "row_key").select(

@@ -47,7 +47,7 @@ def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), every_block=True)
     return found.select(
         "doc_id", "n_lines", F.size("removed").alias("n_removed"), "removed_words", "removed", "text"
     )

@@ -91,3 +91,33 @@ def test_copies_lose_everything_and_repeated_rows_agree(spark):
     rows = [(5, PROSE, "a"), (6, PROSE + "\nand more", "a"), (6, PROSE + "\nand more", "a"), (None, PROSE, "a")]
     found = line_dedup.dedup_lines(rows_of(spark, rows, CLASHING)).orderBy(F.col("doc_id").asc_nulls_last())
     assert [(r.doc_id, r.text) for r in found.collect()] == [(5, PROSE), (6, "and more"), (6, "and more"), (None, "")]
+
+
+def brute_force(rows, min_words):
+    """Lines of all blocks with enough words that stand in any earlier document."""
+    out, earlier = {}, set()
+    for doc_id, text, _ in sorted(rows):
+        lines, removed, own = [tuple(words(x)) for x in text.split("\n")], set(), set()
+        for i in range(len(lines)):
+            for j in range(i + 1, len(lines) + 1):
+                if sum(map(len, lines[i:j])) >= min_words:
+                    own.add(tuple(lines[i:j]))
+                    if tuple(lines[i:j]) in earlier:
+                        removed |= set(range(i, j))
+        earlier |= own
+        out[doc_id] = sorted(removed)
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_every_block_of_all_earlier_documents_goes(spark, seed):
+    x, y, z = (" ".join(f"{c}{i}" for i in range(7)) for c in "xyz")
+    rows = corpus(seed)
+    rows += [(200, x, "a"), (201, y, "a"), (202, z, "a"), (203, f"own\n{x}\n{y}\n{z}", "a"), (204, f"{x}\n{y}\n{z}\nother", "a")]
+    # Lines of one or two words, and a passage twice in one document.
+    short = "\n".join(f"s{i}" for i in range(25))
+    rows += [(205, short, "a"), (206, f"{short}\nbetween\n{short}", "a")]
+    found = line_dedup.dedup_lines(rows_of(spark, rows), min_words=20, every_block=True).collect()
+    assert {r.doc_id: r.removed or [] for r in found} == brute_force(rows, 20)
+    assert {r.doc_id: r.text for r in found}[204] == "other"
+    assert {r.doc_id: r.text for r in found}[206] == "between"

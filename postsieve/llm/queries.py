@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsieve.llm import exact_dedup, line_dedup, mixing, near_join, ngram_lm, packing, quality, records, sharding, substring_dedup
+from postsieve.llm import exact_dedup, line_dedup, merkle, mixing, near_join, ngram_lm, packing, quality, records, sharding, substring_dedup
 from postsieve.llm.common import scratch_dir
 
 
@@ -86,6 +86,18 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The manifest's check: rows whose id has a checksum divisible by three come with lower-cased text.
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    tampered = F.translate("text", _UPPER, _UPPER.lower())
+    found = merkle.manifest(docs, changed, tampered)
+    return found.drop("group", "path")
+
+
 QUERIES = {
     "op1_token_records": op1_token_records,
     "op2_trie_scores": op2_trie_scores,
@@ -97,6 +109,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_ngram_join": op9_ngram_join,
     "op10_shards": op10_shards,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 ORACLES = {
@@ -144,4 +157,90 @@ ORACLES = {
         SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256
         FROM normal JOIN groups USING (text_sha256)
     """,
+    # Checksums bit by bit: a byte is added, then eight steps (-1) are taken.
+    "op12_merkle_manifest": f"""
+        WITH RECURSIVE given AS (
+            SELECT *, list_reduce(
+                list_prepend(4294967295, flatten(list_transform(
+                    string_split(CAST(doc_id AS VARCHAR), ''),
+                    lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]
+                ))),
+                lambda a, b: CASE WHEN b >= 0 THEN xor(a, b)
+                    ELSE xor(a >> 1, CASE WHEN a % 2 = 1 THEN 3988292384 ELSE 0 END) END
+            ) AS reversed
+            FROM documents
+        ),
+        texts AS (
+            SELECT *, CASE WHEN xor(reversed, 4294967295) % 3 = 0
+                THEN translate(text, '{_UPPER}', '{_UPPER.lower()}') ELSE text END AS given_text
+            FROM given
+        ),
+        fields AS (
+            SELECT doc_id, lang,
+                coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-')
+                || coalesce(strlen(source) || ':' || source, '-')
+                || coalesce(strlen(lang) || ':' || lang, '-')
+                || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+                coalesce(strlen(text) || ':' || text, '-') AS body,
+                coalesce(strlen(given_text) || ':' || given_text, '-') AS given_body
+            FROM texts
+        ),
+        leaves AS (
+            SELECT doc_id, lang, sha256(head || body) AS leaf, sha256(head || given_body) AS given_leaf,
+                row_number() OVER (PARTITION BY lang ORDER BY doc_id, sha256(head || body)) - 1 AS pos
+            FROM fields
+        ),
+        nodes AS (
+            SELECT lang, 0 AS level, pos, leaf AS node, count(*) OVER (PARTITION BY lang) AS n FROM leaves
+            UNION ALL
+            SELECT lang, level + 1, pos // 8, sha256(string_agg(node, '' ORDER BY pos)), (n + 7) // 8
+            FROM nodes WHERE n > 1 GROUP BY lang, level, n, pos // 8
+        ),
+        subroots AS (
+            SELECT lang, node AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place
+            FROM nodes WHERE n = 1
+        ),
+        upper_nodes AS (
+            SELECT 0 AS level, place AS pos, subroot AS node, count(*) OVER () AS n FROM subroots
+            UNION ALL
+            SELECT level + 1, pos // 8, sha256(string_agg(node, '' ORDER BY pos)), (n + 7) // 8
+            FROM upper_nodes WHERE n > 1 GROUP BY level, n, pos // 8
+        ),
+        roots AS (SELECT node AS root FROM upper_nodes WHERE n = 1),
+        runs AS (
+            SELECT lang, level, pos // 8 AS run, list(node ORDER BY pos) AS members
+            FROM nodes WHERE n > 1 GROUP BY ALL
+        ),
+        upper_runs AS (
+            SELECT level, pos // 8 AS run, list(node ORDER BY pos) AS members
+            FROM upper_nodes WHERE n > 1 GROUP BY ALL
+        ),
+        folded AS (
+            SELECT doc_id, lang, leaf, pos AS leaf_pos, 0 AS level, pos, given_leaf AS node, '' AS siblings
+            FROM leaves
+            UNION ALL
+            SELECT f.doc_id, f.lang, leaf, leaf_pos, f.level + 1, pos // 8,
+                sha256(array_to_string(members[:pos % 8], '') || node || array_to_string(members[pos % 8 + 2:], '')),
+                siblings || array_to_string(members[:pos % 8], '') || array_to_string(members[pos % 8 + 2:], '')
+            FROM folded f JOIN runs r ON f.lang IS NOT DISTINCT FROM r.lang AND f.level = r.level AND f.pos // 8 = r.run
+        ),
+        at_subroot AS (
+            SELECT f.*, subroot, place FROM (
+                SELECT * FROM folded QUALIFY level = max(level) OVER (PARTITION BY lang, leaf_pos)
+            ) f JOIN subroots s ON f.lang IS NOT DISTINCT FROM s.lang
+        ),
+        upper_folded AS (
+            SELECT doc_id, lang, leaf, leaf_pos, subroot, 0 AS level, place AS pos, node, siblings FROM at_subroot
+            UNION ALL
+            SELECT doc_id, lang, leaf, leaf_pos, subroot, f.level + 1, pos // 8,
+                sha256(array_to_string(members[:pos % 8], '') || node || array_to_string(members[pos % 8 + 2:], '')),
+                siblings || array_to_string(members[:pos % 8], '') || array_to_string(members[pos % 8 + 2:], '')
+            FROM upper_folded f JOIN upper_runs r ON f.level = r.level AND f.pos // 8 = r.run
+        )
+        SELECT doc_id, leaf, subroot, root, sha256(siblings) AS proof_sha256, node AS folded_root,
+            node = root AS verified
+        FROM (
+            SELECT * FROM upper_folded QUALIFY level = max(level) OVER (PARTITION BY lang, leaf_pos)
+        ), roots
+    """,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsieve.llm import exact_dedup, line_dedup, merkle, mixing, near_join, ngram_lm, packing, quality, records, sharding, substring_dedup
+from postsieve.llm import exact_dedup, hard_negatives, line_dedup, merkle, mixing, near_join, ngram_lm, packing, quality, records, sharding, substring_dedup, suffix_dedup
 from postsieve.llm.common import scratch_dir
 
 
@@ -86,6 +86,12 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hard_negatives.hard_negatives(hard_negatives.integer_vectors(rows))
+
+
 #: The manifest's check: rows whose id has a checksum divisible by three come with lower-cased text.
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -98,6 +104,18 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("group", "path")
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.repeated_strings(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op1_token_records": op1_token_records,
     "op2_trie_scores": op2_trie_scores,
@@ -109,7 +127,9 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_ngram_join": op9_ngram_join,
     "op10_shards": op10_shards,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
 
 ORACLES = {
@@ -243,4 +263,64 @@ ORACLES = {
             SELECT * FROM upper_folded QUALIFY level = max(level) OVER (PARTITION BY lang, leaf_pos)
         ), roots
     """,
+    "op11_hard_negatives": """
+        WITH vectors AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        scores AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS alike,
+                CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+            FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id
+            WHERE a.vec_id % 50 = 0
+        ),
+        positives AS (
+            SELECT * FROM scores WHERE alike
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        )
+        SELECT p.anchor_id, p.vec_id AS positive_id,
+            CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+            n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+        FROM positives p JOIN scores n ON p.anchor_id = n.anchor_id AND NOT n.alike
+            AND 100 * n.score BETWEEN 50 * p.score AND 95 * p.score
+        QUALIFY rank <= 3
+    """,
+    # Bytes as pairs of hex digits.
+    "op13_suffix_dedup": """
+        WITH bytes AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+        strings AS (
+            SELECT doc_id, pos, substr(x, 2 * pos + 1, 100) AS s
+            FROM bytes, LATERAL (SELECT unnest(range(0, len(x) // 2 - 49)) AS pos)
+        ),
+        firsts AS (SELECT s, min(doc_id) AS first FROM strings GROUP BY s HAVING min(doc_id) < max(doc_id)),
+        marked AS (
+            SELECT doc_id, pos, lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS before
+            FROM strings JOIN firsts USING (s) WHERE doc_id > first
+        ),
+        runs AS (
+            SELECT doc_id, pos,
+                sum(CASE WHEN before IS NULL OR pos > before + 50 THEN 1 ELSE 0 END)
+                    OVER (PARTITION BY doc_id ORDER BY pos) AS run
+            FROM marked
+        ),
+        spans AS (SELECT doc_id, min(pos) AS a, max(pos) + 50 AS b FROM runs GROUP BY doc_id, run),
+        gaps AS (
+            SELECT doc_id, a, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS free FROM spans
+            UNION ALL
+            SELECT d.doc_id, len(x) // 2, coalesce(max(b), 0) FROM bytes d LEFT JOIN spans s ON d.doc_id = s.doc_id
+            GROUP BY d.doc_id, x
+        ),
+        left_over AS (
+            SELECT d.doc_id, string_agg(substr(x, 2 * free + 1, 2 * (a - free)), '' ORDER BY a, free) AS kept
+            FROM bytes d JOIN gaps g ON d.doc_id = g.doc_id GROUP BY d.doc_id
+        )
+        SELECT d.doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes,
+            CAST(coalesce(sum(b - s.a), 0) AS BIGINT) AS n_removed, count(b) AS n_spans,
+            any_value(sha256(unhex(kept))) AS kept_sha256
+        FROM bytes d JOIN left_over l ON d.doc_id = l.doc_id LEFT JOIN spans s ON d.doc_id = s.doc_id
+        GROUP BY d.doc_id, x
+    """,
 }

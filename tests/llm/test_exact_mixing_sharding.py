@@ -15,7 +15,8 @@ from .conftest import AWKWARD, CLASHING, SPACES, rows_of
 
 def compared(spark, sf_dir, name):
     duck = duckdb.connect()
-    duck.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    for name_ in ("documents", "embeddings"):
+        duck.sql(f"CREATE VIEW {name_} AS SELECT * FROM '{sf_dir}/{name_}.parquet'")
     found = QUERIES[name](spark, sf_dir)
     expected = duck.sql(ORACLES[name])
     columns = sorted(found.columns)

@@ -12,6 +12,11 @@ matching over Unicode.
 SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 ROW_ELEMENT = rf"\A{SPACE}*<row"
+#: Where files with elements over several lines are cut, what follows it in a row, and a row's
+#: attributes up to its end.  Loops are possessive: values may be long.
+ROW_MARK = "<row"
+ROW_REST = r"\A(?=[\s/>])\s*+[^<\s]"
+ROW_ATTRIBUTES = r"""\A((?:[^"'<>/]++|"[^"]*+"|'[^']*+')*+)/?>"""
 LINE_BREAK = r"[\r\n]?\n"
 
 INDENTED_LINE = r"\A(?: {4}|[ ]*\t)"

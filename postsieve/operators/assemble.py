@@ -44,6 +44,7 @@ def _scored_prose(
     names: list[str],
     strict: bool,
     observation: Observation | None,
+    rules: dict[str, bool],
 ) -> tuple[DataFrame, DataFrame]:
     """Positively scored posts, and the same with their text blocks.
 
@@ -56,7 +57,7 @@ def _scored_prose(
         posts = posts.where(F.col(name).isNotNull())
     scored = positive_score(single_score_per_post(posts, names, strict, observation))
     newest = latest_version(edits, names).select(*names, "text")
-    return scored, text_blocks(scored.join(newest, names, "left"), names, carry=["score"])
+    return scored, text_blocks(scored.join(newest, names, "left"), names, carry=["score"], **rules)
 
 
 def post_records(
@@ -66,6 +67,7 @@ def post_records(
     keys: Sequence[str] = KEYS,
     strict: bool = False,
     observation: Observation | None = None,
+    **rules: bool,
 ) -> DataFrame:
     """Records of all positively scored posts, ``(*keys, score, text_blocks, comments)``.
 
@@ -74,10 +76,11 @@ def post_records(
     placement.  Comments of other posts leave before they are gathered.
 
     Every post has one record.  A post with several rows has no score and so no
-    record; ``strict`` fails the job, an ``observation`` counts such posts.
+    record; ``strict`` fails the job, an ``observation`` counts such posts.  ``rules`` are
+    options of ``text_blocks``.
     """
     names = as_list(keys)
-    scored, prose = _scored_prose(posts, edits, names, strict, observation)
+    scored, prose = _scored_prose(posts, edits, names, strict, observation, rules)
     kept = comments.join(scored.select(*names), names, "left_semi")
     return prose.join(comments_per_post(kept, names), names, "left").select(
         *names, "score", "text_blocks", or_empty(F.col("comments")).alias("comments")
@@ -90,6 +93,7 @@ def record_rows(
     edits: DataFrame,
     keys: Sequence[str] = KEYS,
     strict: bool = False,
+    **rules: bool,
 ) -> DataFrame:
     """Records in long form: ``(*keys, score, part, position, text)``, a row per text.
 
@@ -98,7 +102,7 @@ def record_rows(
     ``comment`` (the position is the comment's id, which orders them).
     """
     names = as_list(keys)
-    scored, prose = _scored_prose(posts, edits, names, strict, None)
+    scored, prose = _scored_prose(posts, edits, names, strict, None, rules)
     columns = [*names, "score"]
     no_position = F.lit(None).cast("bigint").alias("position")
     heads = scored.select(

@@ -21,7 +21,7 @@ from postsieve.functions.columns import as_list, has_letter_or_digit, has_text,
 from postsieve.operators.lines import line_flags, split_lines, strip_markers
 
 CODE, TEXT = "code", "text"
-YES, NO = bytearray(b"1"), bytearray(b"0")
+YES, NO, GONE = bytearray(b"1"), bytearray(b"0"), bytearray(b"2")
 
 
 def _set_so_far(col: Column, frame) -> Column:
@@ -35,7 +35,24 @@ def _frames(keys: Sequence[str]):
     return up_to_here, before
 
 
-def code_flags(marked: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _closing_fences(marked: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add ``fence_open`` where a fence on a line of its own closes what is open.
+
+    Other fences set the state; since the last of them, the number of lone ones tells it.
+    """
+    up_to_here, _ = _frames(keys)
+    lone = F.col("set_fence") & F.col("line").isNull()
+    counted = marked.withColumn("n_lone", F.sum(F.coalesce(lone, F.lit(False)).cast("int")).over(up_to_here))
+    setting = F.when(
+        F.col("set_fence").isNotNull() & ~lone,
+        F.struct(F.col("set_fence").cast("int").alias("state"), "n_lone"),
+    )
+    last = _set_so_far(setting, up_to_here)
+    turned = F.col("n_lone") - F.coalesce(last["n_lone"], F.lit(0)) + F.coalesce(last["state"], F.lit(0))
+    return counted.select(*marked.columns, (turned % 2 == 1).alias("fence_open"))
+
+
+def code_flags(marked: DataFrame, keys: Sequence[str], close_fences: bool = False) -> DataFrame:
     """Add ``is_kept``, ``in_code`` and ``after_symbols`` to marked lines.
 
     ``is_kept``: the line takes part in a block.  ``in_code``: it is code for a
@@ -44,11 +61,14 @@ def code_flags(marked: DataFrame, keys: Sequence[str]) -> DataFrame:
     """
     up_to_here, before = _frames(keys)
     code_left_open = F.when(F.col("close_code_after"), F.lit(False)).otherwise(F.col("set_code"))
-    flags = marked.select(
+    if close_fences:
+        fences = _closing_fences(marked, keys)
+    else:
+        fences = marked.withColumn("fence_open", _set_so_far(F.col("set_fence"), up_to_here))
+    flags = fences.select(
         "*",
         _set_so_far(F.col("set_snippet"), up_to_here).alias("snippet_open"),
         _set_so_far(F.col("set_script"), up_to_here).alias("script_open"),
-        _set_so_far(F.col("set_fence"), up_to_here).alias("fence_open"),
         F.coalesce("set_code", _set_so_far(code_left_open, before)).alias("code_open"),
         _set_so_far(has_letter_or_digit(F.col("line")), before).alias("alnum_before"),
     )
@@ -100,7 +120,11 @@ def block_states(flagged: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def traced_lines(
-    df: DataFrame, keys: Sequence[str], text_col: str = "text", carry: Sequence[str] = ()
+    df: DataFrame,
+    keys: Sequence[str],
+    text_col: str = "text",
+    carry: Sequence[str] = (),
+    close_fences: bool = False,
 ) -> DataFrame:
     """Lines of every text with all line columns, ``state`` and ``block_no``.
 
@@ -111,7 +135,7 @@ def traced_lines(
     placed = df.repartition(*as_list(keys))
     lines = split_lines(placed, [*as_list(keys), *carry], text_col)
     marked = strip_markers(line_flags(lines))
-    return block_states(code_flags(marked, keys), keys)
+    return block_states(code_flags(marked, keys, close_fences), keys)
 
 
 def block_contents(
@@ -161,11 +185,12 @@ def blocks_per_text(
 
 
 def _absorbed_flags(blocks: Column) -> Column:
-    """Which symbol-only blocks are absorbed by the block before: a byte for each.
+    """Which symbol-only blocks are absorbed by the block before (1): a byte for each.
 
     Left to right: a symbol-only block is absorbed unless it, or the block before
     it, is already gone.  If the blocks on both of its sides are of one type, the
-    one behind it goes too.  A symbol-only first block goes into the second.
+    one behind it goes too.  A symbol-only first block goes into the second.  Both are
+    marked as gone (2).
     """
     flagged = F.transform(
         blocks,
@@ -187,21 +212,23 @@ def _absorbed_flags(blocks: Column) -> Column:
     def step(acc: Column, block: Column) -> Column:
         leads = block["symbols"] & (block["i"] == 0)
         absorbed = block["symbols"] & (block["i"] > 0) & ~acc["taken"] & ~acc["gone_before"]
+        gone = acc["taken"] | (leads & (F.size(blocks) > 1))
+        flag = F.when(absorbed, F.lit(YES)).when(gone, F.lit(GONE)).otherwise(F.lit(NO))
         return F.struct(
             (acc["taken"] | absorbed | leads).alias("gone_before"),
             (absorbed & block["alike_around"]).alias("taken"),
-            F.concat(acc["flags"], F.when(absorbed, F.lit(YES)).otherwise(F.lit(NO))).alias("flags"),
+            F.concat(acc["flags"], flag).alias("flags"),
         )
 
     return F.aggregate(flagged, start, step, lambda acc: acc["flags"])
 
 
-def absorb_symbol_blocks(texts: DataFrame) -> DataFrame:
+def absorb_symbol_blocks(texts: DataFrame, drop_merged: bool = False) -> DataFrame:
     """Add blocks without letters or digits to their neighbours' contents.
 
     Absorbed blocks also stay in the list: only contents change, never the
-    number of blocks.  ``blocks`` is the array of one text; most have no such
-    block and pass unchanged.
+    number of blocks, unless ``drop_merged`` takes out what went into another block.
+    ``blocks`` is the array of one text; most have no such block and pass unchanged.
     """
     blocks, absorbed = F.col("blocks"), F.col("absorbed")
 
@@ -218,27 +245,40 @@ def absorb_symbol_blocks(texts: DataFrame) -> DataFrame:
         )
         return F.struct(b["block_type"].alias("block_type"), content.alias("content"))
 
+    changed = F.transform(blocks, merged)
+    if drop_merged:
+        # Cut apart by the flags, which are about the blocks' places in the whole list.
+        stays = F.transform(changed, lambda b, i: F.when(F.substring(absorbed, i + 1, F.lit(1)) == F.lit(NO), b))
+        changed = F.filter(stays, lambda b: b.isNotNull())
     any_symbols = F.exists(blocks, lambda b: ~has_letter_or_digit(b["content"]))
     # The flags are a column of their own, found once and not for each block.
     return (
         texts.withColumn("absorbed", F.when(any_symbols, _absorbed_flags(blocks)))
         .withColumn(
             "blocks",
-            F.when(absorbed.isNull(), blocks).otherwise(F.transform(blocks, merged)),
+            F.when(absorbed.isNull(), blocks).otherwise(changed),
         )
         .drop("absorbed")
     )
 
 
 def markdown_blocks(
-    df: DataFrame, keys: Sequence[str], text_col: str = "text", carry: Sequence[str] = ()
+    df: DataFrame,
+    keys: Sequence[str],
+    text_col: str = "text",
+    carry: Sequence[str] = (),
+    close_fences: bool = False,
+    drop_merged: bool = False,
 ) -> DataFrame:
     """``(*keys, *carry, blocks)``: all blocks of each text, neighbours merged.
 
-    ``keys`` identify a row of ``df``; ``carry`` are further columns to keep.
+    ``keys`` identify a row of ``df``; ``carry`` are further columns to keep.  The options
+    depart from the fixed rules: with ``close_fences`` a fence on a line of its own closes an
+    open one, with ``drop_merged`` blocks that went into a neighbour leave the list.
     """
-    contents = block_contents(traced_lines(df, keys, text_col, carry), keys, carry)
-    return absorb_symbol_blocks(blocks_per_text(contents, keys, carry))
+    traced = traced_lines(df, keys, text_col, carry, close_fences)
+    contents = block_contents(traced, keys, carry)
+    return absorb_symbol_blocks(blocks_per_text(contents, keys, carry), drop_merged)
 
 
 def prose_contents(blocks: Column) -> Column:
@@ -248,9 +288,18 @@ def prose_contents(blocks: Column) -> Column:
 
 
 def text_blocks(
-    df: DataFrame, keys: Sequence[str], text_col: str = "text", carry: Sequence[str] = ()
+    df: DataFrame,
+    keys: Sequence[str],
+    text_col: str = "text",
+    carry: Sequence[str] = (),
+    close_fences: bool = False,
+    drop_merged: bool = False,
 ) -> DataFrame:
-    """``(*keys, *carry, text_blocks)``: the prose of each text, block by block."""
-    return markdown_blocks(df, keys, text_col, carry).select(
+    """``(*keys, *carry, text_blocks)``: the prose of each text, block by block.
+
+    Options as in ``markdown_blocks``.
+    """
+    blocks = markdown_blocks(df, keys, text_col, carry, close_fences, drop_merged)
+    return blocks.select(
         *as_list(keys), *carry, prose_contents(F.col("blocks")).alias("text_blocks")
     )

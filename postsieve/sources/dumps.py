@@ -1,5 +1,7 @@
-"""Site dumps: one folder per dataset, one ``<row .../>`` element per line.
+"""Site dumps: one folder per dataset, tables of ``<row .../>`` elements.
 
+Elements are one to a line (``layout="line"``), or anywhere, over any number of lines
+(``layout="element"``).
 ``<input_dir>/<dataset>/{Posts,Comments,PostHistory}.xml`` may each be a single
 file or a folder of part files.  All datasets are read by one scan; the dataset
 name is taken from the path and becomes the first key column everywhere.
@@ -81,17 +83,59 @@ def row_lines(lines: DataFrame) -> DataFrame:
     return lines.where(F.col("value").rlike(p.ROW_ELEMENT))
 
 
+def read_elements(
+    spark: SparkSession, input_dir: str, datasets: Iterable[str] | None, table: str
+) -> DataFrame:
+    """``(dataset, value)``: every row element of one table's files, wherever its lines break.
+
+    Files are cut at the elements' beginnings instead of at line ends (``<`` cannot stand in an
+    attribute), so that they still split at any byte range and one huge site is read by many tasks.
+    What stands behind an element's end goes; an element without one is kept as it is, and fails
+    or is reported where it is parsed.
+    """
+    paths = table_paths(input_dir, dataset_names(spark, input_dir, datasets), table)
+    pieces = (
+        spark.read.option("lineSep", p.ROW_MARK)
+        .text(paths)
+        .select(dataset_of(F.col("_metadata.file_path")).alias("dataset"), "value")
+        .where(F.col("value").rlike(p.ROW_REST))
+    )
+    attributes = F.regexp_extract("value", p.ROW_ATTRIBUTES, 1)
+    whole = F.col("value").rlike(p.ROW_ATTRIBUTES)
+    element = F.when(whole, F.concat(attributes, F.lit("/>"))).otherwise(F.col("value"))
+    return pieces.select("dataset", F.concat(F.lit(p.ROW_MARK), element).alias("value"))
+
+
+def read_rows(
+    spark: SparkSession, input_dir: str, datasets: Iterable[str] | None, table: str, layout: str = "line"
+) -> DataFrame:
+    """``(dataset, value)``: the row elements of one table in either layout."""
+    if layout == "element":
+        return read_elements(spark, input_dir, datasets, table)
+    if layout != "line":
+        raise ValueError(f"unknown layout {layout}")
+    return row_lines(read_lines(spark, input_dir, datasets, table))
+
+
 def row_attributes(
-    lines: DataFrame, attributes: Iterable[str], mode: str = "FAILFAST"
+    lines: DataFrame,
+    attributes: Iterable[str],
+    mode: str = "FAILFAST",
+    malformed: str | None = None,
 ) -> DataFrame:
     """Replace ``value`` by one string column per requested XML attribute.
 
-    Only the named attributes are materialised; absent ones are NULL.  The parsed
+    Only the named attributes are materialised; absent ones are NULL.  With mode
+    ``PERMISSIVE``, a column named ``malformed`` holds rows that are not XML.  The parsed
     struct goes through a generator because a filter on a plain projection would
     be pushed below it together with a second copy of the XML parser.
     """
-    schema = ", ".join(f"{name} STRING" for name in attributes)
-    row = F.from_xml("value", schema, {**_XML_OPTIONS, "mode": mode})
+    names = [*attributes, *([malformed] if malformed else [])]
+    schema = ", ".join(f"{name} STRING" for name in names)
+    options = {**_XML_OPTIONS, "mode": mode}
+    if malformed:
+        options["columnNameOfCorruptRecord"] = malformed
+    row = F.from_xml("value", schema, options)
     kept = [name for name in lines.columns if name != "value"]
     return lines.select(*kept, F.inline(F.array(row)))
 
@@ -102,7 +146,8 @@ def read_table(
     datasets: Iterable[str] | None,
     table: str,
     mode: str = "FAILFAST",
+    layout: str = "line",
 ) -> DataFrame:
-    """Scan one table: lines, row filter, attribute columns (all strings)."""
-    lines = row_lines(read_lines(spark, input_dir, datasets, table))
-    return row_attributes(lines, TABLE_ATTRIBUTES[table], mode)
+    """Scan one table: row elements, attribute columns (all strings)."""
+    rows = read_rows(spark, input_dir, datasets, table, layout)
+    return row_attributes(rows, TABLE_ATTRIBUTES[table], mode)

@@ -19,6 +19,23 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(name for name in names if name[0] not in "._")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    store, found = _store(spark, path)
+    return store.exists(found)
+
+
+def entry_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of all files and folders in ``path``; none if it does not exist."""
+    store, found = _store(spark, path)
+    return sorted(s.getPath().getName() for s in store.listStatus(found)) if store.exists(found) else []
+
+
+def create_file(spark: SparkSession, path: str) -> None:
+    """An empty file, which must not exist yet."""
+    store, found = _store(spark, path)
+    store.create(found, False).close()
+
+
 def move_folder(spark: SparkSession, source: str, target: str) -> None:
     """Rename ``source`` to ``target``, whose parent is made; what stood there is deleted."""
     store, old = _store(spark, source)

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from postsieve.functions.columns import dataset_slug, has_letter_or_digit
 from postsieve.operators import assemble, blocks, comments, history, lines, posts, reports
 from postsieve.plans import corpus as plans
-from postsieve.sinks import json_files
-from postsieve.sources import dumps
+from postsieve.sinks import json_files, versions
+from postsieve.sources import dumps, faults
 from postsieve.suite import views
 
 KEYS = ["dataset", "post_id"]
@@ -93,13 +93,52 @@ def filter_row_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parse_row_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = dumps.row_lines(_raw_lines(spark, sf_dir))
+    return _attributes(dumps.row_lines(_raw_lines(spark, sf_dir)))
+
+
+def _attributes(rows: DataFrame) -> DataFrame:
     names = ("Id", "PostId", "PostHistoryTypeId", "CreationDate", "Score", "Text")
     return dumps.row_attributes(rows, names).select(
         "dataset", *(F.coalesce(F.col(name), F.lit("(absent)")).alias(name) for name in names)
     )
 
 
+def rows_over_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of a dump with an attribute to a line, as ``parse_row_attributes`` has them."""
+    root = views.write_dump(spark, sf_dir, pretty=True)
+    found = [dumps.read_rows(spark, root, None, name, "element") for name in dumps.TABLE_FILES]
+    return _attributes(found[0].union(found[1]).union(found[2]))
+
+
+def corpus_from_pretty_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of such a dump."""
+    root = views.write_dump(spark, sf_dir, pretty=True)
+    return _listed_records(plans.corpus(spark, root, layout="element"))
+
+
+#: The site whose rows are damaged, and one of which a file is missing.
+DAMAGED, INCOMPLETE = views.DATASETS[1], "d.example.com"
+
+
+def _damaged_dump(spark: SparkSession, sf_dir: str) -> str:
+    """A dump with faults in one site, and a further site with one file only."""
+    root = views.write_dump(spark, sf_dir, damaged=DAMAGED)
+    views.copy_posts(spark, root, views.DATASETS[0], INCOMPLETE)
+    return root
+
+
+def site_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = faults.site_faults(spark, _damaged_dump(spark, sf_dir))
+    return found.withColumn("n_rows", F.coalesce("n_rows", F.lit(-1)))
+
+
+def sound_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of the sites that a run over a partly damaged dump has written."""
+    out = views.scratch_dir(spark) + "/corpus"
+    plans.run_sound_sites(spark, _damaged_dump(spark, sf_dir), out)
+    return _from_json_lines(versions.read_json_text(spark, out))
+
+
 def cast_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and scores of all tables, written with signs and blanks; absent ones are -1."""
     names = ("Id", "PostId", "PostHistoryTypeId", "Score")
@@ -285,6 +324,20 @@ def text_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _prose(views.markdown(spark, sf_dir), "Text")
 
 
+def text_blocks_closed_fences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text blocks where a lone fence closes an open one."""
+    found = blocks.text_blocks(views.markdown(spark, sf_dir), ["doc_id"], "Text", close_fences=True)
+    return found.select("doc_id", *_listed("text_blocks"))
+
+
+def blocks_without_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All blocks less those that went into a neighbour."""
+    found = blocks.markdown_blocks(views.markdown(spark, sf_dir), ["doc_id"], "Text", drop_merged=True)
+    return found.select("doc_id", F.posexplode("blocks").alias("ord", "block")).select(
+        "doc_id", _number("ord").alias("ord"), "block.block_type", "block.content"
+    )
+
+
 def document_text_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _prose(views.table(spark, sf_dir, "documents"), "text")
 
@@ -320,10 +373,12 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _listed_records(records: DataFrame) -> DataFrame:
+    return records.select(*KEYS, "score", *_listed("text_blocks"), *_listed("comments"))
+
+
 def posts_with_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _records(spark, sf_dir).select(
-        *KEYS, "score", *_listed("text_blocks"), *_listed("comments")
-    )
+    return _listed_records(_records(spark, sf_dir))
 
 
 def records_long_form(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -377,12 +432,41 @@ def sink_jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sink_json_array_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = views.scratch_dir(spark) + "/corpus"
     json_files.write_json_array(_records(spark, sf_dir), out, NUM_SHARDS)
-    lines_of_records = (
+    return _from_json_lines(_array_entries(spark, out))
+
+
+def _array_entries(spark: SparkSession, out: str) -> DataFrame:
+    """The records in files of one JSON array each, one to a line."""
+    return (
         _read_output(spark, out)
         .where(~F.col("value").isin("[", "]"))
         .select("dataset", F.regexp_replace("value", r",\z", "").alias("value"))
     )
-    return _from_json_lines(lines_of_records)
+
+
+def sink_balanced_array_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON arrays in as many files as Spark thinks fit."""
+    out = views.scratch_dir(spark) + "/corpus"
+    json_files.write_json_array(_records(spark, sf_dir), out)
+    return _from_json_lines(_array_entries(spark, out))
+
+
+def sink_streamed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records written piece by piece, read back as JSON lines."""
+    out = views.scratch_dir(spark) + "/corpus"
+    tables = (views.posts(spark, sf_dir), views.comments(spark, sf_dir), views.edits(spark, sf_dir))
+    json_files.write_streamed(assemble.record_rows(*tables), out)
+    return _from_json_lines(versions.read_json_text(spark, out))
+
+
+def sink_replaced_site(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sites, of which one was written again with every other post only."""
+    out = views.scratch_dir(spark) + "/corpus"
+    records = _records(spark, sf_dir)
+    json_files.write_jsonl(records, out)
+    again = records.where((F.col("dataset") == views.DATASETS[2]) & (F.col("post_id") % 2 == 0))
+    json_files.write_jsonl(again, out, mode="overwrite", sites=[views.DATASETS[2]])
+    return _from_json_lines(versions.read_json_text(spark, out))
 
 
 def sink_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -413,6 +497,15 @@ QUERIES: dict[str, Query] = {
     "sink_jsonl_roundtrip": sink_jsonl_roundtrip,
     "sink_json_array_roundtrip": sink_json_array_roundtrip,
     "sink_shards": sink_shards,
+    "sink_balanced_array_roundtrip": sink_balanced_array_roundtrip,
+    "sink_streamed_roundtrip": sink_streamed_roundtrip,
+    "sink_replaced_site": sink_replaced_site,
+    "rows_over_lines": rows_over_lines,
+    "corpus_from_pretty_dump": corpus_from_pretty_dump,
+    "site_faults": site_faults,
+    "sound_sites": sound_sites,
+    "text_blocks_closed_fences": text_blocks_closed_fences,
+    "blocks_without_merged": blocks_without_merged,
     "filter_row_lines": filter_row_lines,
     "filter_post_edits": filter_post_edits,
     "filter_comment_score": filter_comment_score,

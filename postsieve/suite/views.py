@@ -214,14 +214,45 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/postsieve-{uuid.uuid4().hex}"
 
 
-def write_dump(spark: SparkSession, sf_dir: str, names=tuple(RAW_TABLES)) -> str:
+def over_lines(lines: DataFrame) -> DataFrame:
+    """The same rows with each attribute on a line of its own, and other elements as they are."""
+    attribute = r' ([A-Z][A-Za-z]*="[^"]*")'
+    spread = F.regexp_replace("value", attribute, "\n       $1")
+    return lines.withColumn("value", F.when(F.col("value").rlike("^ *<row"), spread).otherwise(F.col("value")))
+
+
+def with_damage(rows: DataFrame, dataset: str) -> DataFrame:
+    """Rows as XML lines, those of one dataset with faults as in ``with_faults``, or cut short (``CUT_ID``)."""
+    own = F.col("dataset") == dataset
+    damaged = xml_lines(with_faults(rows.where(own)))
+    cut = F.when(F.col("value").rlike(CUT_ID), F.regexp_replace("value", " />$", "")).otherwise(F.col("value"))
+    return xml_lines(rows.where(~own)).unionByName(damaged.select("dataset", cut.alias("value")))
+
+
+#: Rows whose id ends so are cut short in a damaged dump.
+CUT_ID = r'^ *<row Id="[0-9]*77"'
+
+
+def copy_posts(spark: SparkSession, root: str, source: str, target: str) -> None:
+    """A further site with nothing but the posts of another one."""
+    lines = spark.read.option("lineSep", "\n").text(f"{root}/{source}/{TABLE_FILES['posts']}")
+    lines.write.text(f"{root}/{target}/{TABLE_FILES['posts']}")
+
+
+def write_dump(
+    spark: SparkSession, sf_dir: str, names=tuple(RAW_TABLES), pretty: bool = False, damaged: str | None = None
+) -> str:
     """Write the derived tables as a dump and return its folder.
 
     One write per table; its folders, one per dataset, are then moved to their places.
+    ``pretty``: with rows over several lines; ``damaged``: with faults in this dataset.
     """
     root = scratch_dir(spark)
     for name in names:
-        lines = with_root_tags(spark, xml_lines(RAW_TABLES[name](spark, sf_dir)), name)
+        rows = RAW_TABLES[name](spark, sf_dir)
+        printed = xml_lines(rows) if damaged is None else with_damage(rows, damaged)
+        lines = with_root_tags(spark, printed, name)
+        lines = over_lines(lines) if pretty else lines
         lines.write.partitionBy("dataset").text(f"{root}/_{name}")
         for dataset in DATASETS:
             source = f"{root}/_{name}/dataset={dataset}"

@@ -12,6 +12,7 @@ import pytest
 
 import __spark_entry__ as entry_module
 from postsieve.operators.blocks import text_blocks
+from postsieve.suite import oracles
 from postsieve.suite.oracles import ORACLES
 from postsieve.suite.queries import QUERIES
 
@@ -123,8 +124,27 @@ def random_texts(n, seed):
         yield i, text + rng.choice(["", "end", "    end", "\r"])
 
 
+def document_sql(name):
+    """SQL of the documents' text blocks by each set of rules."""
+    if name.endswith("closed_fences"):
+        return ORACLES["document_text_blocks"].replace(oracles.READER, oracles.CLOSING_READER)
+    if name.endswith("without_merged"):
+        return ORACLES["document_text_blocks"].replace(
+            "unnest(types) AS block_type,", "generate_subscripts(texts, 1) AS i, gone, unnest(types) AS block_type,"
+        ).replace("m.block_type = 'text'", "m.block_type = 'text' AND NOT list_contains(m.gone, m.i)")
+    return ORACLES["document_text_blocks"]
+
+
+RULES = [
+    ("document_text_blocks", {}),
+    ("document_text_blocks_closed_fences", {"close_fences": True}),
+    ("document_text_blocks_without_merged", {"drop_merged": True}),
+]
+
+
+@pytest.mark.parametrize("name,rules", RULES)
 @pytest.mark.parametrize("seed", range(3))
-def test_random_texts(spark, seed):
+def test_random_texts(spark, seed, name, rules):
     texts = list(random_texts(6000, seed))
     connection = duckdb.connect()
     connection.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
@@ -134,9 +154,9 @@ def test_random_texts(spark, seed):
     connection.execute("INSERT INTO documents SELECT * FROM frame")
     expected = {
         row[0]: (row[1], row[2])
-        for row in connection.execute(ORACLES["document_text_blocks"]).fetchall()
+        for row in connection.execute(document_sql(name)).fetchall()
     }
     df = spark.createDataFrame(texts, "doc_id bigint, text string")
-    for row in text_blocks(df, ["doc_id"]).collect():
+    for row in text_blocks(df, ["doc_id"], **rules).collect():
         found = (len(row.text_blocks), "\n~\n".join(row.text_blocks))
         assert found == expected[row.doc_id], repr(dict(texts)[row.doc_id])

@@ -8,9 +8,11 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from postsieve.functions.columns import dataset_slug
-from postsieve.plans.corpus import corpus, run
-from postsieve.sinks.json_files import write_json_array, write_jsonl
-from postsieve.sources.dumps import read_lines, read_table, row_attributes, row_lines
+from postsieve.plans.corpus import corpus, run, run_sound_sites
+from postsieve.sinks import json_files, versions
+from postsieve.sinks.json_files import write_json_array, write_jsonl, write_streamed
+from postsieve.sources.dumps import read_elements, read_lines, read_table, row_attributes, row_lines
+from postsieve.sources.faults import site_faults
 
 HEAD = '<?xml version="1.0" encoding="utf-8"?>\n'
 
@@ -163,7 +165,7 @@ def written(path, parse):
 
 
 def json_lines(text):
-    return [json.loads(line) for line in text.splitlines()]
+    return [json.loads(line) for line in text.splitlines() if line.strip()]
 
 
 def test_run_writes_json_lines(spark, dump, tmp_path):
@@ -178,9 +180,33 @@ def test_run_writes_json_arrays(spark, dump, tmp_path):
     assert written(out, json.loads) == RECORDS
 
 
-def test_run_refuses_arrays_without_shards(spark, dump, tmp_path):
+def test_run_writes_arrays_of_any_number(spark, dump, tmp_path):
+    out = str(tmp_path / "out")
+    run(spark, str(dump), out, json_array=True)
+    assert written(out, json.loads) == RECORDS
+
+
+def test_run_writes_streamed_records(spark, dump, tmp_path):
+    out = str(tmp_path / "out")
+    assert run(spark, str(dump), out, streamed=True) == 0
+    assert written(out, json_lines) == RECORDS
     with pytest.raises(ValueError):
-        run(spark, str(dump), str(tmp_path / "out"), json_array=True)
+        run(spark, str(dump), out, streamed=True, json_array=True)
+
+
+def test_run_lists_ambiguous_posts(spark, tmp_path):
+    site = tmp_path / "in" / "s.example.com"
+    rows = [f'<row Id="{i}" Score="1" />' for i in (1, 1, 2, 3, 3, 3)]
+    write(site / "Posts.xml", "posts", rows)
+    write(site / "Comments.xml", "comments", [])
+    write(site / "PostHistory.xml", "posthistory", [])
+    report = str(tmp_path / "report")
+    for streamed in (False, True):
+        out = str(tmp_path / f"out-{streamed}")
+        assert run(spark, str(tmp_path / "in"), out, streamed=streamed, report_dir=report) == 2
+        assert written(out, json_lines) == {"s.example.com": [[2, {"score": 1, "text_blocks": [], "comments": []}]]}
+    listed = sorted((r.post_id, r.n_rows) for r in spark.read.json(report).collect())
+    assert listed == [(1, 2), (3, 3)]
 
 
 def test_run_does_not_overwrite_unasked(spark, dump, tmp_path):
@@ -260,8 +286,26 @@ def test_every_array_file_is_one_json_value(many, tmp_path, num_shards):
     out = tmp_path / "out"
     write_json_array(many, str(out), num_shards)
     assert written(out, json.loads) == expected_many()
-    for folder in out.glob("dataset=*/shard=*"):
-        assert len(list(folder.glob("part-*"))) == 1
+    for folder in out.glob("dataset=*"):
+        assert len(list(folder.glob("part-*"))) == num_shards
+
+
+def test_array_frames_need_no_window(many, tmp_path):
+    lines = json_files.json_array_lines(many.hint("rebalance", "dataset"))
+    assert "Window" not in lines._jdf.queryExecution().executedPlan().toString()
+    write_json_array(many, str(tmp_path / "out"))
+    assert written(tmp_path / "out", json.loads) == expected_many()
+
+
+@pytest.mark.parametrize("batch", [1, 2, 7])
+def test_array_frames_over_batches(spark, many, tmp_path, batch):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        write_json_array(many.where("post_id < 60"), str(tmp_path / "out"), 2)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    expected = {name: [r for r in rows if r[0] < 60] for name, rows in expected_many().items()}
+    assert written(tmp_path / "out", json.loads) == expected
 
 
 def test_balanced_files_hold_everything(many, tmp_path):
@@ -281,3 +325,163 @@ def test_slug(spark):
     names = spark.createDataFrame([("Meta.Some_Site.com",)], "name string")
     slugs = names.select(dataset_slug(F.col("name")), dataset_slug(F.col("name"), "Job"))
     assert tuple(slugs.first()) == ("metasomesitecom", "Job-metasomesitecom")
+
+
+# --- rows over several lines -------------------------------------------------------
+
+
+PRETTY = """<?xml version="1.0" encoding="utf-8"?>
+<posts>
+  <row
+      Id="1"
+      Score="3" Body="a / b > c &lt;row Id=&quot;9&quot;/&gt; it's"
+  /><row Id='2' Score='-1'></row>
+  <rows/>
+  <row Id="3"
+       Score="8"/></posts>"""
+
+
+@pytest.mark.parametrize("width", [None, 7, 16])
+def test_rows_over_lines_and_splits(spark, tmp_path, width):
+    path = tmp_path / "s.example.com" / "Posts.xml"
+    path.parent.mkdir()
+    path.write_text(PRETTY, encoding="utf-8")
+    if width:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(width))
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        rows = read_elements(spark, str(tmp_path), None, "posts")
+        found = row_attributes(rows, ["Id", "Score", "Body"]).drop("dataset").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    body = "a / b > c <row Id=\"9\"/> it's"
+    assert sorted(map(tuple, found)) == [("1", "3", body), ("2", "-1", None), ("3", "8", None)]
+
+
+def test_long_values_over_lines(spark, tmp_path):
+    path = tmp_path / "s.example.com" / "Posts.xml"
+    path.parent.mkdir()
+    body = "word / 'x' > " * 35_000
+    path.write_text(f'<posts>\n<row\n Id="1"\n Body="{body}"\n/>\n</posts>', encoding="utf-8")
+    rows = row_attributes(read_elements(spark, str(tmp_path), None, "posts"), ["Id", "Body"]).drop("dataset")
+    assert [tuple(r) for r in rows.collect()] == [("1", body)]
+
+
+def test_an_element_without_end_fails(spark, tmp_path):
+    path = tmp_path / "s.example.com" / "Posts.xml"
+    path.parent.mkdir()
+    path.write_text('<posts>\n<row Id="1" Score="1\n<row Id="2" Score="2"/></posts>', encoding="utf-8")
+    with pytest.raises(Exception, match="MALFORMED|Malformed|Unexpected|malformed"):
+        read_table(spark, str(tmp_path), None, "posts", layout="element").collect()
+
+
+def test_either_layout_gives_one_corpus(spark, dump, tmp_path):
+    run(spark, str(dump), str(tmp_path / "out"), layout="element")
+    assert written(tmp_path / "out", json_lines) == RECORDS
+    with pytest.raises(ValueError):
+        read_table(spark, str(dump), None, "posts", layout="page")
+
+
+# --- one site's faults ---------------------------------------------------------------
+
+
+def test_sound_sites_are_written_and_others_reported(spark, dump, tmp_path):
+    root = tmp_path / "in"
+    for site in dump.iterdir():
+        for file in site.iterdir():
+            (root / site.name).mkdir(parents=True, exist_ok=True)
+            (root / site.name / file.name).write_bytes(file.read_bytes())
+    bad = root / "bad.example.com"
+    write(bad / "Posts.xml", "posts", ['<row Id="x" Score="1" />', '<row Id="2" Score="1', '<row Score="1" />'])
+    # A comment without a positive score needs nothing else, an event of another kind no date.
+    write(bad / "Comments.xml", "comments", ['<row Score="0" Id="y" />', '<row Score="1" PostId="1" />'])
+    write(bad / "PostHistory.xml", "posthistory", ['<row PostHistoryTypeId="1" />', '<row PostHistoryTypeId="2" PostId="1" Id="z" />'])
+    (root / "empty.example.com").mkdir()
+    faults = run_sound_sites(spark, str(root), str(tmp_path / "out"))
+    assert written(tmp_path / "out", json_lines) == RECORDS
+    assert [tuple(f) for f in faults] == [
+        ("bad.example.com", "comments", "missing attribute Text", 1),
+        ("bad.example.com", "post_history", "malformed attribute Id", 1),
+        ("bad.example.com", "post_history", "missing attribute CreationDate", 1),
+        ("bad.example.com", "posts", "malformed attribute Id", 1),
+        ("bad.example.com", "posts", "malformed row", 1),
+        ("bad.example.com", "posts", "missing attribute Id", 1),
+        ("empty.example.com", "comments", "missing file", None),
+        ("empty.example.com", "post_history", "missing file", None),
+        ("empty.example.com", "posts", "missing file", None),
+    ]
+
+
+def test_sound_dump_has_no_faults(spark, dump):
+    assert site_faults(spark, str(dump)).isEmpty()
+
+
+def test_nothing_is_written_if_all_sites_have_faults(spark, tmp_path):
+    (tmp_path / "in" / "empty.example.com").mkdir(parents=True)
+    assert len(run_sound_sites(spark, str(tmp_path / "in"), str(tmp_path / "out"))) == 3
+    assert not (tmp_path / "out").exists()
+
+
+# --- replacing sites -------------------------------------------------------------------
+
+
+def read_back(spark, out):
+    found = {}
+    for row in versions.read_json_text(spark, str(out)).collect():
+        found.setdefault(row.dataset, []).append(json.loads(row.value))
+    return {name: sorted(values, key=lambda record: record[0]) for name, values in found.items()}
+
+
+@pytest.mark.parametrize("before", ["once", "twice"])
+@pytest.mark.parametrize("step", ["move_folder", "commit", "delete_folder"])
+def test_a_lost_driver_leaves_old_or_new(spark, dump, tmp_path, monkeypatch, before, step):
+    out = str(tmp_path / "out")
+    site = "b c+d.example.com"
+    run(spark, str(dump), out)
+    if before == "twice":
+        run(spark, str(dump), out, mode="overwrite")
+    assert read_back(spark, out) == RECORDS
+    changed = tmp_path / "in" / site
+    write(changed / "Posts.xml", "posts", ['<row Id="7" Score="9"/>'])
+    write(changed / "Comments.xml", "comments", [])
+    write(changed / "PostHistory.xml", "posthistory", [])
+    new = {**RECORDS, site: [[7, {"score": 9, "text_blocks": [], "comments": []}]]}
+
+    def lost(*args):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        patch.setattr(versions, step, lost)
+        with pytest.raises(KeyboardInterrupt):
+            run(spark, str(tmp_path / "in"), out, mode="overwrite")
+    assert read_back(spark, out) == (new if step == "delete_folder" else RECORDS)
+    run(spark, str(tmp_path / "in"), out, mode="overwrite")
+    assert read_back(spark, out) == new
+    folders = [f.name for f in pathlib.Path(out, "dataset=b c+d.example.com").iterdir() if f.name[0] not in "._"]
+    assert len(folders) == 1
+
+
+def test_reading_an_output_that_is_not_there(spark, tmp_path):
+    assert versions.read_json_text(spark, str(tmp_path / "nowhere")).collect() == []
+
+
+# --- records of any size ------------------------------------------------------------------
+
+
+def test_a_post_with_most_comments_is_one_streamed_record(spark, tmp_path):
+    keys = [F.lit("s").alias("dataset"), F.lit(5).cast("bigint").alias("post_id"), F.lit(3).cast("bigint").alias("score")]
+    texts = spark.range(120_000).select(
+        *keys, F.lit("comment").alias("part"), F.col("id").alias("position"),
+        F.concat(F.lit('text "'), F.col("id").cast("string"), F.lit('"\n é')).alias("text"),
+    )
+    heads = spark.range(4).select(
+        F.lit("s").alias("dataset"), (F.col("id") + 4).alias("post_id"), F.lit(3).cast("bigint").alias("score"),
+        F.lit("post").alias("part"), F.lit(None).cast("bigint").alias("position"), F.lit(None).cast("string").alias("text"),
+    )
+    write_streamed(heads.unionByName(texts), str(tmp_path / "out"))
+    found = written(tmp_path / "out", json_lines)["s"]
+    assert [r[0] for r in found] == [4, 5, 6, 7]
+    comments = found[1][1]["comments"]
+    assert len(comments) == 120_000 and comments[77_777] == 'text "77777"\n é'
+    assert found[0][1] == {"score": 3, "text_blocks": [], "comments": []}

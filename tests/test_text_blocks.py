@@ -53,3 +53,36 @@ def found(spark):
 @pytest.mark.parametrize("case", range(len(CASES)))
 def test_case(found, case):
     assert found[case] == CASES[case][1]
+
+
+CLOSED = [
+    ("a\r\n```\r\ncode\r\n```\r\nb", ["a", "b"]),
+    ("```\r\ncode\r\n  ```  \r\nb\r\n```\r\nmore code\r\n```\r\nc", ["b", "c"]),
+    ("a\r\n``` x\r\ncode\r\n``` y\r\ncode\r\n```\r\nb", ["a", "b"]),
+    ("a\r\n```\r\ncode\r\n``````\r\nb\r\n```\r\ncode", ["a", "b"]),
+    ("a\r\n    ```\r\nb", ["a\n    ```\nb"]),
+    ("a\r\n```\r\ncode", ["a"]),
+]
+
+
+def test_lone_fences_close_if_asked(spark):
+    rows = [(i, text) for i, (text, _) in enumerate(CLOSED)]
+    df = spark.createDataFrame(rows, "id bigint, text string")
+    found = text_blocks(df, ["id"], close_fences=True).orderBy("id").collect()
+    assert [r.text_blocks for r in found] == [blocks for _, blocks in CLOSED]
+
+
+MERGED = [
+    ("abc\r\n\r\n    }\r\n\r\ndef", ["abc\n    }\ndef"]),
+    ("---\r\n\r\n    x=1\r\n\r\nend", ["end"]),
+    ("привет", ["привет"]),
+    ("one\r\n\r\n    x = 1\r\n\r\ntwo", ["one", "two"]),
+    ("", []),
+]
+
+
+def test_merged_blocks_leave_if_asked(spark):
+    rows = [(i, text) for i, (text, _) in enumerate(MERGED)]
+    df = spark.createDataFrame(rows, "id bigint, text string")
+    found = text_blocks(df, ["id"], drop_merged=True).orderBy("id").collect()
+    assert [r.text_blocks for r in found] == [blocks for _, blocks in MERGED]

@@ -1,9 +1,15 @@
 """Near-duplicate join by Jaccard similarity of word n-grams, with adaptive multi-match prefixes.
 
-All n-grams have one order: by a frequency sketch, rare ones first.  Two sets of the wanted
-similarity share at least l members within their first ``size - needed overlap + l`` ones, for any
-l.  Each set picks its own l by estimated cost: a longer prefix is more to look up, but pairs must
-then share more of it before they are verified.  A pair is held to the smaller of its two l.
+First the documents that hold each n-gram are counted, over the whole table: classes of documents
+with equal sets are dealt into chunks, each chunk sends its sorted, distinct n-grams and their counts as
+compressed blocks, and gets the sums back.  An n-gram that one class has alone is in no intersection,
+so only the others are kept, with the size of the whole set; a class with fewer of them than its
+share asks for has no partner and is done.
+
+All n-grams have one order: by that count, rare ones first.  Two sets of the wanted similarity share
+at least l members within their first ``size - needed overlap + l`` ones, for any l.  Each set picks
+its own l by estimated cost: a longer prefix is more to look up, but pairs must then share more of it
+before they are verified.  A pair is held to the smaller of its two l.
 
 Documents with equal sets are one class and never paired.  Families of near copies are linked
 first, in rounds: classes that share one of their members with the smallest hashes are sorted in
@@ -21,27 +27,35 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postsieve.llm.common import input_tasks, stored
 from postsieve.llm.graph import components
+from postsieve.llm.shared_names import COUNTS, read_sums, send_counts, summed
 from postsieve.llm.words import distinct, mix, small_batches, windows, word_hashes
 
-#: Buckets of the frequency sketch, a fixed size whatever the corpus.
-BUCKETS = 1 << 17
-BLOCK = 1 << 12
-#: Largest number of shared prefix members that a set may ask for.
-MOST_MATCHES = 16
+#: N-grams of the classes in a chunk, and n-grams that one task counts, about.
+CHUNK = 1_000_000
+COUNTED = 2_000_000
+#: Bytes of text that a task holds before it sends them to their chunks.
+FLUSH_BYTES = 8 << 20
+#: Bits of an n-gram's hash beyond those that number all n-grams.  What is taken for shared though
+#: it is not (one in two to this power) is only kept longer.
+SPARE_BITS = 10
 #: Cost of verifying one candidate, in members of posting lists read.
 VERIFY_COST = 30.0
 #: Members with the smallest hashes by which families are found, for each round in turn.
 FAMILY_ROUNDS = (4,)
-#: Row keys of classes to fetch are sent to all executors up to this many (8 bytes each).
-BROADCAST_KEYS = 4_000_000
+#: Classes to fetch are sent to all executors up to this many (8 bytes each).
+BROADCAST_KEYS = 1_000_000
 #: Classes that share one prefix member are paired by a join up to this many; more are compared in blocks.
 SMALL_GROUP = 16
 BLOCK_CLASSES = 256
+#: Blocks that a group is dealt into, unless blocks would have more classes than this.
+MOST_BLOCKS, LARGEST_BLOCK = 64, 1 << 14
+#: Classes that a task compares at a time.
+TILE = 256
 _FAMILY_SEED = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -61,10 +75,6 @@ def text_sets(texts: pa.Array, n_words: int) -> Iterator[np.ndarray]:
         word, gram = word + n, gram + k
 
 
-def _bucket(tokens: np.ndarray) -> np.ndarray:
-    return (tokens >> np.uint64(13)).astype(np.int64) & (BUCKETS - 1)
-
-
 def _class_id(tokens: np.ndarray) -> int:
     """One number for the whole set; equal sets have equal ones."""
     total = mix(np.array([np.add.reduce(mix(tokens)) + np.uint64(len(tokens))], np.uint64))
@@ -76,57 +86,83 @@ def _signed(tokens: np.ndarray) -> np.ndarray:
 
 
 def document_classes(docs: DataFrame, n_words: int) -> DataFrame:
-    """``(doc_id, row_key, n, class_id, counts)``: a row per document, and rows of the sketch.
-
-    Sketch rows have ``n`` = -1, the number of a block as ``class_id``, and its counts.
-    """
-    columns = ["doc_id", "row_key", "n", "class_id", "counts"]
+    """``(doc_id, row_key, n, class_id)``: a row per document."""
+    columns = ["doc_id", "row_key", "n", "class_id"]
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = np.zeros(BUCKETS, np.int64)
         for batch in batches:
             for part in small_batches(batch):
-                sizes, classes, buckets = [], [], []
+                sizes, classes = [], []
                 for tokens in text_sets(part.column("text"), n_words):
                     sizes.append(len(tokens))
                     classes.append(_class_id(tokens) if len(tokens) else None)
-                    buckets.append(_bucket(tokens))
-                sketch += np.bincount(np.concatenate(buckets), minlength=BUCKETS)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
                         part.column("row_key"),
                         pa.array(sizes, pa.int64()),
                         pa.array(classes, pa.int64()),
-                        pa.nulls(len(sizes), pa.list_(pa.int64())),
                     ],
                     columns,
                 )
-        n = BUCKETS // BLOCK if sketch.any() else 0
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.nulls(n, pa.int64()),
-                pa.nulls(n, pa.int64()),
-                pa.array(np.full(n, -1)),
-                pa.array(np.arange(n)),
-                pa.array(list(sketch.reshape(-1, BLOCK)[:n]), pa.list_(pa.int64())),
-            ],
-            columns,
-        )
 
-    schema = "doc_id BIGINT, row_key BIGINT, n BIGINT, class_id BIGINT, counts ARRAY<BIGINT>"
-    return docs.mapInArrow(describe, schema)
+    key = docs.schema["row_key"].dataType.simpleString()
+    return docs.mapInArrow(describe, f"doc_id BIGINT, row_key {key}, n BIGINT, class_id BIGINT")
+
 
+def _packed_classes(texts: DataFrame, n_words: int, chunks: int) -> DataFrame:
+    """``(chunk, texts)``: compressed blocks of classes with a text of each, few classes twice."""
 
-def _read_sketch(rows: DataFrame) -> np.ndarray:
-    """All counts of the sketch, summed over tasks; ``BUCKETS`` numbers."""
-    cells = rows.where("n = -1").select("class_id", F.posexplode("counts").alias("place", "count"))
-    bucket = F.col("class_id") * BLOCK + F.col("place")
-    sums = cells.groupBy(bucket.alias("bucket")).agg(F.sum("count").alias("count"))
-    sketch = np.zeros(BUCKETS, np.int64)
-    for row in sums.where("count > 0").toLocalIterator():
-        sketch[row["bucket"]] = row["count"]
-    return sketch
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        held: dict[int, tuple[list[int], list[str]]] = {}
+        seen: set[int] = set()
+        size = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for chunk, (ids, own) in held.items():
+                rows = pa.record_batch([pa.array(ids, pa.int64()), pa.array(own, pa.large_string())], ["class_id", "text"])
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, rows.schema, options=options) as writer:
+                    writer.write_batch(rows)
+                blob = pa.array([sink.getvalue().to_pybytes()], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), blob], ["chunk", "texts"])
+            held.clear()
+            if len(seen) > 100_000:
+                seen.clear()  # a class that comes again is removed in its chunk
+
+        for batch in batches:
+            for part in small_batches(batch):
+                column = part.column("text")
+                for text, tokens in zip(column, text_sets(column, n_words)):
+                    if not len(tokens):
+                        continue
+                    class_id = _class_id(tokens)
+                    if class_id in seen:
+                        continue
+                    seen.add(class_id)
+                    ids, own = held.setdefault(class_id % chunks, ([], []))
+                    ids.append(class_id)
+                    own.append(text.as_py())
+                    size += len(own[-1]) + 64
+                    if size > FLUSH_BYTES:
+                        yield from flush()
+                        size = 0
+        yield from flush()
+
+    return texts.mapInArrow(pack, "chunk BIGINT, texts BINARY")
+
+
+def _chunk_sets(table: pa.Table, n_words: int) -> tuple[list[int], list[np.ndarray]]:
+    """The classes of a chunk and their sets."""
+    found: dict[int, np.ndarray] = {}
+    for blob in table.column("texts"):
+        rows = pa.ipc.open_stream(pa.py_buffer(blob.as_py())).read_all()
+        for batch in rows.to_batches():
+            for part in small_batches(batch):
+                for class_id, tokens in zip(part.column("class_id").to_pylist(), text_sets(part.column("text"), n_words)):
+                    found.setdefault(class_id, tokens)
+    return list(found), list(found.values())
 
 
 def choose_matches(counts: np.ndarray, n: int, needed: int) -> int:
@@ -135,9 +171,8 @@ def choose_matches(counts: np.ndarray, n: int, needed: int) -> int:
     ``counts`` are the estimated frequencies of its members in order.  With l matches the lists
     of ``n - needed + l`` members are read, and at most their sum over l candidates come up.
     """
-    most = min(MOST_MATCHES, needed)
-    lists = np.cumsum(np.maximum(counts[: n - needed + most] - 1, 0))
-    reads = lists[n - needed : n - needed + most].astype(float)
+    lists = np.cumsum(np.maximum(counts - 1, 0))
+    reads = lists[n - needed :].astype(float)
     if not len(reads):
         return 1
     asked = np.arange(1, len(reads) + 1)
@@ -145,68 +180,59 @@ def choose_matches(counts: np.ndarray, n: int, needed: int) -> int:
     return int(np.argmin(cost)) + 1
 
 
-def prefixes(docs: DataFrame, n_words: int, sketch: np.ndarray, share: tuple[int, int]) -> DataFrame:
-    """``(class_id, row_key, n, matches, tokens, family)``: a row per class with its ordered prefix.
-
-    ``family`` are the members with the smallest hashes.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(sketch)
-    at_least, of = share
+_CLASSES = (
+    "class_id BIGINT, n BIGINT, matches BIGINT, prefix ARRAY<BIGINT>, family ARRAY<BIGINT>, members ARRAY<BIGINT>"
+)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequency, seen = shared.value, set()
-        for batch in batches:
-            for part in small_batches(batch):
-                out = []
-                for key, tokens in zip(part.column("row_key"), text_sets(part.column("text"), n_words)):
-                    n = len(tokens)
-                    class_id = _class_id(tokens) if n else None
-                    if not n or class_id in seen:
-                        continue
-                    seen.add(class_id)
-                    counts = frequency[_bucket(tokens)]
-                    order = np.lexsort((tokens, counts))
-                    needed = -(-at_least * n // of)
-                    matches = choose_matches(counts[order], n, needed)
-                    prefix = _signed(tokens[order[: n - needed + matches]])
-                    few = _signed(tokens[np.argsort(mix(tokens ^ _FAMILY_SEED))[: sum(FAMILY_ROUNDS)]])
-                    out.append((class_id, key.as_py(), n, matches, prefix, few))
-                if len(seen) > 1_000_000:
-                    seen.clear()  # a class that comes again is removed below
-                lists = list(zip(*out)) if out else [[]] * 6
-                kinds = [*[pa.int64()] * 4, *[pa.list_(pa.int64())] * 2]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(v), k) for v, k in zip(lists, kinds)],
-                    ["class_id", "row_key", "n", "matches", "tokens", "family"],
-                )
 
-    schema = (
-        "class_id BIGINT, row_key BIGINT, n BIGINT, matches BIGINT, tokens ARRAY<BIGINT>, "
-        "family ARRAY<BIGINT>"
-    )
-    return docs.mapInArrow(cut, schema).dropDuplicates(["class_id"])
+def open_classes(texts: DataFrame, n_words: int, n_grams: int, share: tuple[int, int]) -> DataFrame:
+    """``(class_id, n, matches, prefix, family, members)``: the classes that may have a partner.
 
-
-def class_sets(wanted: DataFrame, classes: DataFrame, docs: DataFrame, n_words: int) -> DataFrame:
-    """``(class_id, set)`` of the wanted classes, made anew from their texts."""
-    keys = stored(
-        classes.join(wanted.distinct(), "class_id", "left_semi").select("class_id", "row_key")
-    )
+    ``members`` are the n-grams of the set that other classes have too, ``n`` is the size of the whole
+    set, ``prefix`` are the members to look partners up by, the rarest first, and ``family`` the members with the
+    smallest hashes.  ``n_grams`` is how many there are in all, about.
+    """
+    at_least, of = share
+    chunks, buckets = 1 + n_grams // CHUNK, 1 + n_grams // COUNTED
+    shift = np.uint64(max(0, 64 - n_grams.bit_length() - SPARE_BITS))
+    packed = _packed_classes(texts, n_words, chunks).groupBy("chunk")
+
+    def send(table: pa.Table) -> pa.Table:
+        _, sets = _chunk_sets(table, n_words)
+        names, counts = np.unique(np.concatenate(sets) >> shift, return_counts=True)
+        return send_counts(table.column("chunk")[0].as_py(), names, counts, 64 - int(shift), buckets)
+
+    def keep(table: pa.Table, reply: pa.Table) -> pa.Table:
+        ids, sets = _chunk_sets(table, n_words)
+        names = distinct(np.concatenate(sets) >> shift)
+        sums = read_sums(reply, len(names))
+        out = []
+        for class_id, tokens in zip(ids, sets):
+            n = len(tokens)
+            counts = sums[np.searchsorted(names, tokens >> shift)]
+            members, counts = tokens[counts > 1], counts[counts > 1]
+            needed = -(-at_least * n // of)
+            if len(members) < needed:
+                continue
+            order = np.lexsort((members, counts))
+            matches = choose_matches(counts[order], len(members), needed)
+            prefix = members[order[: len(members) - needed + matches]]
+            few = members[np.argsort(mix(members ^ _FAMILY_SEED))[: sum(FAMILY_ROUNDS)]]
+            out.append((class_id, n, matches, *[_signed(x) for x in (prefix, few, members)]))
+        kinds = [*[pa.int64()] * 3, *[pa.list_(pa.int64())] * 3]
+        lists = list(zip(*out)) if out else [[]] * 6
+        names_ = [x.split()[0] for x in _CLASSES.split(", ")]
+        return pa.table([pa.array(list(v), k) for v, k in zip(lists, kinds)], names=names_)
+
+    sums = summed(packed.applyInArrow(send, COUNTS))
+    return packed.cogroup(sums.groupBy("chunk")).applyInArrow(keep, _CLASSES)
+
+
+def class_sets(wanted: DataFrame, classes: DataFrame) -> DataFrame:
+    """``(class_id, n, members)`` of the wanted classes."""
+    keys = stored(wanted.distinct())
     chosen = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in small_batches(batch):
-                blobs = [t.tobytes() for t in text_sets(part.column("text"), n_words)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("class_id"), pa.array(blobs, pa.binary())], ["class_id", "set"]
-                )
-
-    found = docs.join(chosen, "row_key").select("class_id", "text")
-    found = found.mapInArrow(sets, "class_id BIGINT, set BINARY")
-    # Rows repeated in the input have one key and equal sets: one of each is enough.  The shuffle
-    # that removes the others also serves the joins on the class.
-    return found.dropDuplicates(["class_id"])
+    return classes.select("class_id", "n", "members").join(chosen, "class_id", "left_semi")
 
 
 def linked_pairs(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
@@ -219,17 +245,21 @@ def linked_pairs(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> D
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
-            for x, y in zip(batch.column("set_a"), batch.column("set_b")):
-                a, b = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+            columns = (batch.column(c) for c in ("n_a", "n_b", "members_a", "members_b"))
+            for n_a, n_b, x, y in zip(*columns):
+                a, b = (np.sort(v.values.to_numpy()) for v in (x, y))
                 at = np.searchsorted(b, a)
                 same = int(np.count_nonzero(b[np.minimum(at, len(b) - 1)] == a))
-                good.append(of * same >= at_least * (len(a) + len(b) - same))
+                good.append(of * same >= at_least * (n_a.as_py() + n_b.as_py() - same))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     # Never by broadcast: pairs and sets grow with the documents.
-    with_a = pairs.join(sets.withColumnsRenamed({"class_id": "a", "set": "set_a"}).hint("merge"), "a")
-    both = with_a.join(sets.withColumnsRenamed({"class_id": "b", "set": "set_b"}).hint("merge"), "b")
-    return stored(both.select("a", "b", "set_a", "set_b").mapInArrow(verify, "a BIGINT, b BIGINT"))
+    both = pairs
+    for side in ("a", "b"):
+        own = {"class_id": side, "n": f"n_{side}", "members": f"members_{side}"}
+        both = both.join(sets.withColumnsRenamed(own).hint("merge"), side)
+    chosen = both.select("a", "b", "n_a", "n_b", "members_a", "members_b")
+    return stored(chosen.mapInArrow(verify, "a BIGINT, b BIGINT"))
 
 
 def with_components(classes: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -284,8 +314,8 @@ def open_posts(classes: DataFrame, labels: DataFrame) -> DataFrame:
 
     Prefix members that occur in one component only (nearly all) leave before any join of classes.
     """
-    labelled = stored(with_components(classes.select("class_id", "n", "matches", "tokens"), labels))
-    posts = labelled.select("class_id", "n", "matches", "component", F.explode("tokens").alias("token"))
+    labelled = stored(with_components(classes.select("class_id", "n", "matches", "prefix"), labels))
+    posts = labelled.select("class_id", "n", "matches", "component", F.explode("prefix").alias("token"))
     spread = posts.groupBy("token").agg(
         F.min("component").alias("low"), F.max("component").alias("high"),
         F.count("*").alias("members"), F.min("matches").alias("fewest"),
@@ -322,6 +352,12 @@ def candidate_pairs(posts: DataFrame, share: tuple[int, int]) -> DataFrame:
     return counted.where("shared >= asked").select("a", "b")
 
 
+def _blocks_of(classes: Column) -> Column:
+    """Number of blocks for so many classes: a class is sent to each of them, so they are not many."""
+    few = F.least(F.ceil(classes / BLOCK_CLASSES), F.lit(MOST_BLOCKS))
+    return F.greatest(few, F.ceil(classes / LARGEST_BLOCK))
+
+
 def large_groups(posts: DataFrame) -> DataFrame:
     """``(base, class_id, component, block, blocks)``: classes that share a prefix member in a large group.
 
@@ -331,7 +367,7 @@ def large_groups(posts: DataFrame) -> DataFrame:
     head = F.min(F.struct(F.xxhash64("class_id").alias("place"), "class_id")).alias("head")
     heads = many.groupBy("token").agg(head).select("token", F.col("head.class_id").alias("base"))
     members = stored(many.join(heads, "token").select("base", "class_id", "component").distinct())
-    sizes = members.groupBy("base").agg(F.ceil(F.count("*") / BLOCK_CLASSES).alias("blocks"))
+    sizes = members.groupBy("base").agg(_blocks_of(F.count("*")).alias("blocks"))
     block = F.pmod(F.xxhash64("class_id", F.lit(1)), "blocks").alias("block")
     return members.join(sizes, "base").select("base", "class_id", "component", block, "blocks")
 
@@ -345,16 +381,12 @@ def block_links(groups: DataFrame, sets: DataFrame, share: tuple[int, int]) -> D
         "base",
         F.least("block", "other").alias("low"),
         F.greatest("block", "other").alias("high"),
-        "class_id", "component", "block", "set",
+        "class_id", "component", "block", "n", "members",
     )
 
-    def compare(table: pa.Table) -> pa.Table:
-        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
-        ids, block = (table.column(c).to_numpy() for c in ("class_id", "block"))
-        component = np.unique(table.column("component").to_numpy(), return_inverse=True)[1]
-        sets_ = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("set")]
-        sizes = np.array([len(x) for x in sets_], np.int64)
-        owner = np.repeat(np.arange(len(sets_)), sizes)
+    def similar(sets_: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
+        """Which pairs of a few sets are linked."""
+        owner = np.repeat(np.arange(len(sets_)), [len(x) for x in sets_])
         tokens, place, times = np.unique(np.concatenate(sets_), return_inverse=True, return_counts=True)
         shared = np.flatnonzero(times > 1)  # others are in no intersection
         column = np.full(len(tokens), -1, np.int64)
@@ -369,10 +401,12 @@ def block_links(groups: DataFrame, sets: DataFrame, share: tuple[int, int]) -> D
             dense[owner[a:b], place[a:b] - first] = 1
             same += dense @ dense.T
         same = same.astype(np.int64)
-        union = sizes[:, None] + sizes[None, :] - same
-        good = np.triu(of * same >= at_least * union, 1) & (component[:, None] != component[None, :])
-        if low < high:
-            good &= block[:, None] != block[None, :]
+        return of * same >= at_least * (sizes[:, None] + sizes[None, :] - same)
+
+    def compare(table: pa.Table) -> pa.Table:
+        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+        ids, block, n = (table.column(c).to_numpy() for c in ("class_id", "block", "n"))
+        component = np.unique(table.column("component").to_numpy(), return_inverse=True)[1]
         root = list(range(int(component.max()) + 1))
 
         def find(x: int) -> int:
@@ -381,12 +415,19 @@ def block_links(groups: DataFrame, sets: DataFrame, share: tuple[int, int]) -> D
                 x = root[x]
             return x
 
-        out = []
-        for i, j in zip(*np.nonzero(good)):
-            x, y = find(int(component[i])), find(int(component[j]))
-            if x != y:
-                root[x] = y
-                out.append((int(ids[i]), int(ids[j])))
+        members, out = table.column("members"), []
+        own, others = np.flatnonzero(block == low), np.flatnonzero(block == high)
+        for a in range(0, len(own), TILE):
+            for b in range(a if low == high else 0, len(others), TILE):
+                left, right = own[a : a + TILE], others[b : b + TILE]
+                at = left if low == high and a == b else np.concatenate((left, right))
+                good = np.triu(similar([members[i].values.to_numpy() for i in at.tolist()], n[at]), 1)
+                good &= component[at][:, None] != component[at][None, :]
+                for i, j in zip(*np.nonzero(good)):
+                    x, y = find(int(component[at[i]])), find(int(component[at[j]]))
+                    if x != y:
+                        root[x] = y
+                        out.append((int(ids[at[i]]), int(ids[at[j]])))
         return pa.table(
             {"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())}
         )
@@ -402,56 +443,61 @@ def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     return components(links)
 
 
+def row_key(doc_id: str, text: str) -> Column:
+    """128 bits of id and text, by which a row is known."""
+    both = F.struct(F.col(doc_id), F.col(text))
+    return F.struct(F.xxhash64(F.col(doc_id), F.col(text)).alias("k1"), F.xxhash64(F.lit(1), both).alias("k2"))
+
+
 def near_duplicates(
     docs: DataFrame, n_words: int = 5, share: tuple[int, int] = (80, 100),
     doc_id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, class_id, row_key)``, a row per input row.
+    """``(doc_id, n_shingles, component_id, class_id, row_key, group)``, a row per input row.
 
     Two documents are linked if ``share[1] * intersection >= share[0] * union`` of their sets of
     ``n_words``-word n-grams (A-Z lower-cased; words between ASCII white space; a text with
     fewer words is one n-gram).  ``component_id`` is the smallest id that links lead to, the
-    document's own included.  Texts without words, empty or NULL, are linked with nothing; their
-    ``class_id`` is NULL.  ``row_key`` is a hash of id and text.  NULL ids are never the smallest, unless a component has no other.  Rows
-    repeating id or text are documents as others.  An empty table gives an empty result; other
-    columns are not looked at.
+    document's own included; ``group`` is the same for all documents of a component, NULL ids or
+    not.  Texts without words, empty or NULL, are linked with nothing; their ``class_id`` is NULL.
+    ``row_key`` are hashes of id and text.  NULL ids are never the smallest, unless a component has
+    no other.  Rows repeating id or text are documents as others.  An empty table gives an empty
+    result; other columns are not looked at.
     """
-    key = F.xxhash64(F.col(doc_id), F.col(text))
     rows = docs.select(
-        F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), key.alias("row_key")
+        F.col(doc_id).cast("bigint").alias("doc_id"),
+        F.col(text).alias("text"),
+        row_key(doc_id, text).alias("row_key"),
     )
     described = stored(document_classes(rows, n_words))
-    sketch = _read_sketch(described)
-    classes = stored(prefixes(rows, n_words, sketch, share))
+    n_grams = described.agg(F.sum("n").alias("n")).first()["n"] or 0
+    classes = stored(open_classes(rows.select("text"), n_words, n_grams, share))
     labels, first = None, 0
     both = F.explode(F.array("a", "b")).alias("class_id")
     for count in FAMILY_ROUNDS:
         pairs = stored(family_pairs(classes, labels, first, count, share))
-        sets = class_sets(pairs.select(both), classes, rows, n_words)
-        labels = merged(labels, linked_pairs(pairs, sets, share))
+        labels = merged(labels, linked_pairs(pairs, class_sets(pairs.select(both), classes), share))
         first += count
     posts = open_posts(classes, labels)
     pairs, groups = stored(candidate_pairs(posts, share)), stored(large_groups(posts))
-    wanted = pairs.select(both).union(groups.select("class_id"))
-    sets = class_sets(wanted, classes, rows, n_words)
-    links = linked_pairs(pairs, sets, share).union(block_links(groups, sets, share))
+    links = linked_pairs(pairs, class_sets(pairs.select(both), classes), share)
+    links = links.union(block_links(groups, class_sets(groups.select("class_id"), classes), share))
     labels = merged(labels, links)
-    members = described.where("n >= 0").select("doc_id", "n", "class_id", "row_key")
-    joined = members.join(labels, F.col("class_id") == F.col("node"), "left")
+    joined = described.join(labels, F.col("class_id") == F.col("node"), "left")
     # A class without links is its own component, a text without words its own class.
-    own = F.concat(F.lit("row "), F.col("row_key"))
+    own = F.concat(F.lit("row "), F.col("row_key.k1"), F.lit(" "), F.col("row_key.k2"))
     group = F.coalesce("component", "class_id").cast("string")
-    grouped = stored(
+    grouped_rows = stored(
         joined.select(
             "doc_id", F.col("n").alias("n_shingles"), "class_id", "row_key", F.coalesce(group, own).alias("group")
         )
     )
-    linked = grouped.where("class_id IS NOT NULL")
+    linked = grouped_rows.where("class_id IS NOT NULL")
     least = linked.groupBy("group").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("size"))
     least = least.where("size > 1").drop("size")
     smallest = F.coalesce("component_id", "doc_id")
-    return grouped.join(least, "group", "left").select(
-        "doc_id", "n_shingles", smallest.alias("component_id"), "class_id", "row_key"
+    return grouped_rows.join(least, "group", "left").select(
+        "doc_id", "n_shingles", smallest.alias("component_id"), "class_id", "row_key", "group"
     )
 
 
@@ -459,15 +505,14 @@ def distinct_documents(
     docs: DataFrame, n_words: int = 5, share: tuple[int, int] = (80, 100),
     doc_id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component, with all their columns.
+    """One row of each component of near duplicates, with all columns of ``docs``.
 
-    Rows that repeat both id and text are one document, and one of them stays.  Rows of one
-    component with its smallest id but different texts all stay, as do texts without words, which
-    are linked with nothing, and NULL ids in a component without any other id.
+    It is the row with the smallest id, NULL ids last; of rows with one id, texts and NULL ids
+    included, the one with the smallest hash of id and text.  Texts without words, which are linked
+    with nothing, all stay; rows that repeat id and text are one row.
     """
     found = near_duplicates(docs, n_words, share, doc_id, text)
-    stays = found.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(
-        F.col("row_key").alias("__key")
-    )
-    keyed = docs.withColumn("__key", F.xxhash64(F.col(doc_id), F.col(text)))
-    return keyed.join(stays.distinct(), "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_key")
+    stays = found.groupBy("group").agg(F.min(place).alias("first")).select(F.col("first.row_key").alias("__key"))
+    keyed = docs.withColumn("__key", row_key(doc_id, text))
+    return keyed.join(stays, "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")

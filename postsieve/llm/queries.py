@@ -67,7 +67,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return near_join.near_duplicates(docs, n_words=4, share=(85, 100)).drop("row_key")
+    return near_join.near_duplicates(docs, n_words=4, share=(85, 100)).drop("row_key", "group")
 
 
 N_SHARDS = 8

@@ -54,11 +54,14 @@ def family_rows(seed, size=120):
     return [(i, " ".join(text), "a") for i, text in enumerate(rows)]
 
 
-@pytest.mark.parametrize("small_group, block", [(2, 16), (16, 256)])
+@pytest.mark.parametrize("small_group, block, chunk", [(2, 16, 500), (16, 256, 1_000_000)])
 @pytest.mark.parametrize("n, share", [(4, (85, 100)), (5, (80, 100))])
-def test_families_equal_comparing_all_pairs(spark, monkeypatch, small_group, block, n, share):
+def test_families_equal_comparing_all_pairs(spark, monkeypatch, small_group, block, chunk, n, share):
     monkeypatch.setattr(near_join, "SMALL_GROUP", small_group)
     monkeypatch.setattr(near_join, "BLOCK_CLASSES", block)
+    monkeypatch.setattr(near_join, "TILE", block // 4)
+    for name in ("CHUNK", "COUNTED", "FLUSH_BYTES"):
+        monkeypatch.setattr(near_join, name, chunk)
     rows = family_rows(small_group + n)
     assert found_components(rows_of(spark, rows), n, share) == plain_components(rows, n, share)
 
@@ -75,6 +78,40 @@ def test_one_document_of_each_group_stays(awkward):
     assert ids == [1, 3, 4, 5, 6, 7, 9, 9, 10, 11, 12]
 
 
+def test_one_row_of_a_component_stays_whatever_its_ids(spark):
+    base = [f"w{i}" for i in range(100)]
+    edited = " ".join([*base[:-1], "other"])
+    rows = [(1, " ".join(base), "a"), (1, edited, "b"), (2, " ".join(base), "c"), (1, edited, "b"),
+            (None, "x " + " ".join(f"n{i}" for i in range(90)), "d"), (None, " ".join(f"n{i}" for i in range(90)), "d"),
+            (5, None, "e"), (5, "", "e"), (None, " ", "e")]
+    kept = near_join.distinct_documents(rows_of(spark, rows, ["row_key", "group", "k1", "__row"]))
+    found = sorted((r.doc_id or 0, r.text is None, len(r.text or "")) for r in kept.collect())
+    assert [f[0] for f in found] == [0, 0, 1, 5, 5]
+    assert kept.columns == ["doc_id", "text", "source", "row_key", "group", "k1", "__row"]
+
+
+def test_unlike_classes_that_share_a_member_are_not_paired(spark, monkeypatch):
+    """A phrase in every text is in no prefix: the others' n-grams are rarer."""
+    seen = []
+    real = near_join.block_links
+    monkeypatch.setattr(near_join, "block_links", lambda groups, *rest: seen.append(groups.count()) or real(groups, *rest))
+    phrase = "one phrase that all of them have in common"
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(12)) + " " + phrase, "a") for i in range(20_000)]
+    rows += [(30_000, rows[7][1] + " end", "a")]
+    found = near_join.near_duplicates(rows_of(spark, rows).repartition(8), 4, (85, 100))
+    linked = [r for r in found.collect() if r.doc_id != r.component_id]
+    assert [(r.doc_id, r.component_id) for r in linked] == [(30_000, 7)]
+    assert seen == [0]
+
+
+def test_matches_vary_with_the_counts(spark):
+    texts = rows_of(spark, family_rows(3, 240)).select("text")
+    found = near_join.open_classes(texts, 4, 20_000, (85, 100)).collect()
+    assert len({r.matches for r in found}) > 3
+    for r in found:
+        assert len(r.members) >= -(-85 * r.n // 100) and set(r.prefix) <= set(r.members)
+
+
 def test_more_matches_are_asked_where_lists_are_long():
     import numpy as np
 

@@ -132,3 +132,9 @@ class TextEncoder:
 def encoder(path: str) -> TextEncoder:
     """The worker's encoder for this file."""
     return TextEncoder(path)
+
+
+def forget() -> None:
+    """Give up the worker's encoders and the pieces they remember: workers go on to other operators."""
+    if encoder.cache_info().currsize:
+        encoder.cache_clear()

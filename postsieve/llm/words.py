@@ -10,6 +10,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 
+from postsieve.llm import tokens
+
 #: Bytes handled at once; a longer word is handled in one piece.
 CHUNK = 1 << 20
 _R = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
@@ -90,6 +92,7 @@ def pieces(flat: np.ndarray, breaks: np.ndarray, chunk: int = CHUNK):
 
 def word_hashes(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(hashes, starts, counts)``: of each word its hash and first byte, of each text its words."""
+    tokens.forget()  # stages that hash words encode nothing
     flat, offsets = text_buffer(texts)
     values, found, starts = _VALUES[lower], [], []
     breaks = offsets[:-1]

@@ -5,6 +5,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 
+from postsieve.llm import tokens
 from postsieve.llm import words as w
 from postsieve.llm.tokens import TextEncoder
 
@@ -50,3 +51,11 @@ def test_pieces_encode_like_whole_texts(name, remembered):
         text = "".join(rng.choices(PARTS, k=rng.randint(0, 14)))
         assert encoder.encode(text) == encoder.whole(text), repr(text)
     assert encoder.encode(None) == b"" and encoder.dtype == np.dtype("<u2")
+
+
+def test_hashing_words_gives_up_remembered_pieces():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokens.encoder(path).encode("some words to remember")
+    assert tokens.encoder.cache_info().currsize == 1
+    w.word_hashes(pa.array(["other words"]))
+    assert tokens.encoder.cache_info().currsize == 0

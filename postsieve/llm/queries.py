@@ -47,9 +47,10 @@ def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), every_block=True)
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    n_removed = F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
     return found.select(
-        "doc_id", "n_lines", F.size("removed").alias("n_removed"), "removed_words", "removed", "text"
+        "doc_id", "n_lines", F.coalesce(n_removed, F.lit(0)).alias("n_removed"), "removed_words", "removed", "text"
     )
 
 

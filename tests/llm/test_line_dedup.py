@@ -1,6 +1,7 @@
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -21,22 +22,8 @@ def test_patience_matches_ascend_and_are_equal():
     assert line_dedup.patience_matches([9, 1, 2, 8], [1, 2, 9, 7]) == [(1, 0), (2, 1)]
 
 
-def plain_dedup(rows, min_words, min_line_words):
-    """All pairs found by the first document of each line, aligned one by one."""
-    order = sorted(range(len(rows)), key=lambda i: rows[i][0])
-    lines = {i: [tuple(words(x)) for x in (rows[i][1] or "").split("\n")] if rows[i][1] is not None else [] for i in order}
-    owner = {}
-    for i in order:
-        for line in lines[i]:
-            if len(line) >= min_line_words:
-                owner.setdefault(line, i)
-    out = {}
-    for i in order:
-        removed = set()
-        for other in {owner[x] for x in lines[i] if x in owner and owner[x] != i}:
-            removed |= set(line_dedup.repeated_blocks(lines[i], [len(x) for x in lines[i]], lines[other], min_words))
-        out[rows[i][0]] = sorted(removed)
-    return out
+def removed_lines(row):
+    return [i for span in row.removed or [] for i in range(span.start, span.end)]
 
 
 def corpus(seed):
@@ -54,20 +41,6 @@ def corpus(seed):
     return rows
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_lines_removed_equal_the_plain_version(spark, seed):
-    rows = corpus(seed)
-    found = {r.doc_id: r for r in line_dedup.dedup_lines(rows_of(spark, rows), min_words=8).collect()}
-    expected = plain_dedup(rows, 8, line_dedup.MIN_LINE_WORDS)
-    assert sum(map(len, expected.values())) > 100
-    for doc_id, text, _ in rows:
-        row, lines = found[doc_id], text.split("\n")
-        assert (row.removed or []) == expected[doc_id]
-        assert row.text == "\n".join(x for i, x in enumerate(lines) if i not in expected[doc_id])
-        assert row.n_lines == len(lines)
-        assert row.removed_words == sum(len(words(lines[i])) for i in expected[doc_id])
-
-
 def test_every_long_line_survives_somewhere(spark):
     rows = corpus(3)
     left = defaultdict(int)
@@ -117,7 +90,41 @@ def test_every_block_of_all_earlier_documents_goes(spark, seed):
     # Lines of one or two words, and a passage twice in one document.
     short = "\n".join(f"s{i}" for i in range(25))
     rows += [(205, short, "a"), (206, f"{short}\nbetween\n{short}", "a")]
-    found = line_dedup.dedup_lines(rows_of(spark, rows), min_words=20, every_block=True).collect()
-    assert {r.doc_id: r.removed or [] for r in found} == brute_force(rows, 20)
+    found = line_dedup.dedup_lines(rows_of(spark, rows), min_words=20).collect()
+    expected = brute_force(rows, 20)
+    assert {r.doc_id: removed_lines(r) for r in found} == expected
+    for r in found:
+        lines = dict((i, t) for i, t, _ in rows)[r.doc_id].split("\n")
+        assert r.n_lines == len(lines) and r.removed_words == sum(len(words(lines[i])) for i in expected[r.doc_id])
+        assert r.text == "\n".join(x for i, x in enumerate(lines) if i not in expected[r.doc_id])
     assert {r.doc_id: r.text for r in found}[204] == "other"
     assert {r.doc_id: r.text for r in found}[206] == "between"
+
+
+def test_blocks_moved_or_repeated_are_found():
+    ids = {c: i + 1 for i, c in enumerate("abcdefghuvwxyz")}
+    blocks = lambda x, y, n=2: line_dedup.repeated_blocks(
+        *(a for t in (x, y) for a in (np.array([ids[c] for c in t], np.int64), np.full(len(t), 1))), n
+    )
+    assert blocks("abcd", "abcd") == [(0, 4)]
+    assert blocks("abxcd", "abcd") == [(0, 2), (3, 5)]
+    assert blocks("cdab", "abcd") == [(0, 4)]  # one of both is out of order
+    assert blocks("uabvabw", "sab".replace("s", "x")) == [(1, 3), (4, 6)]
+    assert blocks("abab", "uababv", 3) == [(0, 4)]
+    assert blocks("abc", "xyz") == []
+
+
+def test_very_many_blank_lines(spark):
+    blank = "\n" * 100_000
+    rows = [(1, blank + PROSE, "a"), (2, "own\n" + blank + PROSE + blank, "a"), (3, blank, "a")]
+    found = line_dedup.dedup_lines(rows_of(spark, rows)).orderBy("doc_id").collect()
+    assert found[0].removed is None and found[2].removed is None
+    assert PROSE not in found[1].text and found[1].text.startswith("own")
+
+
+def test_a_log_of_very_many_lines(spark):
+    lines = [f"{i} connection from host {i % 7} was closed after some seconds without any further notice" for i in range(200_000)]
+    rows = [(1, "\n".join(lines[::2]), "a"), (2, "\n".join(lines), "a")]
+    found = line_dedup.dedup_lines(rows_of(spark, rows), min_words=10).orderBy("doc_id").collect()
+    assert found[0].removed is None
+    assert found[1].text == "\n".join(lines[1::2])

@@ -63,7 +63,7 @@ def test_registered_query_gives_the_same_rows(spark, sf_dir):
 
     assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in __spark_entry__.queries()) == 1
 
 
@@ -80,3 +80,25 @@ def test_entry_works_without_the_subpackage(monkeypatch):
         monkeypatch.undo()
         importlib.reload(__spark_entry__)
 
+
+
+def test_stages_on_awkward_rows(spark, sf_dir):
+    """NULLs, repeats and columns with the operators' own names: each stage returns its input's columns."""
+    names = ["removed", "n_lines", "kept", "mix_count", "mix_copy", "rate", "row_key", "group", "k1", "labels"]
+    prose = " ".join(f"word{i} and more" for i in range(40))
+    rows = [
+        (1, prose, "en", "a", 10), (1, prose, "en", "a", 10), (1, prose + " end", "en", None, 10),
+        (2, prose.replace("word7 ", "other "), "de", "b", 10), (None, prose, None, "b", 10),
+        (None, None, None, None, None), (3, "", "en", "a", 0), (4, " \n ", "en", "a", 3), (5, "short", "en", "a", 5),
+    ]
+    schema = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
+    docs = spark.createDataFrame(rows, schema).select("*", *[F.concat(F.lit(f"{n} "), F.coalesce("lang", F.lit("-"))).alias(n) for n in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stored(stage(spark, docs, sf_dir))
+        assert out.columns == docs.columns and dict(out.dtypes) == dict(docs.dtypes), name
+        for row in out.collect():
+            assert all(row[n] == f"{n} {row.lang or '-'}" for n in names), name
+        empty = stage(spark, docs.where("false"), sf_dir)
+        assert empty.columns == docs.columns and empty.count() == 0
+    distinct = corpus_pipeline.one_of_each_group(spark, docs, sf_dir).collect()
+    assert sorted((r.doc_id or 0) for r in distinct if r.text and len(r.text) > 50) == [1]

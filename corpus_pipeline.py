@@ -19,8 +19,15 @@ from postsieve.llm.queries import MIX, PACK, table
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def apart(docs: DataFrame, names: list[str], stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What the stage returns, with the columns of its input; those it has names of its own for are kept aside."""
+    hidden = {name: f"__given_{name}" for name in docs.columns if name in names}
+    out = stage(docs.withColumnsRenamed(hidden))
+    return out.select(*[F.col(hidden.get(name, name)).alias(name) for name in docs.columns])
+
+
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules and the line labels keep."""
+    """Documents that the base rules and the line labels keep: none that are NULL, empty or short."""
     field = quality.train_field(docs, table(spark, sf_dir, "labels"))
     return quality.judge(docs, field, carry=True)
 
@@ -28,22 +35,34 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that they share with earlier ones; what has no word left goes.
 
-    ``n_chars`` follows the text.
+    ``n_chars`` follows the text.  Documents without a repeat stay as they are, NULL and empty texts
+    included; of equal ids the order is that of hashes of the text.
     """
-    found = line_dedup.dedup_lines(docs, every_block=True)
-    left = found.where(F.col("removed").isNull() | F.col("text").rlike("[^\\x20\\x09-\\x0D]"))
-    length = F.when(F.col("removed").isNull(), F.col("n_chars")).otherwise(F.length("text"))
-    return left.withColumn("n_chars", length.cast("bigint")).select(*docs.columns)
+
+    def left(rows: DataFrame) -> DataFrame:
+        found = line_dedup.dedup_lines(rows)
+        kept = found.where(F.col("removed").isNull() | F.col("text").rlike("[^\\x20\\x09-\\x0D]"))
+        length = F.when(F.col("removed").isNull(), F.col("n_chars")).otherwise(F.length("text"))
+        return kept.withColumn("n_chars", length.cast("bigint"))
+
+    return apart(docs, ["removed", "n_lines", "removed_words", "__key", "kept"], left)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates."""
+    """One document of each group of near duplicates: the smallest id, of equal ones the smallest hash.
+
+    Texts without words all stay; rows that repeat id and text are one row.
+    """
     return near_join.distinct_documents(docs)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as many times as their source's target weight asks for, globally shuffled."""
-    return mixing.mix_sources(docs, **MIX).select(*docs.columns)
+    """Documents as many times as their source's target weight asks for, globally shuffled.
+
+    A NULL source is one of its own.  Rows with a NULL id are drawn by their text, repeated rows alike.
+    """
+    own = ["mix_rate", "mix_count", "mix_copy", "mix_key", "rate", "n_docs"]
+    return apart(docs, own, lambda rows: mixing.mix_sources(rows, **MIX))
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,26 +17,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postsieve.functions import patterns as p
 from postsieve.functions.columns import as_list
 
 
-def split_lines(df: DataFrame, keys: Sequence[str], text_col: str = "text") -> DataFrame:
-    """``(*keys, pos, raw)``: one row per line; a NULL text counts as empty.
+def text_lines(text: Column) -> Column:
+    """The lines of a text as an array; a NULL text counts as empty.
 
     The separator takes two line feeds in a row for one.  Texts without such a
     pair, as all with CRLF line ends are, split at a plain character instead,
     which Spark does without the regular expression engine.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    text = F.coalesce(text, F.lit(""))
     by_character = F.split(F.replace(text, F.lit("\r\n"), F.lit("\n")), "\n")
-    parts = F.when(F.contains(text, F.lit("\n\n")), F.split(text, p.LINE_BREAK)).otherwise(
-        by_character
-    )
-    return df.select(*as_list(keys), F.posexplode(parts).alias("pos", "raw"))
+    return F.when(F.contains(text, F.lit("\n\n")), F.split(text, p.LINE_BREAK)).otherwise(by_character)
+
+
+def split_lines(df: DataFrame, keys: Sequence[str], text_col: str = "text") -> DataFrame:
+    """``(*keys, pos, raw)``: one row per line."""
+    return df.select(*as_list(keys), F.posexplode(text_lines(F.col(text_col))).alias("pos", "raw"))
 
 
 def _like(column: str, pattern: str) -> str:
@@ -44,8 +46,15 @@ def _like(column: str, pattern: str) -> str:
     return f"{column} RLIKE r'{pattern}'"
 
 
-def line_flags(lines: DataFrame) -> DataFrame:
-    """Classify raw lines, each by one anchored pattern."""
+#: SQL by the name of the column it gives, each step using those before it.
+Steps = list[dict[str, str]]
+
+
+def flag_steps(of: str = "") -> Steps:
+    """Classification of raw lines, each by one anchored pattern.
+
+    ``of`` stands before the names of columns: the line's own name and a dot, where it is a struct.
+    """
     kinds = {
         "is_space": p.WHITESPACE_LINE,
         "is_indented": p.INDENTED_LINE,
@@ -53,11 +62,18 @@ def line_flags(lines: DataFrame) -> DataFrame:
         "is_divider": p.DIVIDER_LINE,
         "is_inline": p.INLINE_CODE_LINE,
     }
-    special = _like("left(raw, 1)", p.SPECIAL_FIRST_CHARACTER)
-    return lines.selectExpr("*", f"{special} AS may_be_special").selectExpr(
-        "*",
-        *(f"may_be_special AND {_like('raw', pattern)} AS {name}" for name, pattern in kinds.items()),
-    )
+    special = _like(f"left({of}raw, 1)", p.SPECIAL_FIRST_CHARACTER)
+    return [
+        {"may_be_special": special},
+        {name: f"{of}may_be_special AND {_like(f'{of}raw', pattern)}" for name, pattern in kinds.items()},
+    ]
+
+
+def line_flags(lines: DataFrame) -> DataFrame:
+    """Classify raw lines."""
+    for step in flag_steps():
+        lines = lines.selectExpr("*", *(f"{sql} AS {name}" for name, sql in step.items()))
+    return lines
 
 
 # Name of the line after each step, the marker that must open the line before it,
@@ -73,49 +89,62 @@ _STEPS = (
 )
 
 
-def strip_markers(lines: DataFrame) -> DataFrame:
-    """Run the marker chain over classified lines (see the module notes).
+def marker_steps(of: str = "") -> Steps:
+    """The marker chain over classified lines (see the module notes); the last step is the result.
 
     Each step sees what the step before has left and always shortens the line it
     applies to, so comparing neighbouring steps tells which markers were there.
     Within a line the last marker of a kind counts.  Indented, blank and language
     lines carry no markers.
     """
-    marked = lines.selectExpr(
-        "*",
-        "may_be_special AND NOT (is_indented OR is_space OR is_language) AS may_be_marked",
-    )
+    steps: Steps = [
+        {"may_be_marked": f"{of}may_be_special AND NOT ({of}is_indented OR {of}is_space OR {of}is_language)"}
+    ]
     before = {}
     line = "raw"
     for name, marker, replacement in _STEPS:
-        opens = f"may_be_marked AND {_like(line, p.at_start(marker))}"
-        removed = f"regexp_replace({line}, r'{marker}', '{replacement}')"
-        marked = marked.selectExpr("*", f"IF({opens}, {removed}, {line}) AS {name}")
+        opens = f"{of}may_be_marked AND {_like(of + line, p.at_start(marker))}"
+        removed = f"regexp_replace({of}{line}, r'{marker}', '{replacement}')"
+        steps.append({name: f"IF({opens}, {removed}, {of}{line})"})
         before[name] = line
         line = name
 
     def removed_by(step: str) -> str:
-        return f"(may_be_marked AND {before[step]} != {step})"
+        return f"({of}may_be_marked AND {of}{before[step]} != {of}{step})"
 
     def toggle(opens: str, closes: str) -> str:
         return f"CASE WHEN {closes} THEN false WHEN {opens} THEN true END"
 
     # A closing code tag with content behind it still covers that content.
-    code_goes_on = f"({removed_by('sans_code_end')} AND {_like('sans_code_end', p.NON_SPACE)})"
-    code_ends = f"({removed_by('sans_code_end')} AND NOT {_like('sans_code_end', p.NON_SPACE)})"
+    code_goes_on = f"({removed_by('sans_code_end')} AND {_like(of + 'sans_code_end', p.NON_SPACE)})"
+    code_ends = f"({removed_by('sans_code_end')} AND NOT {_like(of + 'sans_code_end', p.NON_SPACE)})"
     # A fence opens even where it was meant to close, except when a second one
     # follows at once: then it closes and all fences of the line are dropped.
-    double_fence = f"({removed_by('sans_fence')} AND startswith(sans_fence, '{p.FENCE_MARK}'))"
+    double_fence = f"({removed_by('sans_fence')} AND startswith({of}sans_fence, '{p.FENCE_MARK}'))"
+    steps.append(
+        {
+            "line": f"""CASE WHEN {of}is_language THEN ''
+                 WHEN {of}is_inline THEN regexp_extract({of}raw, r'{p.INLINE_CODE_LINE}', 1)
+                 WHEN {double_fence} THEN replace({of}sans_fence, '{p.FENCE_MARK}', '')
+                 WHEN NOT {of}may_be_marked OR {_like(of + "sans_fence", p.NON_SPACE)} THEN {of}sans_fence
+            END""",
+            "set_snippet": toggle(removed_by("sans_snippet_begin"), removed_by("sans_snippet_end")),
+            "set_code": toggle(removed_by("sans_code_begin"), code_ends),
+            "set_script": toggle(removed_by("sans_script_begin"), removed_by("sans_script_end")),
+            "set_fence": toggle(removed_by("sans_fence"), double_fence),
+            "close_code_after": code_goes_on,
+        }
+    )
+    return steps
+
+
+def strip_markers(lines: DataFrame) -> DataFrame:
+    """Run the marker chain over classified lines."""
+    *steps, last = marker_steps()
+    marked = lines
+    for step in steps:
+        marked = marked.selectExpr("*", *(f"{sql} AS {name}" for name, sql in step.items()))
     return marked.selectExpr(
         *(name for name in lines.columns if name != "may_be_special"),
-        f"""CASE WHEN is_language THEN ''
-                 WHEN is_inline THEN regexp_extract(raw, r'{p.INLINE_CODE_LINE}', 1)
-                 WHEN {double_fence} THEN replace(sans_fence, '{p.FENCE_MARK}', '')
-                 WHEN NOT may_be_marked OR {_like("sans_fence", p.NON_SPACE)} THEN sans_fence
-            END AS line""",
-        toggle(removed_by("sans_snippet_begin"), removed_by("sans_snippet_end")) + " AS set_snippet",
-        toggle(removed_by("sans_code_begin"), code_ends) + " AS set_code",
-        toggle(removed_by("sans_script_begin"), removed_by("sans_script_end")) + " AS set_script",
-        toggle(removed_by("sans_fence"), double_fence) + " AS set_fence",
-        f"{code_goes_on} AS close_code_after",
+        *(f"{sql} AS {name}" for name, sql in last.items()),
     )

@@ -575,6 +575,7 @@ ORACLES: dict[str, str] = {
         SELECT 'b.example.com' AS dataset, table_name, fault, n_rows FROM found WHERE n_rows > 0
         UNION ALL SELECT 'd.example.com', 'comments', 'missing file', -1
         UNION ALL SELECT 'd.example.com', 'post_history', 'missing file', -1""",
+    "text_blocks_by_fold": _md(MERGE, "SELECT k AS doc_id, n_text_blocks, text_blocks FROM prose"),
     "text_blocks_closed_fences": _md(
         MERGE, "SELECT k AS doc_id, n_text_blocks, text_blocks FROM prose", CLOSING_READER
     ),

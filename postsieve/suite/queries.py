@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postsieve.functions.columns import dataset_slug, has_letter_or_digit
-from postsieve.operators import assemble, blocks, comments, history, lines, posts, reports
+from postsieve.operators import assemble, blocks, comments, folds, history, lines, posts, reports
 from postsieve.plans import corpus as plans
 from postsieve.sinks import json_files, versions
 from postsieve.sources import dumps, faults
@@ -324,6 +324,12 @@ def text_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _prose(views.markdown(spark, sf_dir), "Text")
 
 
+def text_blocks_by_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same text blocks without a shuffle."""
+    found = folds.text_blocks_by_fold(views.markdown(spark, sf_dir), ["doc_id"], "Text")
+    return found.select("doc_id", *_listed("text_blocks"))
+
+
 def text_blocks_closed_fences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text blocks where a lone fence closes an open one."""
     found = blocks.text_blocks(views.markdown(spark, sf_dir), ["doc_id"], "Text", close_fences=True)
@@ -504,6 +510,7 @@ QUERIES: dict[str, Query] = {
     "corpus_from_pretty_dump": corpus_from_pretty_dump,
     "site_faults": site_faults,
     "sound_sites": sound_sites,
+    "text_blocks_by_fold": text_blocks_by_fold,
     "text_blocks_closed_fences": text_blocks_closed_fences,
     "blocks_without_merged": blocks_without_merged,
     "filter_row_lines": filter_row_lines,

@@ -12,6 +12,7 @@ import pytest
 
 import __spark_entry__ as entry_module
 from postsieve.operators.blocks import text_blocks
+from postsieve.operators.folds import text_blocks_by_fold
 from postsieve.suite import oracles
 from postsieve.suite.oracles import ORACLES
 from postsieve.suite.queries import QUERIES
@@ -157,6 +158,9 @@ def test_random_texts(spark, seed, name, rules):
         for row in connection.execute(document_sql(name)).fetchall()
     }
     df = spark.createDataFrame(texts, "doc_id bigint, text string")
-    for row in text_blocks(df, ["doc_id"], **rules).collect():
-        found = (len(row.text_blocks), "\n~\n".join(row.text_blocks))
-        assert found == expected[row.doc_id], repr(dict(texts)[row.doc_id])
+    for form in (text_blocks, text_blocks_by_fold):
+        rows = form(df, ["doc_id"], **rules).collect()
+        assert len(rows) == len(texts)
+        for row in rows:
+            found = (len(row.text_blocks), "\n~\n".join(row.text_blocks))
+            assert found == expected[row.doc_id], (form, dict(texts)[row.doc_id])

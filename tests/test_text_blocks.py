@@ -3,6 +3,7 @@
 import pytest
 
 from postsieve.operators.blocks import text_blocks
+from postsieve.operators.folds import text_blocks_by_fold
 
 CASES = [
     ("text\r\n\r\n    code\r\n\r\nmore", ["text", "more"]),
@@ -43,11 +44,26 @@ CASES = [
 ]
 
 
-@pytest.fixture(scope="module")
-def found(spark):
+@pytest.fixture(scope="module", params=[text_blocks, text_blocks_by_fold])
+def found(spark, request):
     rows = [(i, text) for i, (text, _) in enumerate(CASES)]
     df = spark.createDataFrame(rows, "id bigint, text string")
-    return {r.id: r.text_blocks for r in text_blocks(df, ["id"]).collect()}
+    return {r.id: r.text_blocks for r in request.param(df, ["id"]).collect()}
+
+
+def test_fold_needs_no_shuffle_and_no_key(spark):
+    df = spark.createDataFrame([(1, "a\r\n\r\n    x\r\n\r\nb", "s")] * 2, "id bigint, text string, site string")
+    found = text_blocks_by_fold(df, ["id"], carry=["site"])
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in found.collect()] == [(1, "s", ["a", "b"])] * 2
+
+
+@pytest.mark.parametrize("n", [255, 256, 257, 5000])
+def test_long_texts_by_either_form(spark, n):
+    lines = ["word", "", "    code", "", "`x`", "more words", "---"]
+    text = "\r\n".join(lines[i % 7] for i in range(n))
+    df = spark.createDataFrame([(1, text)], "id bigint, text string")
+    assert text_blocks(df, ["id"]).collect() == text_blocks_by_fold(df, ["id"]).collect()
 
 
 @pytest.mark.parametrize("case", range(len(CASES)))

@@ -33,6 +33,8 @@ from postsieve.llm.common import in_doc_order, scratch_dir, stored
 from postsieve.llm.elias_fano import Sequence, encode, find_in_ranges, join_ranges
 from postsieve.llm.words import mix, small_batches, word_hashes
 
+#: Different words that a model may have: their numbers are 31 bits, and two of them 62.
+MOST_WORDS = (1 << 31) - 8
 #: Discounts of pairs and of triples.
 DISCOUNTS = (0.75, 0.9)
 #: Tokens of training text per shard of the trie.
@@ -218,6 +220,8 @@ def write_vocabulary(counts: DataFrame, folder: str) -> Vocabulary:
     files = stored(placed.mapInArrow(write, "part INT, name STRING, first BIGINT, n_words BIGINT, n_tokens BIGINT"))
     rows = files.orderBy("part").collect()  # a row per file
     sizes = [r["n_words"] for r in rows]
+    if sum(sizes) >= MOST_WORDS:
+        raise ValueError(f"{sum(sizes)} different words; their numbers have 31 bits")
     return Vocabulary(
         folder,
         [r["first"] % (1 << 64) for r in rows],

@@ -292,9 +292,13 @@ ORACLES = {
     # Bytes as pairs of hex digits.
     "op13_suffix_dedup": """
         WITH bytes AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+        pieces AS (
+            SELECT doc_id, base, substr(x, 2 * base + 1, 2146) AS piece
+            FROM bytes, LATERAL (SELECT unnest(range(0, len(x) // 2 - 49, 1024)) AS base)
+        ),
         strings AS (
-            SELECT doc_id, pos, substr(x, 2 * pos + 1, 100) AS s
-            FROM bytes, LATERAL (SELECT unnest(range(0, len(x) // 2 - 49)) AS pos)
+            SELECT doc_id, base + pos AS pos, substr(piece, 2 * pos + 1, 100) AS s
+            FROM pieces, LATERAL (SELECT unnest(range(0, least(1024, len(piece) // 2 - 49))) AS pos)
         ),
         firsts AS (SELECT s, min(doc_id) AS first FROM strings GROUP BY s HAVING min(doc_id) < max(doc_id)),
         marked AS (

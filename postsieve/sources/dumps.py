@@ -59,7 +59,10 @@ def table_paths(input_dir: str, datasets: Iterable[str], table: str) -> list[str
 def dataset_of(path: Column) -> Column:
     """Dataset name in the path of a table file or of one of its part files."""
     files = "|".join(name.replace(".", r"\.") for name in TABLE_FILES.values())
-    folder = F.regexp_extract(path, rf"([^/]+)/(?:{files})(?:/[^/]*)?$", 1)
+    # This is done for every line: only the end of the path is looked at, and names are tried from
+    # their beginning alone.
+    end = F.substring_index(path, "/", -3)
+    folder = F.regexp_extract(end, rf"(?<![^/])([^/]++)/(?:{files})(?:/[^/]*+)?$", 1)
     # Paths arrive percent-encoded, where a plus sign stands for itself.
     return F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))
 

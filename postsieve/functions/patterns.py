@@ -17,6 +17,7 @@ ROW_ELEMENT = rf"\A{SPACE}*<row"
 ROW_MARK = "<row"
 ROW_REST = r"\A(?=[\s/>])\s*+[^<\s]"
 ROW_ATTRIBUTES = r"""\A((?:[^"'<>/]++|"[^"]*+"|'[^']*+')*+)/?>"""
+ANY_REST = r"(?s:.*+)\z"
 LINE_BREAK = r"[\r\n]?\n"
 
 INDENTED_LINE = r"\A(?: {4}|[ ]*\t)"

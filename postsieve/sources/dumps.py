@@ -103,9 +103,8 @@ def read_elements(
         .select(dataset_of(F.col("_metadata.file_path")).alias("dataset"), "value")
         .where(F.col("value").rlike(p.ROW_REST))
     )
-    attributes = F.regexp_extract("value", p.ROW_ATTRIBUTES, 1)
-    whole = F.col("value").rlike(p.ROW_ATTRIBUTES)
-    element = F.when(whole, F.concat(attributes, F.lit("/>"))).otherwise(F.col("value"))
+    # One pass over a value, which may be long; without an end it stays as it is.
+    element = F.regexp_replace("value", p.ROW_ATTRIBUTES + p.ANY_REST, "$1/>")
     return pieces.select("dataset", F.concat(F.lit(p.ROW_MARK), element).alias("value"))
 
 

@@ -35,3 +35,19 @@ def test_the_site_is_found_in_linear_time(spark):
 )
 def test_sites_of_paths(spark, path, site):
     assert spark.range(1).select(dataset_of(F.lit(path))).first()[0] == site
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_elements_are_matched_once(spark, tmp_path):
+    path = tmp_path / "s.example.com" / "Posts.xml"
+    path.parent.mkdir()
+    path.write_text("<posts>\n<row\n Id='1'\n/> x\n<row/><row />y<row Id=\"2\" ></row>\n<row Id=\"3</posts>", encoding="utf-8")
+    found = read_elements(spark, str(tmp_path), None, "posts")
+    # Not once to see whether they match and once more to take them out.
+    assert _plan(found).count(p.ROW_ATTRIBUTES) == 1
+    assert sorted(r.value for r in found.collect()) == sorted(
+        ["<row\n Id='1'\n/>", "<row/>", "<row />", '<row Id="2" />', '<row Id="3</posts>']
+    )

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Collection
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,8 +103,11 @@ def markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event as a version of the post with its user's number."""
+def raw_history(spark: SparkSession, sf_dir: str, escaped: bool = False) -> DataFrame:
+    """Every event as a version of the post with its user's number.
+
+    ``escaped``: with texts as they stand in XML, done once for each text and not for each event.
+    """
     n_docs = table(spark, sf_dir, "documents").select(F.count("*")).scalar()
     kinds = (("signup", 2), ("view", 4), ("purchase", 5), ("click", 6))
     type_id = F.lit(8)
@@ -120,7 +124,9 @@ def raw_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The join makes short rows a thousand times wider, so spread them first; a
     # given number of partitions is not merged again for being small.
     spread = events.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "Id")
-    return spread.join(markdown(spark, sf_dir), "doc_id").drop("doc_id")
+    texts = markdown(spark, sf_dir)
+    texts = texts.withColumn("Text", _escaped(F.col("Text"))) if escaped else texts
+    return spread.join(texts, "doc_id").drop("doc_id")
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,14 +153,22 @@ _ESCAPES = (
 )
 
 
-def xml_lines(rows: DataFrame) -> DataFrame:
-    """``(dataset, value)``: rows printed as ``<row A="..." />``; NULLs are left out."""
+def _escaped(value: Column) -> Column:
+    for char, entity in _ESCAPES:
+        value = F.replace(value, F.lit(char), F.lit(entity))
+    return value
+
+
+def xml_lines(rows: DataFrame, escaped: Collection[str] = (), before: str = " ") -> DataFrame:
+    """``(dataset, value)``: rows printed as ``<row A="..." />``; NULLs are left out.
+
+    Columns in ``escaped`` are so already; ``before`` stands before each attribute.
+    """
+    strings = {name for name, kind in rows.dtypes if kind == "string"}.difference(escaped)
 
     def attribute(name: str) -> Column:
-        value = F.col(name).cast("string")
-        for char, entity in _ESCAPES:
-            value = F.replace(value, F.lit(char), F.lit(entity))
-        printed = F.concat(F.lit(f' {name}="'), value, F.lit('"'))
+        value = _escaped(F.col(name)) if name in strings else F.col(name).cast("string")
+        printed = F.concat(F.lit(f'{before}{name}="'), value, F.lit('"'))
         return F.coalesce(printed, F.lit(""))
 
     attributes = [attribute(name) for name in rows.columns if name != "dataset"]
@@ -214,19 +228,16 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/postsieve-{uuid.uuid4().hex}"
 
 
-def over_lines(lines: DataFrame) -> DataFrame:
-    """The same rows with each attribute on a line of its own, and other elements as they are."""
-    attribute = r' ([A-Z][A-Za-z]*="[^"]*")'
-    spread = F.regexp_replace("value", attribute, "\n       $1")
-    return lines.withColumn("value", F.when(F.col("value").rlike("^ *<row"), spread).otherwise(F.col("value")))
+#: Before an attribute on a line of its own.
+OVER_LINES = "\n       "
 
 
-def with_damage(rows: DataFrame, dataset: str) -> DataFrame:
+def with_damage(rows: DataFrame, dataset: str, escaped: Collection[str] = ()) -> DataFrame:
     """Rows as XML lines, those of one dataset with faults as in ``with_faults``, or cut short (``CUT_ID``)."""
     own = F.col("dataset") == dataset
-    damaged = xml_lines(with_faults(rows.where(own)))
+    damaged = xml_lines(with_faults(rows.where(own)), escaped)
     cut = F.when(F.col("value").rlike(CUT_ID), F.regexp_replace("value", " />$", "")).otherwise(F.col("value"))
-    return xml_lines(rows.where(~own)).unionByName(damaged.select("dataset", cut.alias("value")))
+    return xml_lines(rows.where(~own), escaped).unionByName(damaged.select("dataset", cut.alias("value")))
 
 
 #: Rows whose id ends so are cut short in a damaged dump.
@@ -249,10 +260,13 @@ def write_dump(
     """
     root = scratch_dir(spark)
     for name in names:
-        rows = RAW_TABLES[name](spark, sf_dir)
-        printed = xml_lines(rows) if damaged is None else with_damage(rows, damaged)
+        escaped = ("Text",) if name == "post_history" else ()
+        rows = raw_history(spark, sf_dir, escaped=True) if escaped else RAW_TABLES[name](spark, sf_dir)
+        if damaged is None:
+            printed = xml_lines(rows, escaped, OVER_LINES if pretty else " ")
+        else:
+            printed = with_damage(rows, damaged, escaped)
         lines = with_root_tags(spark, printed, name)
-        lines = over_lines(lines) if pretty else lines
         lines.write.partitionBy("dataset").text(f"{root}/_{name}")
         for dataset in DATASETS:
             source = f"{root}/_{name}/dataset={dataset}"

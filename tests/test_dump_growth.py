@@ -51,3 +51,32 @@ def test_elements_are_matched_once(spark, tmp_path):
     assert sorted(r.value for r in found.collect()) == sorted(
         ["<row\n Id='1'\n/>", "<row/>", "<row />", '<row Id="2" />', '<row Id="3</posts>']
     )
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    """Thirty documents with what XML escapes, and ten events for each, some without a date or user."""
+    folder = str(tmp_path_factory.mktemp("tables"))
+    text = "\n".join(f'a & b <i>"{k}"</i>\t Name="x" of the line' for k in range(60))
+    docs = [(i, f"{i} {text}" if i != 3 else None, 10 + i) for i in range(30)]
+    spark.createDataFrame(docs, "doc_id bigint, text string, n_chars bigint").write.parquet(f"{folder}/documents.parquet")
+    kinds = ["signup", "view", "purchase", "click", None]
+    events = [(i, datetime(2024, 1, 1, 0, i % 60) if i % 7 else None, i % 20 if i % 11 else None, kinds[i % 5]) for i in range(300)]
+    spark.createDataFrame(events, "event_id bigint, ts timestamp, user_id bigint, event_type string").write.parquet(f"{folder}/events.parquet")
+    return folder
+
+
+def test_texts_are_escaped_before_they_are_joined(spark, tables):
+    plain = views.xml_lines(views.raw_history(spark, tables))
+    once = views.xml_lines(views.raw_history(spark, tables, escaped=True), ["Text"])
+    assert sorted(map(str, once.collect())) == sorted(map(str, plain.collect()))
+    above, joined, _ = _plan(once).partition("Join")
+    # Of the columns printed for each event, only the date is a string that may need it.
+    assert joined and "Text#" in above and "replace(Text" not in above
+
+
+def test_attributes_on_lines_of_their_own(spark, tables):
+    history = views.raw_history(spark, tables)
+    spread = {r.value for r in views.xml_lines(history, before=views.OVER_LINES).collect()}
+    one_line = views.xml_lines(history).withColumn("value", F.regexp_replace("value", r' ([A-Z][A-Za-z]*="[^"]*")', "\n       $1"))
+    assert spread == {r.value for r in one_line.collect()}

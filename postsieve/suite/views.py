@@ -256,6 +256,7 @@ def write_dump(
     """Write the derived tables as a dump and return its folder.
 
     One write per table; its folders, one per dataset, are then moved to their places.
+    Files are compressed: those of one task are read by one task, and there are as many as tasks wrote.
     ``pretty``: with rows over several lines; ``damaged``: with faults in this dataset.
     """
     root = scratch_dir(spark)
@@ -267,7 +268,7 @@ def write_dump(
         else:
             printed = with_damage(rows, damaged, escaped)
         lines = with_root_tags(spark, printed, name)
-        lines.write.partitionBy("dataset").text(f"{root}/_{name}")
+        lines.write.option("compression", "lz4").partitionBy("dataset").text(f"{root}/_{name}")
         for dataset in DATASETS:
             source = f"{root}/_{name}/dataset={dataset}"
             move_folder(spark, source, f"{root}/{dataset}/{TABLE_FILES[name]}")

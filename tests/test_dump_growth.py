@@ -80,3 +80,10 @@ def test_attributes_on_lines_of_their_own(spark, tables):
     spread = {r.value for r in views.xml_lines(history, before=views.OVER_LINES).collect()}
     one_line = views.xml_lines(history).withColumn("value", F.regexp_replace("value", r' ([A-Z][A-Za-z]*="[^"]*")', "\n       $1"))
     assert spread == {r.value for r in one_line.collect()}
+
+
+def test_a_dump_takes_less_room_than_its_texts(spark, tables):
+    root = views.write_dump(spark, tables, ["post_history"])
+    files = [f for f in Path(root.removeprefix("file://")).rglob("*") if f.is_file()]
+    printed = views.xml_lines(views.raw_history(spark, tables))
+    assert sum(f.stat().st_size for f in files) < 0.6 * printed.agg(F.sum(F.length("value"))).first()[0]

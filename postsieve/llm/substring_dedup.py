@@ -8,12 +8,14 @@ every hash function has its smallest value at the same token in both.  So window
 length of such a run, the windows of several functions are joined where they overlap, and the
 signature of an interval is all their smallest values.  Signatures that one text has alone are dropped.
 
-Texts with one signature are a group.  Groups are not expanded into pairs: each member is compared with the
-group's head, its first text.  The tokens of both are aligned about the place of the smallest
-hash, from there to both sides, and the best stretches of the wanted similarity and length are the result.
-Members to which their head has no such passage form groups anew, by signature and the smallest
-hashes beside it, and are compared with the heads of those.  So a passage that very many documents have costs one
-comparison for each, and a text that has no more than the run in common takes no partner from others.
+Texts with one signature are a group, its first text is the head.  Each member is compared with the
+head: the tokens of both are aligned about the place of the smallest hash, from there to both sides, and
+the best stretches of the wanted similarity and length are the result.  The members of all groups that have
+their head's signature within one stretch of it are a family.  Two members that have the same words of the head
+are linked thereby; all others with a signature in common are compared with each other, in blocks, so that
+a task holds no more than two.  Pairs with too few tokens in common for a passage are left out by counting,
+and of many pairs at once the best stretch of what both have of the head is taken; where that is no passage, the
+two are aligned with each other.  Such pairs can be as many as the square of a family.
 
 Texts are dealt into chunks that keep their place; what is compared comes to the chunk of the
 member, as the stretch of the head that is asked for.
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postsieve.llm.common import stored
+from postsieve.llm.common import input_tasks, stored
 from postsieve.llm.shared_names import COUNTS, read_sums, send_counts, summed
 from postsieve.llm.words import distinct, mix, small_batches, windows, word_hashes
 
@@ -38,13 +40,14 @@ MIN_WORDS = 50
 SIMILARITY = 0.8
 #: Hash functions whose smallest values are a signature.
 FUNCTIONS = 3
-#: Hash functions on either side of a signature, for members that are unlike their head.
-SIDE_FUNCTIONS = 3
 #: Tokens beyond the common signatures that a passage is looked for, and places to which stretches
 #: are rounded, so that many members ask for the same.
 ROOM, GRID = 160, 64
 #: Tokens by which an alignment may shift.
 DRIFT = 48
+#: Tokens of a head about which a family meets, members of it that are sent as one block and
+#: compared in one matrix, columns of such a matrix, and pairs that are aligned without counting.
+CELL, BLOCK, TILE, COLUMNS, FEW = 1024, 512, 256, 1 << 14, 64
 #: Words of the texts in a chunk, about, and bytes of text that a task holds before it sends them.
 CHUNK_WORDS = 1_000_000
 FLUSH_BYTES = 8 << 20
@@ -215,6 +218,229 @@ def passages(
     return out
 
 
+class Segment:
+    """A stretch of a text in a family; places are those in the whole text."""
+
+    def __init__(self, row: dict):
+        self.text, self.doc_id, self.begin, self.block = (row[c] for c in ("text", "doc_id", "begin", "block"))
+        self.tokens = np.frombuffer(row["tokens"], np.uint32)
+        signatures, places = np.frombuffer(row["signatures"], np.int64), np.frombuffer(row["places"], np.int32)
+        order = np.argsort(signatures, kind="stable")
+        self.signatures, self.places = signatures[order], places[order].astype(np.int64)
+
+    def meets(self, other: Segment) -> list[tuple[int, int, int]]:
+        """``(shift, first, last)``: the alignments by equal signatures, and between which places they hold."""
+        left = np.searchsorted(other.signatures, self.signatures)
+        times = np.searchsorted(other.signatures, self.signatures, side="right") - left
+        mine = np.repeat(self.places, times)
+        theirs = np.arange(len(mine)) - np.repeat(np.cumsum(times) - times, times) + np.repeat(left, times)
+        order = np.lexsort((mine, mine - other.places[theirs]))
+        mine, shift = mine[order], (mine - other.places[theirs])[order]
+        cuts = np.flatnonzero(np.diff(shift)) + 1
+        return [(int(s[0]), int(m[0]), int(m[-1])) for s, m in zip(np.split(shift, cuts), np.split(mine, cuts)) if len(s)]
+
+    def same_runs(self, other: Segment, shift: int, shortest: int) -> list[tuple[int, int]]:
+        """``(start, end)`` in this text of the runs of equal tokens of that length."""
+        low = max(self.begin, other.begin + shift)
+        high = min(self.begin + len(self.tokens), other.begin + shift + len(other.tokens))
+        if high - low < shortest:
+            return []
+        same = self.tokens[low - self.begin : high - self.begin] == other.tokens[low - shift - other.begin : high - shift - other.begin]
+        edges = np.flatnonzero(np.diff(same.astype(np.int8), prepend=0, append=0))
+        return [(low + a, low + b) for a, b in edges.reshape(-1, 2).tolist() if b - a >= shortest]
+
+
+def incidence(values: list[np.ndarray], columns: np.ndarray) -> np.ndarray:
+    """Which of the ascending ``columns`` each of the lists has, as a matrix of 0 and 1."""
+    out = np.zeros((len(values), len(columns)), np.float32)
+    if len(columns):
+        row = np.repeat(np.arange(len(values)), [len(v) for v in values])
+        every = np.concatenate(values)
+        at = np.minimum(np.searchsorted(columns, every), len(columns) - 1)
+        hit = columns[at] == every
+        out[row[hit], at[hit]] = 1
+    return out
+
+
+def in_common(some: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
+    """How many values each two of the lists have in common."""
+    total = np.zeros((len(some), len(others)), np.float32)
+    columns = np.intersect1d(np.concatenate(some), np.concatenate(others))
+    for i in range(0, len(columns), COLUMNS):
+        part = columns[i : i + COLUMNS]
+        total += incidence(some, part) @ incidence(others, part).T
+    return total
+
+
+def numbered(tokens: np.ndarray) -> np.ndarray:
+    """Each token with the number of times that it has come before, so that none comes twice."""
+    values = np.sort(tokens).astype(np.uint64)
+    new = np.concatenate(([True], values[1:] != values[:-1])) if len(values) else np.zeros(0, bool)
+    first = np.flatnonzero(new)
+    return (values << np.uint64(32)) + (np.arange(len(values)) - first[np.cumsum(new) - 1]).astype(np.uint64)
+
+
+def positions(segments: list[Segment], columns: np.ndarray) -> np.ndarray:
+    """Where each of the ascending tokens stands in the segments, none of which has a token twice; -1: nowhere."""
+    out = np.full((len(segments), len(columns)), -1, np.int32)
+    for row, segment in zip(out, segments):
+        at = np.minimum(np.searchsorted(columns, segment.tokens), len(columns) - 1)
+        hit = np.flatnonzero(columns[at] == segment.tokens)
+        row[at[hit]] = hit
+    return out
+
+
+class Family:
+    """Members of two blocks of a family, ordered by text, and what they have of their head."""
+
+    def __init__(self, own: list[Segment], head: int, low: int, high: int, shortest: int, similarity: float):
+        self.head, self.alone, self.shortest, self.similarity = head, low == high, shortest, similarity
+        self.heads = [s for s in own if s.text == head]
+        self.members = [s for s in own if s.block in (low, high)]
+        self.labels: dict[int, np.ndarray] = {}
+        self.along: dict[int, np.ndarray | None] = {}
+
+    def passages(self) -> Iterator[tuple[Segment, Segment, tuple[int, int, int, int, float]]]:
+        """``(segment, other, passage)``, places as in the whole texts; the other's text is the smaller.
+
+        What a member has word for word from the head is a passage of those two, and two members that have the same
+        ``shortest`` tokens of it are linked thereby.  All others with a signature in common are compared.
+        """
+        members, shortest = self.members, self.shortest
+        spans: list[list[tuple[int, int]]] = []  # windows of the head that a member has, first to last
+        for mine in members:
+            if mine.text == self.head:
+                spans.append([(mine.begin, mine.begin + len(mine.tokens) - shortest)])
+                continue
+            spans.append([])
+            for other in self.heads:
+                for s, _, _ in mine.meets(other):
+                    for a, b in mine.same_runs(other, s, shortest):
+                        spans[-1].append((a - s, b - s - shortest))
+                        yield mine, other, (a, b, a - s, b - s, 1.0)
+        starts = np.unique(np.array([a for own in spans for a, _ in own], np.int64))
+        cuts = [[starts[np.searchsorted(starts, a) : np.searchsorted(starts, b, side="right")] for a, b in own] for own in spans]
+        of_head = [np.concatenate([starts[:0], *own]) for own in cuts]
+        names = [np.unique(s.signatures) for s in members]
+        text, block = (np.array([getattr(s, c) for s in members]) for c in ("text", "block"))
+        for i in range(0, len(members), TILE):
+            for j in range(0, i + 1, TILE):
+                rows, columns = slice(i, i + TILE), slice(j, j + TILE)
+                todo = text[rows, None] > text[None, columns]
+                # Two of one block are compared where that block is alone.
+                todo &= self.alone | (block[rows, None] != block[None, columns])
+                if todo.any():
+                    todo &= in_common(names[rows], names[columns]) > 0
+                    todo &= in_common(of_head[rows], of_head[columns]) == 0
+                pairs = np.argwhere(todo) + (i, j)
+                if len(pairs) > FEW:
+                    pairs = pairs[self.likely(pairs, i, j)]
+                    found = np.zeros(len(pairs), bool)
+                    for which, passage in self.along_head(pairs):
+                        found[which] = True
+                        yield members[pairs[which, 0]], members[pairs[which, 1]], passage
+                    pairs = pairs[~found]
+                for a, b in pairs.tolist():
+                    for passage in met_passages(members[a], members[b], shortest, self.similarity):
+                        yield members[a], members[b], passage
+
+    def likely(self, pairs: np.ndarray, i: int, j: int) -> np.ndarray:
+        """Which pairs have as many tokens in common as a passage has at least."""
+        for k in np.unique(pairs).tolist():
+            if k not in self.labels:
+                self.labels[k] = numbered(self.members[k].tokens)
+        least = int(np.ceil(2 * self.similarity * self.shortest / (1 + self.similarity) - 1e-9))
+        none = np.zeros(0, np.uint64)
+        sides = [[self.labels.get(k, none) for k in range(x, min(x + TILE, len(self.members)))] for x in (i, j)]
+        return (in_common(*sides) >= least)[pairs[:, 0] - i, pairs[:, 1] - j]
+
+    def of_head(self, k: int) -> np.ndarray | None:
+        """The member's place for each place of the head's first segment, or -1; None if the member has a token twice."""
+        if k not in self.along:
+            mine, head = self.members[k], self.heads[0]
+            meets = mine.meets(head)
+            self.along[k] = None
+            if meets and len(np.unique(mine.tokens)) == len(mine.tokens):
+                shift, first, _ = max(meets, key=lambda m: m[2] - m[1])
+                at, place = aligned(mine.tokens, 0, len(mine.tokens), head.tokens, shift - mine.begin + head.begin, first - mine.begin)
+                self.along[k] = np.full(len(head.tokens), -1, np.int32)
+                self.along[k][place] = at
+        return self.along[k]
+
+    def along_head(self, pairs: np.ndarray) -> Iterator[tuple[int, tuple[int, int, int, int, float]]]:
+        """``(number of the pair, passage)`` of those that show by what both have of the head, many at once.
+
+        The best stretch is that of ``best_stretches``.  A pair that has none here may yet have one.
+        """
+        s, shortest, members = self.similarity, self.shortest, self.members
+        known = {k: self.of_head(k) for k in np.unique(pairs).tolist()}
+        usable = np.flatnonzero([known[a] is not None and known[b] is not None for a, b in pairs.tolist()])
+        if not len(usable):
+            return
+        sides = [np.unique(pairs[usable, x]) for x in (0, 1)]
+        at_head = [np.stack([known[k] for k in side.tolist()]) for side in sides]
+        common = np.intersect1d(*(np.concatenate([members[k].tokens for k in side.tolist()]) for side in sides))
+        step = max(1, (1 << 20) // max(at_head[0].shape[1], min(len(common), COLUMNS)))
+        tables = [[positions([members[k] for k in side.tolist()], common[c : c + COLUMNS]) for side in sides] for c in range(0, len(common), COLUMNS)]
+        length, begun = np.array([len(m.tokens) for m in members]), np.array([m.begin for m in members])
+        for begin in range(0, len(usable), step):
+            which = usable[begin : begin + step]
+            x, y = (np.searchsorted(side, pairs[which, n]) for n, side in enumerate(sides))
+            i, j = at_head[0][x], at_head[1][y]
+            both = (i >= 0) & (j >= 0)
+            sums = (1 + s) * np.cumsum(both, axis=1) - s * (i + j)
+            own = np.where(both, sums, np.inf)
+            lows = np.minimum.accumulate(own, axis=1)
+            last = np.where(both, sums - np.where(both, lows, 0), -np.inf).argmax(axis=1)
+            r = np.arange(len(which))
+            first = (own == lows[r, last][:, None]).argmax(axis=1)
+            left = np.flatnonzero(both.any(axis=1))
+            for longest in (False, True):
+                if longest and len(left):
+                    # For each end the first beginning, by one search over the rows one after the other.
+                    far = 1e7 * np.arange(len(left))[:, None]
+                    keys = far - np.where(np.isinf(lows[left]), 1e6, lows[left])
+                    wanted = far - np.where(both[left], sums[left] + 1 - s + 1e-9, 1e6)
+                    width = both.shape[1]
+                    begins = np.searchsorted(keys.ravel(), wanted.ravel()).reshape(keys.shape) - width * np.arange(len(left))[:, None]
+                    begins = np.minimum(begins, np.arange(width))
+                    lengths = np.where(both[left], i[left] - np.take_along_axis(i[left], begins, axis=1), -1)
+                    last[left] = lengths.argmax(axis=1)
+                    first[left] = begins[np.arange(len(left)), last[left]]
+                if not len(left):
+                    break
+                start, end, to_start, to_end = i[left, first[left]], i[left, last[left]] + 1, j[left, first[left]], j[left, last[left]] + 1
+                short = np.maximum(0, shortest - np.minimum(end - start, to_end - to_start))
+                before = np.minimum(short, np.minimum(start, to_start))
+                after = short - before
+                one, other = pairs[which[left], 0], pairs[which[left], 1]
+                fits = (start >= 0) & (to_start >= 0) & (after <= np.minimum(length[one] - end, length[other] - to_end))
+                start, end, to_start, to_end = start - before, end + after, to_start - before, to_end + after
+                same = np.zeros(len(left), np.int64)
+                for mine, theirs in tables:
+                    p, q = mine[x[left]], theirs[y[left]]
+                    inside = (p >= start[:, None]) & (p < end[:, None]) & (q >= to_start[:, None]) & (q < to_end[:, None])
+                    same += inside.sum(axis=1)
+                found = same / ((end - start) + (to_end - to_start) - same)
+                fits &= found >= s
+                columns = (which[left], start + begun[one], end + begun[one], to_start + begun[other], to_end + begun[other], found)
+                for number, *passage in zip(*(c[fits].tolist() for c in columns)):
+                    yield number, tuple(passage)
+                left = left[~fits]
+
+
+def met_passages(
+    mine: Segment, other: Segment, shortest: int, similarity: float
+) -> Iterator[tuple[int, int, int, int, float]]:
+    """The passages of two segments about all their alignments, by places in the whole texts."""
+    for shift, first, last in mine.meets(other):
+        found = passages(
+            mine.tokens, other.tokens, shift - mine.begin + other.begin, first - mine.begin, last - mine.begin, shortest, similarity
+        )
+        for start, end, to_start, to_end, similar in found:
+            yield start + mine.begin, end + mine.begin, to_start + other.begin, to_end + other.begin, similar
+
+
 class Texts:
     """The different texts of a chunk, numbered in the order of their keys."""
 
@@ -287,9 +513,13 @@ def _packed(rows: DataFrame, chunks: int, shortest_text: int) -> DataFrame:
 
 
 _POSTS = "signature BIGINT, text BIGINT, place INT"
-_FOUND = (
+_SEGMENTS = (
+    "head BIGINT, cell INT, n BIGINT, text BIGINT, doc_id BIGINT, begin INT, "
+    "tokens BINARY, signatures BINARY, places BINARY"
+)
+_PASSAGES = (
     "doc_id BIGINT, other_doc_id BIGINT, start_word INT, end_word INT, other_start_word INT, "
-    "other_end_word INT, similarity DOUBLE, text BIGINT, first INT, last INT"
+    "other_end_word INT, similarity DOUBLE"
 )
 _RESULT = [
     "doc_id", "start_word", "end_word", "end_word - start_word AS n_words",
@@ -301,18 +531,34 @@ def _names(schema: str) -> list[str]:
     return [x.split()[0] for x in schema.split(", ")]
 
 
-def _links(posts: DataFrame) -> DataFrame:
-    """``(text, head, shift, first, last)``: members and the heads of their groups, and where they meet."""
+def _groups(posts: DataFrame) -> DataFrame:
+    """``(signature, text, place, head, several)``: with each group's first text and the first place in it."""
     heads = posts.groupBy("signature").agg(
-        F.min(F.struct("text", "place")).alias("head"), F.max("text").alias("highest")
+        F.min(F.struct("text", "place")).alias("head"), F.max("text").alias("highest"), (F.count("*") > 2).alias("several")
     )
-    heads = heads.where("head.text < highest").select("signature", "head")
-    met = posts.join(heads, "signature").where("text <> head.text")
+    heads = heads.where("head.text < highest").select("signature", "head", "several")
+    return posts.join(heads, "signature")
+
+
+def _links(groups: DataFrame) -> DataFrame:
+    """``(text, head, shift, first, last)``: members and the heads of their groups, and where they meet."""
+    met = groups.where("text <> head.text")
     return met.groupBy("text", F.col("head.text").alias("head"), (F.col("place") - F.col("head.place")).alias("shift")).agg(
         F.min("place").alias("first"), F.max("place").alias("last")
     )
 
 
+def _members(groups: DataFrame) -> DataFrame:
+    """``(head, cell, text, place, signature, n)``: families of the members that have one head about one stretch of it.
+
+    ``n`` are the texts of the family.  Only groups in which there is more to meet than the head's first place.
+    """
+    cell = F.floor(F.col("head.place") / CELL).cast("int")
+    rows = groups.where("several").select(F.col("head.text").alias("head"), cell.alias("cell"), "text", "place", "signature")
+    sizes = rows.select("head", "cell", "text").distinct().groupBy("head", "cell").agg(F.count("*").alias("n"))
+    return rows.join(sizes.hint("merge"), ["head", "cell"])
+
+
 class _Job:
     """The chunks of a run and what is done with them."""
 
@@ -356,45 +602,72 @@ class _Job:
         sums = summed(self.texts.applyInArrow(send, COUNTS))
         return self.texts.cogroup(sums.groupBy("chunk")).applyInArrow(post, _POSTS)
 
-    def side_posts(self, failed: DataFrame) -> DataFrame:
-        """``_POSTS`` of members unlike their head: by signature and the smallest hashes on one of its sides."""
-        width, functions, n_words, side = self.width, self.functions, self.n_words, self.shortest // 2
+    def segments(self, members: DataFrame) -> DataFrame:
+        """``_SEGMENTS``: the stretches of each member of a family about its places, with its signatures."""
+        n_words, apart = self.n_words, 2 * (ROOM + DRIFT)
 
-        def post(table: pa.Table, asked: pa.Table) -> pa.Table:
-            out = [np.zeros((0, 3), np.int64)]
+        def cut(table: pa.Table, asked: pa.Table) -> pa.Table:
+            out = []
             if asked.num_rows:
                 own = Texts(table, n_words)
-                wanted = asked.column("text").to_numpy() & 0xFFFFFFFF
-                numbers = np.unique(wanted)
+                head, cell, text, place, signature, n = (
+                    asked.column(c).to_numpy() for c in ("head", "cell", "text", "place", "signature", "n")
+                )
+                numbers = np.unique(text & 0xFFFFFFFF)
                 tokens, counts = own.tokens(numbers.tolist())
-                text, begin, signature = signatures(tokens, counts, width, functions)
-                ends = np.cumsum(counts)
-                starts = ends - counts
-                place = places_of(tokens, begin, width)
-                # Those between the first and the last place of a failed comparison.
-                first, last = (asked.column(c).to_numpy().astype(np.int64) for c in ("first", "last"))
-                at = np.searchsorted(numbers, wanted)
-                mark = np.zeros(len(tokens) + 1, np.int64)
-                np.add.at(mark, starts[at] + first, 1)
-                np.add.at(mark, starts[at] + last + 1, -1)
-                inside = np.cumsum(mark)[place] > 0
-                text, place, signature = text[inside], place[inside], signature[inside]
-                for function in range(SIDE_FUNCTIONS):
-                    values = mix(tokens ^ _SEEDS[32 + function])
-                    least = window_minima(values, side)
-                    for direction, near in ((1, place + 1), (2, place - side)):
-                        fits = (near >= starts[text]) & (near + side <= ends[text])
-                        key = mix(mix(signature[fits] + np.uint64(8 * function + direction)) + least[near[fits]])
-                        number = numbers[text[fits]] + (own.chunk << 32)
-                        out.append(np.stack((key.view(np.int64), number, place[fits] - starts[text[fits]]), axis=1))
-            rows = np.unique(np.concatenate(out), axis=0)
-            return pa.table([pa.array(rows[:, 0]), pa.array(rows[:, 1]), pa.array(rows[:, 2].astype(np.int32))], names=_names(_POSTS))
-
-        own_chunk = failed.select("text", "first", "last", F.shiftright("text", 32).alias("chunk"))
-        return self.texts.cogroup(own_chunk.groupBy("chunk")).applyInArrow(post, _POSTS)
+                tokens = (tokens >> np.uint64(32)).astype(np.uint32)
+                texts = np.split(tokens, np.cumsum(counts)[:-1])
+                order = np.lexsort((place, text, cell, head))
+                head, cell, text, place, signature, n = (v[order] for v in (head, cell, text, place, signature, n))
+                new = np.ones(len(head), bool)
+                same = (head[1:] == head[:-1]) & (cell[1:] == cell[:-1]) & (text[1:] == text[:-1])
+                new[1:] = ~same | (np.diff(place) > apart)
+                starts = np.flatnonzero(new)
+                at = np.searchsorted(numbers, text[starts] & 0xFFFFFFFF)
+                for i, k, which in zip(starts.tolist(), [*starts[1:].tolist(), len(head)], at.tolist()):
+                    begin = max(0, int(place[i]) - apart // 2)
+                    out.append(
+                        (
+                            int(head[i]), int(cell[i]), int(n[i]), int(text[i]), own.docs[numbers[which]], begin,
+                            texts[which][begin : int(place[k - 1]) + apart // 2].tobytes(),
+                            signature[i:k].tobytes(), place[i:k].astype(np.int32).tobytes(),
+                        )
+                    )
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), *[pa.binary()] * 3]
+            lists = list(zip(*out)) if out else [[]] * len(kinds)
+            return pa.table([pa.array(list(v), k) for v, k in zip(lists, kinds)], names=_names(_SEGMENTS))
+
+        asked = members.withColumn("chunk", F.shiftright("text", 32))
+        return self.texts.cogroup(asked.groupBy("chunk")).applyInArrow(cut, _SEGMENTS)
+
+    def met(self, segments: DataFrame) -> DataFrame:
+        """``_PASSAGES`` of the members of each family among each other, every two blocks in a task."""
+        n_words, shortest, similarity = self.n_words, self.shortest, self.similarity
+        dealt = segments.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+        dealt = dealt.withColumn("block", F.pmod(F.xxhash64("text"), F.col("blocks")).cast("int"))
+        # The head comes to every two blocks, also to those that it is not in.
+        every = "transform(sequence(0, blocks - 1), i -> transform(sequence(i, blocks - 1), j -> named_struct('low', i, 'high', j)))"
+        with_own = "transform(sequence(0, blocks - 1), i -> named_struct('low', least(block, i), 'high', greatest(block, i)))"
+        pairs = F.explode(F.expr(f"CASE WHEN text = head THEN flatten({every}) ELSE {with_own} END"))
+        dealt = dealt.withColumn("pair", pairs).select("*", "pair.low", "pair.high").drop("pair", "blocks", "n")
+
+        def compare(table: pa.Table) -> pa.Table:
+            rows = table.to_pylist()
+            own = [Segment(r) for r in sorted(rows, key=lambda r: (r["text"], r["begin"]))]
+            family = Family(own, *(rows[0][c] for c in ("head", "low", "high")), shortest, similarity)
+            out = []
+            for mine, other, (start, end, to_start, to_end, similar) in family.passages():
+                out.append((mine.doc_id, other.doc_id, start, end + n_words - 1, to_start, to_end + n_words - 1, similar))
+            kinds = [pa.int64()] * 2 + [pa.int32()] * 4 + [pa.float64()]
+            lists = list(zip(*out)) if out else [[]] * len(kinds)
+            return pa.table([pa.array(list(v), k) for v, k in zip(lists, kinds)], names=_names(_PASSAGES))
+
+        # Few bytes and much work: in as many tasks as there may be.
+        keys = ["head", "cell", "low", "high"]
+        return dealt.repartition(input_tasks(dealt.sparkSession), *keys).groupBy(*keys).applyInArrow(compare, _PASSAGES)
 
     def compared(self, links: DataFrame) -> DataFrame:
-        """``_FOUND``: passages of linked texts, and (``text`` not NULL) the links that have none."""
+        """``_PASSAGES`` of linked texts."""
         n_words, shortest, similarity = self.n_words, self.shortest, self.similarity
         begin = F.greatest(F.floor((F.col("first") - F.col("shift") - ROOM - DRIFT) / GRID) * GRID, F.lit(0))
         end = F.ceil((F.col("last") - F.col("shift") + ROOM + DRIFT) / GRID) * GRID
@@ -447,16 +720,14 @@ class _Job:
                         out.append(
                             (
                                 own.docs[number], r["other_doc_id"], start, end + n_words - 1,
-                                to_start + r["begin"], to_end + r["begin"] + n_words - 1, similar, None, None, None,
+                                to_start + r["begin"], to_end + r["begin"] + n_words - 1, similar,
                             )
                         )
-                    if not found:
-                        out.append((*[None] * 7, r["text"], r["first"], r["last"]))
-            kinds = [pa.int64()] * 2 + [pa.int32()] * 4 + [pa.float64(), pa.int64(), pa.int32(), pa.int32()]
+            kinds = [pa.int64()] * 2 + [pa.int32()] * 4 + [pa.float64()]
             lists = list(zip(*out)) if out else [[]] * len(kinds)
-            return pa.table([pa.array(list(v), k) for v, k in zip(lists, kinds)], names=_names(_FOUND))
+            return pa.table([pa.array(list(v), k) for v, k in zip(lists, kinds)], names=_names(_PASSAGES))
 
-        return self.texts.cogroup(given.groupBy("chunk")).applyInArrow(compare, _FOUND)
+        return self.texts.cogroup(given.groupBy("chunk")).applyInArrow(compare, _PASSAGES)
 
 
 def _described(rows: DataFrame) -> DataFrame:
@@ -481,8 +752,9 @@ def shared_passages(
 
     A row says that words ``start_word`` to ``end_word`` (exclusive, from 0) of a document stand,
     with at least the given Jaccard similarity of their ``n_words``-word runs, in the other
-    document; passages have ``min_words`` words or more on both sides.  Documents that share a
-    passage are each linked to one that has it, but not all among each other.  Of documents with
+    document; passages have ``min_words`` words or more on both sides.  Every two different texts that share a
+    passage have a row, or both have rows of similarity 1 that say that they have the same ``min_words``
+    words of a third; not each of their passages has one.  Of documents with
     the same text, the one with the smallest id stands for all, and each of the others has one row
     that links its whole text to it.
 
@@ -502,13 +774,9 @@ def shared_passages(
     n_tokens = known.agg(F.sum("n").alias("n")).first()["n"] or 0
     texts = _packed(rows, 1 + n_tokens // CHUNK_WORDS, 2 * min_words - 1).groupBy("chunk")
     job = _Job(texts, n_words, min_words, similarity, functions)
-    links = stored(_links(stored(job.posts(n_tokens))))
-    found = stored(job.compared(links))
-    failed = found.where("text IS NOT NULL").select("text", "first", "last").distinct()
-    again = _links(stored(job.side_posts(failed)))
-    met = ["text", "head", "shift"]
-    again = stored(again.join(links.select(*met).hint("merge"), met, "left_anti"))
-    found = found.union(stored(job.compared(again))).where("text IS NULL").drop("text", "first", "last")
+    groups = stored(_groups(stored(job.posts(n_tokens))))
+    found = stored(job.compared(stored(_links(groups))))
+    found = found.union(stored(job.met(job.segments(_members(groups)))))
     copies = described.join(known.where("times > 1").drop("n").hint("merge"), "key")
     copies = copies.where(~F.col("doc_id").eqNullSafe(F.col("first"))).select(
         "doc_id", F.col("first").alias("other_doc_id"), F.lit(0).alias("start_word"), F.col("n").alias("end_word"),

@@ -247,3 +247,55 @@ def test_a_quotation_before_the_passage(spark):
     rows = [(1, " ".join(fresh(rng, 30) + passage + fresh(rng, 30)), "a"), (2, " ".join(quoting), "a")]
     found = sub.shared_passages(rows_of(spark, rows)).collect()
     assert max(r.n_words for r in found) == 100
+
+
+def linked_by_rows(found):
+    """Pairs with a row, and pairs of which both have the same 50 words of a third."""
+    pairs, same = set(), defaultdict(set)
+    for r in found:
+        pairs.add(frozenset((r.doc_id, r.other_doc_id)))
+        if r.similarity == 1 and r.end_word - r.start_word == r.other_end_word - r.other_start_word:
+            same[r.other_doc_id].add((r.doc_id, r.other_start_word, r.other_end_word))
+    for spans in same.values():
+        for a, start, end in spans:
+            pairs |= {frozenset((a, b)) for b, low, high in spans if a != b and min(end, high) - max(start, low) >= 50}
+    return pairs
+
+
+@pytest.mark.parametrize(("block", "tile", "few"), [(2048, 256, 64), (2048, 256, 10**9), (12, 5, 3)])
+def test_every_pair_of_different_texts_is_linked(spark, monkeypatch, block, tile, few):
+    """Texts with words of one changed, and texts that have no more than a phrase of it."""
+    for name, value in (("BLOCK", block), ("TILE", tile), ("FEW", few), ("COLUMNS", 7 * few)):
+        monkeypatch.setattr(sub, name, value)
+    rng = random.Random(17)
+    base, texts = fresh(rng, 130), []
+    for i in range(40):
+        own = list(base)
+        for at in rng.sample(range(130), rng.randint(1, 6)):
+            own[at] = fresh(rng, 1)[0]
+        texts.append(own if i % 4 else fresh(rng, 50) + own[50:82] + fresh(rng, 48))
+    grams = [tokens([t])[0] for t in texts]
+    expected = set()
+    for i in range(40):
+        for j in range(i):
+            sums = np.concatenate(([0], np.cumsum(grams[i] == grams[j])))
+            for n in range(46, len(grams[0]) + 1):
+                same = int((sums[n:] - sums[:-n]).max())
+                if same >= 0.8 * (2 * n - same):
+                    expected.add(frozenset((i, j)))
+    assert 200 < len(expected) < 500
+    found = sub.shared_passages(rows_of(spark, [(i, " ".join(t), "a") for i, t in enumerate(texts)]).repartition(3)).collect()
+    assert expected == linked_by_rows(found)
+    for r in found:
+        a, b = texts[r.doc_id][r.start_word : r.end_word], texts[r.other_doc_id][r.other_start_word : r.other_end_word]
+        assert min(len(a), len(b)) >= 50 and r.similarity == pytest.approx(similarity(a, b)) and r.similarity >= 0.8
+
+
+def test_a_phrase_that_the_head_has_twice(spark):
+    """The passage is about the second, and one change in the phrase's neighbourhood leaves no other run."""
+    rng = random.Random(19)
+    phrase, before, after = fresh(rng, 30), fresh(rng, 14), fresh(rng, 14)
+    head = fresh(rng, 60) + phrase + fresh(rng, 400) + before + phrase + after + fresh(rng, 60)
+    other = fresh(rng, 60) + before + phrase + after + fresh(rng, 60)
+    found = sub.shared_passages(rows_of(spark, [(1, " ".join(head), "a"), (2, " ".join(other), "a")])).collect()
+    assert {frozenset((r.doc_id, r.other_doc_id)) for r in found} == {frozenset((1, 2))}

@@ -11,11 +11,12 @@ signature of an interval is all their smallest values.  Signatures that one text
 Texts with one signature are a group, its first text is the head.  Each member is compared with the
 head: the tokens of both are aligned about the place of the smallest hash, from there to both sides, and
 the best stretches of the wanted similarity and length are the result.  The members of all groups that have
-their head's signature within one stretch of it are a family.  Two members that have the same words of the head
-are linked thereby; all others with a signature in common are compared with each other, in blocks, so that
-a task holds no more than two.  Pairs with too few tokens in common for a passage are left out by counting,
-and of many pairs at once the best stretch of what both have of the head is taken; where that is no passage, the
-two are aligned with each other.  Such pairs can be as many as the square of a family.
+their head's signature within one stretch of it are a family.  Its members need not be like the head, so those with
+a signature in common are compared with each other too, but no two that passages link already: first in
+blocks, then those that are not linked with the head with all other blocks.  So a family has as many links as
+members and not as pairs of them.  Pairs with too few tokens in common for a passage, or too far apart, are left
+out by counting.
+What passages link, in however many steps, is a class of documents.
 
 Texts are dealt into chunks that keep their place; what is compared comes to the chunk of the
 member, as the stretch of the head that is asked for.
@@ -23,7 +24,8 @@ member, as the stretch of the head that is asked for.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postsieve.llm.common import input_tasks, stored
+from postsieve.llm.graph import components
 from postsieve.llm.shared_names import COUNTS, read_sums, send_counts, summed
 from postsieve.llm.words import distinct, mix, small_batches, windows, word_hashes
 
@@ -45,15 +48,17 @@ FUNCTIONS = 3
 ROOM, GRID = 160, 64
 #: Tokens by which an alignment may shift.
 DRIFT = 48
-#: Tokens of a head about which a family meets, members of it that are sent as one block and
-#: compared in one matrix, columns of such a matrix, and pairs that are aligned without counting.
-CELL, BLOCK, TILE, COLUMNS, FEW = 1024, 512, 256, 1 << 14, 64
+#: Tokens of a head about which a family meets, members of it that are sent as one block at first and
+#: when they ask other blocks, members and columns of a matrix, and pairs that are aligned without counting.
+CELL, BLOCK, ASKING, TILE, COLUMNS, FEW = 1024, 512, 1024, 256, 1 << 14, 64
 #: Words of the texts in a chunk, about, and bytes of text that a task holds before it sends them.
 CHUNK_WORDS = 1_000_000
 FLUSH_BYTES = 8 << 20
 #: Signatures that one task counts, about.
 COUNTED = 2_000_000
 SPARE_BITS = 12
+#: Numbers of texts without an id, as nodes, come after all ids.
+NO_ID = "CAST(100000000000000000000 AS DECIMAL(21, 0))"
 
 _SEEDS = mix(np.arange(1, 65, dtype=np.uint64))
 
@@ -222,12 +227,24 @@ class Segment:
     """A stretch of a text in a family; places are those in the whole text."""
 
     def __init__(self, row: dict):
-        self.text, self.doc_id, self.begin, self.block = (row[c] for c in ("text", "doc_id", "begin", "block"))
+        self.text, self.doc_id, self.begin = (row[c] for c in ("text", "doc_id", "begin"))
         self.tokens = np.frombuffer(row["tokens"], np.uint32)
         signatures, places = np.frombuffer(row["signatures"], np.int64), np.frombuffer(row["places"], np.int32)
         order = np.argsort(signatures, kind="stable")
         self.signatures, self.places = signatures[order], places[order].astype(np.int64)
 
+    @cached_property
+    def names(self) -> np.ndarray:
+        return distinct(self.signatures)
+
+    @cached_property
+    def different(self) -> np.ndarray:
+        return distinct(self.tokens)
+
+    @cached_property
+    def numbered(self) -> np.ndarray:
+        return numbered(self.tokens)
+
     def meets(self, other: Segment) -> list[tuple[int, int, int]]:
         """``(shift, first, last)``: the alignments by equal signatures, and between which places they hold."""
         left = np.searchsorted(other.signatures, self.signatures)
@@ -280,155 +297,6 @@ def numbered(tokens: np.ndarray) -> np.ndarray:
     return (values << np.uint64(32)) + (np.arange(len(values)) - first[np.cumsum(new) - 1]).astype(np.uint64)
 
 
-def positions(segments: list[Segment], columns: np.ndarray) -> np.ndarray:
-    """Where each of the ascending tokens stands in the segments, none of which has a token twice; -1: nowhere."""
-    out = np.full((len(segments), len(columns)), -1, np.int32)
-    for row, segment in zip(out, segments):
-        at = np.minimum(np.searchsorted(columns, segment.tokens), len(columns) - 1)
-        hit = np.flatnonzero(columns[at] == segment.tokens)
-        row[at[hit]] = hit
-    return out
-
-
-class Family:
-    """Members of two blocks of a family, ordered by text, and what they have of their head."""
-
-    def __init__(self, own: list[Segment], head: int, low: int, high: int, shortest: int, similarity: float):
-        self.head, self.alone, self.shortest, self.similarity = head, low == high, shortest, similarity
-        self.heads = [s for s in own if s.text == head]
-        self.members = [s for s in own if s.block in (low, high)]
-        self.labels: dict[int, np.ndarray] = {}
-        self.along: dict[int, np.ndarray | None] = {}
-
-    def passages(self) -> Iterator[tuple[Segment, Segment, tuple[int, int, int, int, float]]]:
-        """``(segment, other, passage)``, places as in the whole texts; the other's text is the smaller.
-
-        What a member has word for word from the head is a passage of those two, and two members that have the same
-        ``shortest`` tokens of it are linked thereby.  All others with a signature in common are compared.
-        """
-        members, shortest = self.members, self.shortest
-        spans: list[list[tuple[int, int]]] = []  # windows of the head that a member has, first to last
-        for mine in members:
-            if mine.text == self.head:
-                spans.append([(mine.begin, mine.begin + len(mine.tokens) - shortest)])
-                continue
-            spans.append([])
-            for other in self.heads:
-                for s, _, _ in mine.meets(other):
-                    for a, b in mine.same_runs(other, s, shortest):
-                        spans[-1].append((a - s, b - s - shortest))
-                        yield mine, other, (a, b, a - s, b - s, 1.0)
-        starts = np.unique(np.array([a for own in spans for a, _ in own], np.int64))
-        cuts = [[starts[np.searchsorted(starts, a) : np.searchsorted(starts, b, side="right")] for a, b in own] for own in spans]
-        of_head = [np.concatenate([starts[:0], *own]) for own in cuts]
-        names = [np.unique(s.signatures) for s in members]
-        text, block = (np.array([getattr(s, c) for s in members]) for c in ("text", "block"))
-        for i in range(0, len(members), TILE):
-            for j in range(0, i + 1, TILE):
-                rows, columns = slice(i, i + TILE), slice(j, j + TILE)
-                todo = text[rows, None] > text[None, columns]
-                # Two of one block are compared where that block is alone.
-                todo &= self.alone | (block[rows, None] != block[None, columns])
-                if todo.any():
-                    todo &= in_common(names[rows], names[columns]) > 0
-                    todo &= in_common(of_head[rows], of_head[columns]) == 0
-                pairs = np.argwhere(todo) + (i, j)
-                if len(pairs) > FEW:
-                    pairs = pairs[self.likely(pairs, i, j)]
-                    found = np.zeros(len(pairs), bool)
-                    for which, passage in self.along_head(pairs):
-                        found[which] = True
-                        yield members[pairs[which, 0]], members[pairs[which, 1]], passage
-                    pairs = pairs[~found]
-                for a, b in pairs.tolist():
-                    for passage in met_passages(members[a], members[b], shortest, self.similarity):
-                        yield members[a], members[b], passage
-
-    def likely(self, pairs: np.ndarray, i: int, j: int) -> np.ndarray:
-        """Which pairs have as many tokens in common as a passage has at least."""
-        for k in np.unique(pairs).tolist():
-            if k not in self.labels:
-                self.labels[k] = numbered(self.members[k].tokens)
-        least = int(np.ceil(2 * self.similarity * self.shortest / (1 + self.similarity) - 1e-9))
-        none = np.zeros(0, np.uint64)
-        sides = [[self.labels.get(k, none) for k in range(x, min(x + TILE, len(self.members)))] for x in (i, j)]
-        return (in_common(*sides) >= least)[pairs[:, 0] - i, pairs[:, 1] - j]
-
-    def of_head(self, k: int) -> np.ndarray | None:
-        """The member's place for each place of the head's first segment, or -1; None if the member has a token twice."""
-        if k not in self.along:
-            mine, head = self.members[k], self.heads[0]
-            meets = mine.meets(head)
-            self.along[k] = None
-            if meets and len(np.unique(mine.tokens)) == len(mine.tokens):
-                shift, first, _ = max(meets, key=lambda m: m[2] - m[1])
-                at, place = aligned(mine.tokens, 0, len(mine.tokens), head.tokens, shift - mine.begin + head.begin, first - mine.begin)
-                self.along[k] = np.full(len(head.tokens), -1, np.int32)
-                self.along[k][place] = at
-        return self.along[k]
-
-    def along_head(self, pairs: np.ndarray) -> Iterator[tuple[int, tuple[int, int, int, int, float]]]:
-        """``(number of the pair, passage)`` of those that show by what both have of the head, many at once.
-
-        The best stretch is that of ``best_stretches``.  A pair that has none here may yet have one.
-        """
-        s, shortest, members = self.similarity, self.shortest, self.members
-        known = {k: self.of_head(k) for k in np.unique(pairs).tolist()}
-        usable = np.flatnonzero([known[a] is not None and known[b] is not None for a, b in pairs.tolist()])
-        if not len(usable):
-            return
-        sides = [np.unique(pairs[usable, x]) for x in (0, 1)]
-        at_head = [np.stack([known[k] for k in side.tolist()]) for side in sides]
-        common = np.intersect1d(*(np.concatenate([members[k].tokens for k in side.tolist()]) for side in sides))
-        step = max(1, (1 << 20) // max(at_head[0].shape[1], min(len(common), COLUMNS)))
-        tables = [[positions([members[k] for k in side.tolist()], common[c : c + COLUMNS]) for side in sides] for c in range(0, len(common), COLUMNS)]
-        length, begun = np.array([len(m.tokens) for m in members]), np.array([m.begin for m in members])
-        for begin in range(0, len(usable), step):
-            which = usable[begin : begin + step]
-            x, y = (np.searchsorted(side, pairs[which, n]) for n, side in enumerate(sides))
-            i, j = at_head[0][x], at_head[1][y]
-            both = (i >= 0) & (j >= 0)
-            sums = (1 + s) * np.cumsum(both, axis=1) - s * (i + j)
-            own = np.where(both, sums, np.inf)
-            lows = np.minimum.accumulate(own, axis=1)
-            last = np.where(both, sums - np.where(both, lows, 0), -np.inf).argmax(axis=1)
-            r = np.arange(len(which))
-            first = (own == lows[r, last][:, None]).argmax(axis=1)
-            left = np.flatnonzero(both.any(axis=1))
-            for longest in (False, True):
-                if longest and len(left):
-                    # For each end the first beginning, by one search over the rows one after the other.
-                    far = 1e7 * np.arange(len(left))[:, None]
-                    keys = far - np.where(np.isinf(lows[left]), 1e6, lows[left])
-                    wanted = far - np.where(both[left], sums[left] + 1 - s + 1e-9, 1e6)
-                    width = both.shape[1]
-                    begins = np.searchsorted(keys.ravel(), wanted.ravel()).reshape(keys.shape) - width * np.arange(len(left))[:, None]
-                    begins = np.minimum(begins, np.arange(width))
-                    lengths = np.where(both[left], i[left] - np.take_along_axis(i[left], begins, axis=1), -1)
-                    last[left] = lengths.argmax(axis=1)
-                    first[left] = begins[np.arange(len(left)), last[left]]
-                if not len(left):
-                    break
-                start, end, to_start, to_end = i[left, first[left]], i[left, last[left]] + 1, j[left, first[left]], j[left, last[left]] + 1
-                short = np.maximum(0, shortest - np.minimum(end - start, to_end - to_start))
-                before = np.minimum(short, np.minimum(start, to_start))
-                after = short - before
-                one, other = pairs[which[left], 0], pairs[which[left], 1]
-                fits = (start >= 0) & (to_start >= 0) & (after <= np.minimum(length[one] - end, length[other] - to_end))
-                start, end, to_start, to_end = start - before, end + after, to_start - before, to_end + after
-                same = np.zeros(len(left), np.int64)
-                for mine, theirs in tables:
-                    p, q = mine[x[left]], theirs[y[left]]
-                    inside = (p >= start[:, None]) & (p < end[:, None]) & (q >= to_start[:, None]) & (q < to_end[:, None])
-                    same += inside.sum(axis=1)
-                found = same / ((end - start) + (to_end - to_start) - same)
-                fits &= found >= s
-                columns = (which[left], start + begun[one], end + begun[one], to_start + begun[other], to_end + begun[other], found)
-                for number, *passage in zip(*(c[fits].tolist() for c in columns)):
-                    yield number, tuple(passage)
-                left = left[~fits]
-
-
 def met_passages(
     mine: Segment, other: Segment, shortest: int, similarity: float
 ) -> Iterator[tuple[int, int, int, int, float]]:
@@ -441,6 +309,102 @@ def met_passages(
             yield start + mine.begin, end + mine.begin, to_start + other.begin, to_end + other.begin, similar
 
 
+def has_stretches(mine: np.ndarray, others: list[np.ndarray], shortest: int, shares: tuple[float, ...]) -> np.ndarray:
+    """For each of the others and each share, if it has that share of the tokens of a stretch that is long enough."""
+    out = np.zeros((len(shares), len(others)), bool)
+    if len(mine) >= shortest:
+        values, at = np.unique(mine, return_inverse=True)
+        step = max(1, (1 << 20) // len(mine))
+        for i in range(0, len(others), step):
+            has = incidence(others[i : i + step], values)[:, at].astype(np.float64)
+            for k, share in enumerate(shares):
+                sums = np.pad(np.cumsum(has - share, axis=1), ((0, 0), (1, 0)))
+                lows = np.minimum.accumulate(sums[:, : len(mine) - shortest + 1], axis=1)
+                out[k, i : i + step] = (sums[:, shortest:] - lows >= -1e-6).any(axis=1)
+    return out
+
+
+def may_be_similar(some: list[Segment], others: list[Segment], todo: np.ndarray, shortest: int, similarity: float) -> np.ndarray:
+    """Which pairs of ``todo`` may have a passage, by the tokens of either side that the other has anywhere.
+
+    Of m aligned tokens over a and b places, m / a and m / b are at least s, and one of them 2s / (1 + s), as
+    m >= s (a + b - m), a >= m and b >= m.
+    """
+    shares = similarity, 2 * similarity / (1 + similarity)
+    mine, theirs = np.zeros((2, *todo.shape), bool), np.zeros((2, *todo.shape), bool)
+    for x in np.flatnonzero(todo.any(axis=1)).tolist():
+        at = np.flatnonzero(todo[x])
+        mine[:, x, at] = has_stretches(some[x].tokens, [others[y].different for y in at.tolist()], shortest, shares)
+    left = todo & mine[0]
+    for y in np.flatnonzero(left.any(axis=0)).tolist():
+        at = np.flatnonzero(left[:, y])
+        theirs[:, at, y] = has_stretches(others[y].tokens, [some[x].different for x in at.tolist()], shortest, shares)
+    return left & theirs[0] & (mine[1] | theirs[1])
+
+
+class Classes:
+    """Texts and what links them; a class is named by its smallest text."""
+
+    def __init__(self, names: dict[int, int]):
+        self.names = names
+
+    def of(self, text: int) -> int:
+        while self.names[text] != text:
+            text = self.names[text] = self.names[self.names[text]]
+        return text
+
+    def link(self, one: int, other: int) -> None:
+        low, high = sorted((self.of(one), self.of(other)))
+        self.names[high] = low
+
+
+def head_passages(members: list[Segment], head: int, classes: Classes, shortest: int, similarity: float) -> Iterator[tuple]:
+    """``(segment, other, passage)`` of the members that have a passage of their head."""
+    heads = [s for s in members if s.text == head]
+    for mine in members:
+        for other in heads:
+            if classes.of(mine.text) == classes.of(head):
+                break
+            runs = ((a, b, a - s, b - s, 1.0) for s, _, _ in mine.meets(other) for a, b in mine.same_runs(other, s, shortest))
+            found = list(runs) or list(met_passages(mine, other, shortest, similarity))
+            if found:
+                classes.link(mine.text, head)
+            for passage in found:
+                yield mine, other, passage
+
+
+def linking_passages(
+    some: list[Segment], others: list[Segment], wanted: Callable[[slice, slice], np.ndarray], classes: Classes,
+    shortest: int, similarity: float,
+) -> Iterator[tuple]:
+    """``(segment, other, passage)`` of pairs that are not in one class until then; the other's text is the smaller.
+
+    ``wanted`` says which pairs of a tile are to be compared, unless they have no signature in common.
+    """
+    least = int(np.ceil(2 * similarity * shortest / (1 + similarity) - 1e-9))
+    for i in range(0, len(some), TILE):
+        for j in range(0, len(others), TILE):
+            rows, columns = slice(i, i + TILE), slice(j, j + TILE)
+            of_rows, of_columns = (np.array([classes.of(s.text) for s in x]) for x in (some[rows], others[columns]))
+            todo = wanted(rows, columns) & (of_rows[:, None] != of_columns[None])
+            for values, enough, several in (("names", 1, 0), ("numbered", least, FEW)):
+                a, b = np.flatnonzero(todo.any(axis=1)), np.flatnonzero(todo.any(axis=0))
+                if np.count_nonzero(todo) > several:
+                    sides = [[getattr(x[k + y], values) for k in at.tolist()] for x, y, at in ((some, i, a), (others, j, b))]
+                    todo[np.ix_(a, b)] &= in_common(*sides) >= enough
+            if np.count_nonzero(todo) > FEW:
+                todo = may_be_similar(some[rows], others[columns], todo, shortest, similarity)
+            for x, y in np.argwhere(todo).tolist():
+                one, other = sorted((some[i + x], others[j + y]), key=lambda s: -s.text)
+                if classes.of(one.text) == classes.of(other.text):
+                    continue
+                found = list(met_passages(one, other, shortest, similarity))
+                if found:
+                    classes.link(one.text, other.text)
+                for passage in found:
+                    yield one, other, passage
+
+
 class Texts:
     """The different texts of a chunk, numbered in the order of their keys."""
 
@@ -518,12 +482,14 @@ _SEGMENTS = (
     "tokens BINARY, signatures BINARY, places BINARY"
 )
 _PASSAGES = (
-    "doc_id BIGINT, other_doc_id BIGINT, start_word INT, end_word INT, other_start_word INT, "
-    "other_end_word INT, similarity DOUBLE"
+    "text BIGINT, other_text BIGINT, doc_id BIGINT, other_doc_id BIGINT, start_word INT, end_word INT, "
+    "other_start_word INT, other_end_word INT, similarity DOUBLE"
 )
+#: Where there is a label, the row is a member of a family in several blocks; else, a passage.
+_MET = f"head BIGINT, cell INT, block INT, label BIGINT, {_PASSAGES}"
 _RESULT = [
     "doc_id", "start_word", "end_word", "end_word - start_word AS n_words",
-    "other_doc_id", "other_start_word", "other_end_word", "similarity",
+    "other_doc_id", "other_start_word", "other_end_word", "similarity", "class_id",
 ]
 
 
@@ -531,6 +497,24 @@ def _names(schema: str) -> list[str]:
     return [x.split()[0] for x in schema.split(", ")]
 
 
+_KINDS = {"BIGINT": pa.int64(), "INT": pa.int32(), "DOUBLE": pa.float64(), "BINARY": pa.binary()}
+
+
+def _table(rows: list[tuple], schema: str) -> pa.Table:
+    kinds = [_KINDS[x.split()[1]] for x in schema.split(", ")]
+    lists = list(zip(*rows)) if rows else [[]] * len(kinds)
+    return pa.table([pa.array(list(v), k) for v, k in zip(lists, kinds)], names=_names(schema))
+
+
+def _rows(found: Iterator[tuple], n_words: int) -> list[tuple]:
+    """Rows of ``_PASSAGES``, in words."""
+    out = []
+    for mine, other, (start, end, to_start, to_end, similar) in found:
+        ends = start, end + n_words - 1, to_start, to_end + n_words - 1
+        out.append((mine.text, other.text, mine.doc_id, other.doc_id, *ends, similar))
+    return out
+
+
 def _groups(posts: DataFrame) -> DataFrame:
     """``(signature, text, place, head, several)``: with each group's first text and the first place in it."""
     heads = posts.groupBy("signature").agg(
@@ -633,39 +617,90 @@ class _Job:
                             signature[i:k].tobytes(), place[i:k].astype(np.int32).tobytes(),
                         )
                     )
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), *[pa.binary()] * 3]
-            lists = list(zip(*out)) if out else [[]] * len(kinds)
-            return pa.table([pa.array(list(v), k) for v, k in zip(lists, kinds)], names=_names(_SEGMENTS))
+            return _table(out, _SEGMENTS)
 
         asked = members.withColumn("chunk", F.shiftright("text", 32))
         return self.texts.cogroup(asked.groupBy("chunk")).applyInArrow(cut, _SEGMENTS)
 
-    def met(self, segments: DataFrame) -> DataFrame:
-        """``_PASSAGES`` of the members of each family among each other, every two blocks in a task."""
+    def blocks(self, segments: DataFrame) -> DataFrame:
+        """``_MET``: each block of a family among itself and with the head."""
         n_words, shortest, similarity = self.n_words, self.shortest, self.similarity
         dealt = segments.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-        dealt = dealt.withColumn("block", F.pmod(F.xxhash64("text"), F.col("blocks")).cast("int"))
-        # The head comes to every two blocks, also to those that it is not in.
-        every = "transform(sequence(0, blocks - 1), i -> transform(sequence(i, blocks - 1), j -> named_struct('low', i, 'high', j)))"
-        with_own = "transform(sequence(0, blocks - 1), i -> named_struct('low', least(block, i), 'high', greatest(block, i)))"
-        pairs = F.explode(F.expr(f"CASE WHEN text = head THEN flatten({every}) ELSE {with_own} END"))
-        dealt = dealt.withColumn("pair", pairs).select("*", "pair.low", "pair.high").drop("pair", "blocks", "n")
+        own = F.pmod(F.xxhash64("text"), F.col("blocks")).cast("int")
+        # The head comes to every block.
+        every = F.when(F.col("text") == F.col("head"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own))
+        dealt = dealt.withColumn("block", F.explode(every)).drop("n")
 
         def compare(table: pa.Table) -> pa.Table:
             rows = table.to_pylist()
-            own = [Segment(r) for r in sorted(rows, key=lambda r: (r["text"], r["begin"]))]
-            family = Family(own, *(rows[0][c] for c in ("head", "low", "high")), shortest, similarity)
-            out = []
-            for mine, other, (start, end, to_start, to_end, similar) in family.passages():
-                out.append((mine.doc_id, other.doc_id, start, end + n_words - 1, to_start, to_end + n_words - 1, similar))
-            kinds = [pa.int64()] * 2 + [pa.int32()] * 4 + [pa.float64()]
-            lists = list(zip(*out)) if out else [[]] * len(kinds)
-            return pa.table([pa.array(list(v), k) for v, k in zip(lists, kinds)], names=_names(_PASSAGES))
+            head, cell, block = (rows[0][c] for c in ("head", "cell", "block"))
+            members = [Segment(r) for r in sorted(rows, key=lambda r: (r["text"], r["begin"]))]
+            text = np.array([s.text for s in members])
+            classes = Classes({s.text: s.text for s in members})
+
+            def wanted(a: slice, b: slice) -> np.ndarray:
+                return text[a, None] > text[None, b]
+
+            found = _rows(head_passages(members, head, classes, shortest, similarity), n_words)
+            found += _rows(linking_passages(members, members, wanted, classes, shortest, similarity), n_words)
+            out = [(head, cell, block, None, *r) for r in found]
+            if rows[0]["blocks"] > 1:
+                out += [(head, cell, block, classes.of(t), t, *[None] * 8) for t in np.unique(text).tolist()]
+            return _table(out, _MET)
 
         # Few bytes and much work: in as many tasks as there may be.
-        keys = ["head", "cell", "low", "high"]
+        keys = ["head", "cell", "block"]
+        return dealt.repartition(input_tasks(dealt.sparkSession), *keys).groupBy(*keys).applyInArrow(compare, _MET)
+
+    def across(self, segments: DataFrame, labels: DataFrame, alone: DataFrame) -> DataFrame:
+        """``_PASSAGES`` of members that are not linked with their head, with members of all other blocks.
+
+        ``labels`` are the members, classes and blocks of the first comparison, ``alone`` how many of a family are to ask.
+        """
+        n_words, shortest, similarity = self.n_words, self.shortest, self.similarity
+        keys = ["head", "cell"]
+        dealt = segments.join(labels.hint("merge"), [*keys, "text"]).join(alone, keys)
+        dealt = dealt.withColumn("askers", F.ceil(F.col("m") / ASKING).cast("int"))
+        dealt = dealt.withColumn("blocks", F.ceil(F.col("n") / ASKING).cast("int"))
+        asked = "transform(sequence(0, askers - 1), i -> named_struct('asks', false, 'low', i, 'high', int(pmod(xxhash64(text, 1), blocks))))"
+        asking = "transform(sequence(0, blocks - 1), i -> named_struct('asks', true, 'low', int(pmod(xxhash64(text, 2), askers)), 'high', i))"
+        roles = F.explode(F.expr(f"CASE WHEN label = head THEN {asked} ELSE concat({asked}, {asking}) END"))
+        dealt = dealt.withColumn("role", roles).select("*", "role.asks", "role.low", "role.high").drop("role", "blocks", "askers", "n", "m")
+
+        def compare(table: pa.Table) -> pa.Table:
+            rows = sorted(table.to_pylist(), key=lambda r: (r["text"], r["begin"]))
+            sides = [[r for r in rows if r["asks"] is asks] for asks in (True, False)]
+            (text, block, label), (to_text, to_block, to_label) = (
+                [np.array([r[c] for r in side], np.int64) for c in ("text", "block", "label")] for side in sides
+            )
+            head = rows[0]["head"]
+            # Labels are texts of their class, though they may not be here.
+            classes = Classes({r["label"]: r["label"] for r in rows} | {r["text"]: r["label"] for r in rows})
+
+            def wanted(a: slice, b: slice) -> np.ndarray:
+                # Of two that ask, the later one does.
+                once = (to_label[None, b] == head) | (text[a, None] > to_text[None, b])
+                return once & (block[a, None] != to_block[None, b])
+
+            some, others = ([Segment(r) for r in side] for side in sides)
+            return _table(_rows(linking_passages(some, others, wanted, classes, shortest, similarity), n_words), _PASSAGES)
+
+        keys += ["low", "high"]
         return dealt.repartition(input_tasks(dealt.sparkSession), *keys).groupBy(*keys).applyInArrow(compare, _PASSAGES)
 
+    def met(self, members: DataFrame) -> DataFrame:
+        """``_PASSAGES`` that link the members of each family: whoever have one are in one class then."""
+        rows = stored(self.blocks(self.segments(members)))
+        found = rows.where("label IS NULL").select(*_names(_PASSAGES))
+        labels = rows.where("label IS NOT NULL").select("head", "cell", "text", "label", "block")
+        # The head is in each of the blocks.
+        labels = labels.dropDuplicates(["head", "cell", "text"])
+        alone = stored(labels.where("label <> head").groupBy("head", "cell").agg(F.count("*").alias("m")))
+        if alone.isEmpty():
+            return found
+        asked = members.join(alone.hint("merge"), ["head", "cell"], "left_semi")
+        return found.union(stored(self.across(self.segments(asked), labels, alone.hint("merge"))))
+
     def compared(self, links: DataFrame) -> DataFrame:
         """``_PASSAGES`` of linked texts."""
         n_words, shortest, similarity = self.n_words, self.shortest, self.similarity
@@ -702,7 +737,7 @@ class _Job:
         )
         # Never by broadcast: both sides grow with the documents.
         given = links.join(slices.hint("merge"), ["head", "begin", "end"])
-        given = given.select("text", "shift", "first", "last", "begin", "other_doc_id", "tokens", F.shiftright("text", 32).alias("chunk"))
+        given = given.select("text", "head", "shift", "first", "last", "begin", "other_doc_id", "tokens", F.shiftright("text", 32).alias("chunk"))
 
         def compare(table: pa.Table, wanted: pa.Table) -> pa.Table:
             out = []
@@ -719,13 +754,11 @@ class _Job:
                     for start, end, to_start, to_end, similar in found:
                         out.append(
                             (
-                                own.docs[number], r["other_doc_id"], start, end + n_words - 1,
+                                r["text"], r["head"], own.docs[number], r["other_doc_id"], start, end + n_words - 1,
                                 to_start + r["begin"], to_end + r["begin"] + n_words - 1, similar,
                             )
                         )
-            kinds = [pa.int64()] * 2 + [pa.int32()] * 4 + [pa.float64()]
-            lists = list(zip(*out)) if out else [[]] * len(kinds)
-            return pa.table([pa.array(list(v), k) for v, k in zip(lists, kinds)], names=_names(_PASSAGES))
+            return _table(out, _PASSAGES)
 
         return self.texts.cogroup(given.groupBy("chunk")).applyInArrow(compare, _PASSAGES)
 
@@ -744,19 +777,30 @@ def _described(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(count, "key BINARY, doc_id BIGINT, n INT")
 
 
+def _classes(found: DataFrame) -> DataFrame:
+    """Rows with ``class_id``, the smallest id that they lead to; a text without an id is a node of its own."""
+    node = f"coalesce(CAST(%s AS DECIMAL(21, 0)), CAST({NO_ID} + %s AS DECIMAL(21, 0)))"
+    other = node % ("other_doc_id", "other_text")
+    rows = found.withColumn("node", F.expr(f"coalesce({node % ('doc_id', 'text')}, {other})"))
+    labels = components(rows.select(F.col("node").alias("a"), F.expr(other).alias("b")))
+    # Two texts with one id are no link, and have no label.
+    rows = rows.join(labels.hint("merge"), "node", "left").withColumn("label", F.coalesce("component", "node"))
+    return rows.withColumn("class_id", F.expr(f"CASE WHEN label < {NO_ID} THEN CAST(label AS BIGINT) END"))
+
+
 def shared_passages(
     docs: DataFrame, n_words: int = N_WORDS, min_words: int = MIN_WORDS, functions: int = FUNCTIONS,
     similarity: float = SIMILARITY, doc_id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
-    """``(doc_id, start_word, end_word, n_words, other_doc_id, other_start_word, other_end_word, similarity)``.
+    """``(doc_id, start_word, end_word, n_words, other_doc_id, other_start_word, other_end_word, similarity, class_id)``.
 
     A row says that words ``start_word`` to ``end_word`` (exclusive, from 0) of a document stand,
     with at least the given Jaccard similarity of their ``n_words``-word runs, in the other
-    document; passages have ``min_words`` words or more on both sides.  Every two different texts that share a
-    passage have a row, or both have rows of similarity 1 that say that they have the same ``min_words``
-    words of a third; not each of their passages has one.  Of documents with
-    the same text, the one with the smallest id stands for all, and each of the others has one row
-    that links its whole text to it.
+    document; passages have ``min_words`` words or more on both sides.  ``class_id`` is the smallest id
+    that rows lead to from there.  Every two different texts that share a passage have rows, and these
+    one class, but not every two have a row of their own: where very many are alike, they have
+    rows with one of them.  Of documents with the same text, the one with the smallest id stands for
+    all, and each of the others has one row that links its whole text to it.
 
     Words are runs of bytes other than ASCII white space, A-Z lower-cased.  NULL, empty and shorter
     texts have no passages.  Repeats within one document are not reported, rows that repeat both id
@@ -776,10 +820,10 @@ def shared_passages(
     job = _Job(texts, n_words, min_words, similarity, functions)
     groups = stored(_groups(stored(job.posts(n_tokens))))
     found = stored(job.compared(stored(_links(groups))))
-    found = found.union(stored(job.met(job.segments(_members(groups)))))
+    found = found.union(job.met(_members(groups)))
     copies = described.join(known.where("times > 1").drop("n").hint("merge"), "key")
     copies = copies.where(~F.col("doc_id").eqNullSafe(F.col("first"))).select(
         "doc_id", F.col("first").alias("other_doc_id"), F.lit(0).alias("start_word"), F.col("n").alias("end_word"),
         F.lit(0).alias("other_start_word"), F.col("n").alias("other_end_word"), F.lit(1.0).alias("similarity"),
     )
-    return found.unionByName(copies).dropDuplicates().selectExpr(*_RESULT)
+    return _classes(found.unionByName(stored(copies), allowMissingColumns=True)).selectExpr(*_RESULT).dropDuplicates()

@@ -249,48 +249,129 @@ def test_a_quotation_before_the_passage(spark):
     assert max(r.n_words for r in found) == 100
 
 
-def linked_by_rows(found):
-    """Pairs with a row, and pairs of which both have the same 50 words of a third."""
-    pairs, same = set(), defaultdict(set)
-    for r in found:
-        pairs.add(frozenset((r.doc_id, r.other_doc_id)))
-        if r.similarity == 1 and r.end_word - r.start_word == r.other_end_word - r.other_start_word:
-            same[r.other_doc_id].add((r.doc_id, r.other_start_word, r.other_end_word))
-    for spans in same.values():
-        for a, start, end in spans:
-            pairs |= {frozenset((a, b)) for b, low, high in spans if a != b and min(end, high) - max(start, low) >= 50}
-    return pairs
+def classes_of(pairs):
+    """The smallest number that pairs lead to, of all numbers in pairs."""
+    least = {x: x for pair in pairs for x in pair}
+    for _ in least:
+        for pair in pairs:
+            low = min(least[x] for x in pair)
+            least.update(dict.fromkeys(pair, low))
+    return least
+
 
+def classes_by_rows(found):
+    return {x: r.class_id for r in found for x in (r.doc_id, r.other_doc_id)}
 
-@pytest.mark.parametrize(("block", "tile", "few"), [(2048, 256, 64), (2048, 256, 10**9), (12, 5, 3)])
-def test_every_pair_of_different_texts_is_linked(spark, monkeypatch, block, tile, few):
-    """Texts with words of one changed, and texts that have no more than a phrase of it."""
-    for name, value in (("BLOCK", block), ("TILE", tile), ("FEW", few), ("COLUMNS", 7 * few)):
+
+@pytest.mark.parametrize(("block", "asking"), [(2048, 4096), (12, 7)])
+def test_every_pair_of_different_texts_is_in_one_class(spark, monkeypatch, block, asking):
+    """Texts with words of one changed, and texts that have no more than a phrase of it; a row links two of one class."""
+    for name, value in (("BLOCK", block), ("ASKING", asking)):
         monkeypatch.setattr(sub, name, value)
     rng = random.Random(17)
     base, texts = fresh(rng, 130), []
-    for i in range(40):
+    for i in range(60):
         own = list(base)
-        for at in rng.sample(range(130), rng.randint(1, 6)):
+        for at in rng.sample(range(130), rng.randint(1, 6) if i % 3 else rng.randint(6, 13)):
             own[at] = fresh(rng, 1)[0]
         texts.append(own if i % 4 else fresh(rng, 50) + own[50:82] + fresh(rng, 48))
     grams = [tokens([t])[0] for t in texts]
     expected = set()
-    for i in range(40):
+    for i in range(60):
         for j in range(i):
             sums = np.concatenate(([0], np.cumsum(grams[i] == grams[j])))
             for n in range(46, len(grams[0]) + 1):
                 same = int((sums[n:] - sums[:-n]).max())
                 if same >= 0.8 * (2 * n - same):
                     expected.add(frozenset((i, j)))
-    assert 200 < len(expected) < 500
+    assert 300 < len(expected) < 1000
     found = sub.shared_passages(rows_of(spark, [(i, " ".join(t), "a") for i, t in enumerate(texts)]).repartition(3)).collect()
-    assert expected == linked_by_rows(found)
+    assert {frozenset((r.doc_id, r.other_doc_id)) for r in found} <= expected
+    assert classes_by_rows(found) == classes_of(expected)
     for r in found:
         a, b = texts[r.doc_id][r.start_word : r.end_word], texts[r.other_doc_id][r.other_start_word : r.other_end_word]
         assert min(len(a), len(b)) >= 50 and r.similarity == pytest.approx(similarity(a, b)) and r.similarity >= 0.8
 
 
+def segment(number, text):
+    values = (tokens([text])[0] >> np.uint64(32)).astype(np.uint32)
+    at = np.arange(0, len(values), 3, dtype=np.int32)
+    columns = {"tokens": values.tobytes(), "signatures": values[at].astype(np.int64).tobytes(), "places": at.tobytes()}
+    return sub.Segment({"text": number, "doc_id": number, "begin": 0} | columns)
+
+
+@pytest.mark.parametrize(("tile", "few"), [(256, 64), (7, 0), (9, 10**9)])
+def test_no_pair_with_a_passage_is_left_out_by_counting(monkeypatch, tile, few):
+    for name, value in (("TILE", tile), ("FEW", few), ("COLUMNS", 50)):
+        monkeypatch.setattr(sub, name, value)
+    rng = random.Random(37)
+    base = fresh(rng, 90) + ["again"] * 20 + fresh(rng, 20)
+    texts = [edited(rng, base[rng.randint(0, 60) :], rng.randint(0, 14)) for _ in range(70)]
+    members = [segment(i, t) for i, t in enumerate(texts)]
+    pairs = [(i, j) for i in range(70) for j in range(i) if list(sub.met_passages(members[i], members[j], 46, 0.8))]
+    every = np.tri(70, k=-1, dtype=bool)
+    likely = sub.may_be_similar(members, members, every, 46, 0.8)
+    assert all(likely[i, j] for i, j in pairs) and 100 < len(pairs) <= likely.sum() < 0.9 * every.sum()
+    classes = sub.Classes({i: i for i in range(70)})
+    found = list(sub.linking_passages(members, members, lambda a, b: every[a, b], classes, 46, 0.8))
+    assert {(x.text, y.text) for x, y, _ in found} <= set(pairs)
+    expected = classes_of({frozenset(p) for p in pairs})
+    assert {i: classes.of(i) for i in range(70)} == {i: i for i in range(70)} | expected
+    # One pair for each text but the first of its class.
+    assert len({(x.text, y.text) for x, y, _ in found}) == len(expected) - len(set(expected.values()))
+
+
+def test_members_that_are_linked_with_each_other_only(spark, monkeypatch):
+    """A common phrase, and by twos and threes what is about it; they are dealt into many blocks."""
+    monkeypatch.setattr(sub, "BLOCK", 4)
+    monkeypatch.setattr(sub, "ASKING", 6)
+    rng = random.Random(23)
+    phrase, rows, expected = fresh(rng, 30), [], {}
+    for k in range(14):
+        before, after = fresh(rng, 25), fresh(rng, 25)
+        for i in range(k % 3 + 1):
+            rows.append((10 * k + i, " ".join(fresh(rng, 30) + before + phrase + after + fresh(rng, 30)), "a"))
+            if k % 3:
+                expected[10 * k + i] = 10 * k
+    found = sub.shared_passages(rows_of(spark, rows).repartition(3)).collect()
+    assert classes_by_rows(found) == expected
+
+
+def test_rows_grow_with_the_texts_and_not_with_their_pairs(spark):
+    """Near copies, each with changes of its own."""
+    rng = random.Random(29)
+    base = fresh(rng, 120)
+    sizes = []
+    for n in (60, 240):
+        rows = []
+        for i in range(n):
+            own = list(base)
+            for at in rng.sample(range(120), rng.randint(1, 6)):
+                own[at] = fresh(rng, 1)[0]
+            rows.append((i, " ".join(own), "a"))
+        found = sub.shared_passages(rows_of(spark, rows).repartition(3)).collect()
+        # Some few differ too much from all others.
+        assert set(classes_by_rows(found).values()) == {min(classes_by_rows(found))} and len(classes_by_rows(found)) > 0.95 * n
+        sizes.append(len(found))
+    assert sizes[1] < 6 * sizes[0]
+
+
+def test_a_text_without_an_id_links_others(spark):
+    """It is in no class itself, and no other such text is taken for it."""
+    rng = random.Random(31)
+    rows, expected = [], {}
+    for k in range(6):
+        one, other = fresh(rng, 70), fresh(rng, 70)
+        rows += [(10 * k + 1, " ".join(one), "a"), (10 * k + 2, " ".join(other), "a"), (None, " ".join(one + other), "a")]
+        expected |= {10 * k + 1: 10 * k + 1, 10 * k + 2: 10 * k + 1}
+    rows += [(None, rows[2][1], "a"), (None, " ".join(both := fresh(rng, 80)), "a"), (None, " ".join([*both, "end"]), "a")]
+    found = sub.shared_passages(rows_of(spark, rows).repartition(3)).collect()
+    of = classes_by_rows(found)
+    of.pop(None)
+    assert of == expected
+    assert [r.class_id for r in found if r.doc_id is None and r.other_doc_id is None] == [None]
+
+
 def test_a_phrase_that_the_head_has_twice(spark):
     """The passage is about the second, and one change in the phrase's neighbourhood leaves no other run."""
     rng = random.Random(19)
